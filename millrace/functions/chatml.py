@@ -103,7 +103,8 @@ LAYOUTS = {
 def add_system(turns: Column, prompt: str = DEFAULT_SYSTEM_PROMPT) -> Column:
     """Put a system message in front unless the conversation has one."""
     has_system = F.exists(turns, lambda m: F.coalesce(m["role"] == "system", F.lit(False)))
-    return F.when(has_system, turns).otherwise(F.concat(F.array(message("system", F.lit(prompt))), turns))
+    plain = _plain(turns)
+    return F.when(has_system, plain).otherwise(F.concat(F.array(message("system", F.lit(prompt))), plain))
 
 
 def request_messages(turns: Column, mode: str = "first_message") -> Column:

@@ -48,18 +48,17 @@ def extension_counts(entries: Column | str) -> Column:
     """Map of extension to number of files, in order of first appearance."""
     # Kinds are joined into one text and counted by their marked occurrences:
     # cheaper than comparing every file with every kind.
-    mark = F.lit("\u0001")
+    def marked(kind: Column) -> Column:
+        return F.concat(F.lit("\u0001"), kind, F.lit("\u0002"))
 
     def count_each(kinds: Column) -> Column:
-        marked = F.array_join(F.transform(kinds, lambda k: F.concat(mark, k, mark)), "")
-
         def count(joined: Column, kind: Column) -> Column:
-            key = F.concat(mark, kind, mark)
+            key = marked(kind)
             removed = F.length(joined) - F.length(F.replace(joined, key, F.lit("")))
             return (removed / F.length(key)).cast("int")
 
         return bind(
-            marked,
+            F.array_join(F.transform(kinds, marked), ""),
             lambda joined: F.transform(
                 F.array_distinct(kinds), lambda kind: F.struct(kind.alias("key"), count(joined, kind).alias("value"))
             ),

@@ -26,8 +26,8 @@ def log_report(log: DataFrame) -> dict[str, DataFrame]:
         "statuses": reports.status_distribution(log),
         "scores": reports.score_statistics(log),
         "files": reports.top_files(log),
-        "totals": reports.run_totals(log),
-        "batches": reports.batch_summary(log, ["timestamp", "item_id"]),
+        "totals": reports.run_totals(log, time="timestamp"),
+        "batches": reports.batch_summary(log, ["timestamp", "item_id"], rank=F.col("timestamp").cast("timestamp")),
     }
 
 

@@ -13,7 +13,7 @@ from millrace.sources.jsonl import read_strict, read_tolerant
 # File names of triplets and the layout of package folders.
 TRIPLET_GLOB = "pt_data_*.jsonl"
 _TRIPLET_LANGUAGE = r"^pt_data_(.+?)(?:_part(?:(?!_part).)*)?\.jsonl$"
-PACKAGE_EXTENSIONS = ("xml", "cxml")
+PACKAGE_GLOB = "*.{xml,cxml}"
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str = "*", recursive: bool = False) -> DataFrame:
@@ -42,7 +42,9 @@ def output_names(listing: DataFrame) -> DataFrame:
     return listing.withColumn("output_name", F.concat("file_name", F.lit(".parquet")))
 
 
-def read_folder(spark: SparkSession, folder: str, schema: T.StructType, tolerant: bool = False) -> DataFrame:
+def read_folder(
+    spark: SparkSession, folder: str, schema: T.StructType, tolerant: bool = False, lines: str = "*.jsonl"
+) -> DataFrame:
     """All Parquet and JSON-lines files directly in a folder, tagged ``source_file``."""
     name = F.col("_metadata.file_name").alias("source_file")
     columns = [F.col(f.name) for f in schema]
@@ -50,11 +52,11 @@ def read_folder(spark: SparkSession, folder: str, schema: T.StructType, tolerant
     parquet = spark.read.option("pathGlobFilter", "*.parquet").schema(schema)
     parts.append(parquet.parquet(folder).select(*columns, name))
     if tolerant:
-        rows = read_tolerant(spark, f"{folder}/*.jsonl", schema, keep_file=True)
+        rows = read_tolerant(spark, f"{folder}/{lines}", schema, keep_file=True)
         parts.append(rows.select(*columns, F.col("file_name").alias("source_file")))
     else:
-        lines = spark.read.option("pathGlobFilter", "*.jsonl").option("mode", "FAILFAST").schema(schema)
-        parts.append(lines.json(folder).select(*columns, name))
+        strict = spark.read.option("pathGlobFilter", lines).option("mode", "FAILFAST").schema(schema)
+        parts.append(strict.json(folder).select(*columns, name))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
@@ -72,15 +74,16 @@ def package_language(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -2)
 
 
-def read_packages(spark: SparkSession, root: str, languages: list[str] | None = None) -> DataFrame:
+def read_packages(
+    spark: SparkSession, root: str, languages: list[str] | None = None, pattern: str = PACKAGE_GLOB
+) -> DataFrame:
     """Packaged repositories below ``<root>/<language>/``, one row per file.
 
     Columns: ``path``, ``file_name``, ``language``, ``content`` (line ends as
     ``\\n``). Only the named languages' folders are read.
     """
     folders = [f"{root}/{name}" for name in languages] if languages else [f"{root}/*"]
-    kinds = "*.{" + ",".join(PACKAGE_EXTENSIONS) + "}"
-    texts = spark.read.option("wholetext", "true").option("pathGlobFilter", kinds).text(folders)
+    texts = spark.read.option("wholetext", "true").option("pathGlobFilter", pattern).text(folders)
     path = F.col("_metadata.file_path")
     return texts.select(
         path.alias("path"),

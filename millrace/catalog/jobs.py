@@ -177,8 +177,6 @@ def _merged(spark, sf):
     write_jsonl(_docs(spark, sf).select("doc_id", "text", name.alias("name")), root, ["name"])
     groups = [{**g, "input_files": [f"name={f}" for f in g["input_files"]]} for g in GROUPS]
     schema = T.StructType.fromDDL("doc_id bigint, text string")
-    present = {r[0] for r in _docs(spark, sf).select(name).distinct().toLocalIterator()}
-    groups = [{**g, "input_files": [f for f in g["input_files"] if f[5:] in present]} for g in groups]
     rows = read_tolerant(spark, root, schema, keep_file=True)
     rows = rows.withColumn("file_name", F.element_at(F.split("file_path", "/"), -2))
     return conversations.merge_groups(rows, groups).select("doc_id", "text", "group", "output_file")
@@ -195,7 +193,7 @@ def _retried(spark, sf):
     """A first run with failures, then a retry that answers every row."""
     first = generation.generate(requests(spark, sf), count_reply_or_fail, NO_WAIT)
     merged, left = generation.retry_failed(
-        generation.error_rows(first), generation.success_rows(first), count_reply_always, NO_WAIT
+        generation.error_rows(first), generation.success_rows(first), count_reply_always, NO_WAIT, order=("doc_id",)
     )
     return merged.select("doc_id", "uid", "response").unionByName(left.select("doc_id", "uid", F.lit(None).cast("string").alias("response")))
 
@@ -220,7 +218,7 @@ def model_reply(messages, chat):
 
 def _fanned_out(spark, sf):
     work = generation.fan_out(requests(spark, sf), MODELS, ["doc_id"], CHUNKS, "docs")
-    results = generation.generate(work, model_reply, NO_WAIT, model_column="model", seed=None)
+    results = generation.generate(work, model_reply, NO_WAIT, model_column="model")
     out = generation.model_summary(results)
     return out.withColumn("success_rate", F.round("success_rate", 6))
 

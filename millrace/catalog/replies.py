@@ -29,18 +29,15 @@ def count_reply(messages: list[dict[str, str]], chat: dict) -> str:
 
 
 def _objects(spark, sf):
-    parsed = model_replies(spark, sf).withColumn("r", rp.reply_object("reply"))
-    return parsed.select(
-        "event_id",
-        F.get_json_object("r.body", "$.k").cast("bigint").alias("k"),
-        F.col("r.error").isNull().alias("ok"),
-    )
+    parsed = rp.with_reply_object(model_replies(spark, sf), "reply")
+    k = F.element_at("reply_values", "k").cast("bigint").alias("k")
+    return parsed.select("event_id", k, F.col("reply_body").isNotNull().alias("ok"))
 
 
 def _missing(spark, sf):
-    parsed = model_replies(spark, sf).withColumn("r", rp.reply_object("reply"))
-    missing = rp.missing_keys(F.col("r.keys"), ("score", "k", "length"))
-    return parsed.filter(F.col("r.body").isNotNull()).select("event_id", F.array_join(missing, ",").alias("missing"))
+    parsed = rp.with_reply_object(model_replies(spark, sf), "reply").filter(F.col("reply_body").isNotNull())
+    missing = rp.missing_keys("reply_values", ("score", "k", "length"))
+    return parsed.select("event_id", F.array_join(missing, ",").alias("missing"))
 
 
 def _digits(spark, sf):

@@ -2,24 +2,41 @@
 
 from __future__ import annotations
 
-import hashlib
 import json
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from millrace.functions.text import truthy
 
 
-def _sorted_json_md5(row: str) -> str:
-    text = json.dumps(json.loads(row), sort_keys=True, ensure_ascii=False)
-    return hashlib.md5(text.encode("utf-8", "surrogatepass")).hexdigest()
+def sorted_json(value: Column, dtype: T.DataType) -> Column:
+    """The value as JSON text: keys sorted, blanks after colons and commas, nulls left out.
 
-
-@F.pandas_udf(T.StringType())
-def sorted_json_md5(rows: pd.Series) -> pd.Series:
-    """MD5 of each JSON text with its keys sorted; null stays null."""
-    return rows.map(_sorted_json_md5, na_action="ignore")
+    Put together from the type, so it stays in the JVM. Numbers print as Spark
+    casts them.
+    """
+    if isinstance(dtype, T.StructType):
+        pairs = []
+        for entry in sorted(dtype, key=lambda f: f.name):
+            part = value[entry.name]
+            text = F.concat(F.lit(json.dumps(entry.name, ensure_ascii=False) + ": "), sorted_json(part, entry.dataType))
+            pairs.append(F.when(part.isNotNull(), text))
+        return F.concat(F.lit("{"), F.concat_ws(", ", *pairs), F.lit("}"))
+    if isinstance(dtype, T.ArrayType):
+        items = F.transform(value, lambda x: F.coalesce(sorted_json(x, dtype.elementType), F.lit("null")))
+        return F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]"))
+    if isinstance(dtype, T.MapType):
+        entries = F.array_sort(F.map_entries(value))
+        items = F.transform(
+            entries,
+            lambda e: F.concat(sorted_json(e["key"], T.StringType()), F.lit(": "),
+                               F.coalesce(sorted_json(e["value"], dtype.valueType), F.lit("null"))),
+        )
+        return F.concat(F.lit("{"), F.array_join(items, ", "), F.lit("}"))
+    if isinstance(dtype, (T.NumericType, T.BooleanType)):
+        return value.cast("string")
+    quoted = F.to_json(F.array(value.cast("string")))
+    return F.substring(quoted, F.lit(2), F.length(quoted) - F.lit(2))
 
 
 def first_content(df: DataFrame, messages: str = "messages") -> Column:
@@ -30,18 +47,12 @@ def first_content(df: DataFrame, messages: str = "messages") -> Column:
 
 
 def stable_uid(df: DataFrame, messages: str = "messages") -> Column:
-    """``uid``, else ``id``, else MD5 of the first message, else MD5 of the row.
-
-    Only rows that reach the last case are sent to Python; all others feed it a
-    null.
-    """
+    """``uid``, else ``id``, else MD5 of the first message, else MD5 of the row as JSON."""
     given = [F.col(c).cast("string") for c in ("uid", "id") if c in df.columns]
     content = first_content(df, messages)
     by_content = F.when(content != "", F.md5(content.cast("binary")))
-    known = F.coalesce(*given, by_content)
-    fields = [F.col(c) for c in df.columns]
-    by_row = sorted_json_md5(F.when(known.isNull(), F.to_json(F.struct(*fields))))
-    return F.coalesce(known, by_row)
+    by_row = F.md5(sorted_json(F.struct(*[F.col(c) for c in df.columns]), df.schema).cast("binary"))
+    return F.coalesce(*given, by_content, by_row)
 
 
 def with_uid(df: DataFrame, messages: str = "messages") -> DataFrame:

@@ -8,7 +8,7 @@ from millrace.functions.text import as_column, bind, cut_between, line_count, pa
 
 # The layout of package texts and of their file names.
 _PATHS = r'<file path="([^"]+)">'
-_ENTRIES = r'(?s)<file path="([^"]+)">(.*?)</file>'
+_ENTRIES = r'(?s)<file path="[^"]+">.*?</file>'
 _NAME = r"^([^_]+)_([^_]+)_([a-f0-9]+)\.(xml|cxml)"
 TOOLS = {"xml": "repomix", "cxml": "rendergit"}
 UNKNOWN_TOOL = "unknown"
@@ -24,11 +24,16 @@ def file_paths(section: Column | str) -> Column:
 
 
 def file_entries(section: Column | str) -> Column:
-    """Array of (path, body) for the files that are closed."""
-    section = as_column(section)
-    paths = F.regexp_extract_all(section, F.lit(_ENTRIES), F.lit(1))
-    bodies = F.regexp_extract_all(section, F.lit(_ENTRIES), F.lit(2))
-    return F.arrays_zip(paths.alias("path"), bodies.alias("body"))
+    """Array of (path, body) for the files that are closed; one pass over the text."""
+    opening, closing = len('<file path="'), len("</file>")
+
+    def entry(whole: Column) -> Column:
+        end = F.instr(whole, '">')
+        path = F.substring(whole, F.lit(opening + 1), end - F.lit(opening + 1))
+        body = F.substring(whole, end + F.lit(2), F.length(whole) - end - F.lit(1 + closing))
+        return F.struct(path.alias("path"), body.alias("body"))
+
+    return F.transform(F.regexp_extract_all(as_column(section), F.lit(_ENTRIES), F.lit(0)), entry)
 
 
 def mentions(paths: Column | str, word: str) -> Column:

@@ -103,33 +103,40 @@ class OutputContract:
         return F.lit(value).cast(dtype)
 
 
-_OBJECT = T.StructType(
-    [
-        T.StructField("body", T.StringType()),
-        T.StructField("keys", T.ArrayType(T.StringType())),
-        T.StructField("error", T.StringType()),
-    ]
-)
+@F.pandas_udf(T.StringType())
+def _object_or_reason(replies: pd.Series) -> pd.Series:
+    """The reply's JSON object as strict JSON text, or the reason there is none.
 
+    One string per row keeps the transfer small; only an object starts with a
+    brace.
+    """
 
-@F.pandas_udf(_OBJECT)
-def reply_object(replies: pd.Series) -> pd.DataFrame:
-    """The reply's JSON object as strict JSON text with its keys, or why there is none."""
-
-    def read(text: str | None) -> tuple[str | None, list[str] | None, str | None]:
+    def read(text: str | None) -> str:
         try:
-            value = read_reply(text)
+            return json.dumps(read_reply(text), ensure_ascii=False)
         except ReplyError as error:
-            return None, None, str(error)
-        return json.dumps(value, ensure_ascii=False), list(value), None
+            return str(error)
+
+    return pd.Series([read(t) for t in replies], dtype=object)
+
 
-    return pd.DataFrame([read(t) for t in replies], columns=["body", "keys", "error"])
+def with_reply_object(df: DataFrame, reply: str) -> DataFrame:
+    """Adds ``reply_body`` (JSON text), ``reply_values`` (its top-level map) and ``reply_error``."""
+    read = df.withColumn("_read", _object_or_reason(F.col(reply)))
+    is_object = F.startswith("_read", F.lit("{"))
+    return read.withColumns(
+        {
+            "reply_body": F.when(is_object, F.col("_read")),
+            "reply_values": F.when(is_object, F.from_json("_read", "map<string,string>")),
+            "reply_error": F.when(~is_object, F.col("_read")),
+        }
+    ).drop("_read")
 
 
-def missing_keys(keys: Column | str, required: tuple[str, ...]) -> Column:
+def missing_keys(values: Column | str, required: tuple[str, ...]) -> Column:
     """Required keys that are not there, sorted. A key with a null value is there."""
     wanted = F.array(*[F.lit(k) for k in required]).cast("array<string>")
-    return F.array_sort(F.array_except(wanted, as_column(keys)))
+    return F.array_sort(F.array_except(wanted, F.map_keys(as_column(values))))
 
 
 def digits_to_int(value: Column | str) -> Column:
@@ -147,33 +154,27 @@ def _typed(value: Column, dtype: T.DataType) -> Column:
     return value.try_cast(dtype)
 
 
-def project_reply(values: Column, keys: Column, contract: OutputContract) -> list[Column]:
-    """One column per contract key, from the reply's values (as text) and keys.
+def project_reply(values: Column, contract: OutputContract) -> list[Column]:
+    """One column per contract key, from the reply's values (as text).
 
     A key that is absent takes its default; an explicit null stays null; keys
-    outside the contract are dropped. All defaults apply when ``keys`` is null.
+    outside the contract are dropped. All defaults apply when ``values`` is null.
     """
     columns = []
     for entry in contract.schema:
         column = contract.default_column(entry.name)
         if entry.name in contract.keys:
             value = _typed(F.element_at(values, F.lit(entry.name)), entry.dataType)
-            column = F.when(F.array_contains(keys, entry.name), value).otherwise(column)
+            column = F.when(F.map_contains_key(values, entry.name), value).otherwise(column)
         columns.append(column.alias(entry.name))
     return columns
 
 
 def with_reply_columns(df: DataFrame, reply: str, contract: OutputContract) -> DataFrame:
     """Read ``reply`` by the contract; adds its columns and ``reply_error``."""
-    missing = F.col("_missing")
+    missing = missing_keys("reply_values", contract.required)
     lacking = F.when(F.size(missing) > 0, F.concat(F.lit("Missing required keys: "), F.array_join(missing, ", ")))
-    usable = F.col("reply_error").isNull()
-    parsed = (
-        df.withColumn("_reply", reply_object(F.col(reply)))
-        .withColumn("_missing", missing_keys("_reply.keys", contract.required))
-        .withColumn("reply_error", F.coalesce(F.col("_reply.error"), lacking))
-        .withColumn("_keys", F.when(usable, F.col("_reply.keys")))
-        .withColumn("_values", F.when(usable, F.from_json("_reply.body", "map<string,string>")))
-    )
+    checked = with_reply_object(df, reply).withColumn("reply_error", F.coalesce(F.col("reply_error"), lacking))
+    usable = F.when(F.col("reply_error").isNull(), F.col("reply_values"))
     kept = [c for c in df.columns if c not in contract.columns]
-    return parsed.select(*kept, "reply_error", *project_reply(F.col("_values"), F.col("_keys"), contract))
+    return checked.select(*kept, "reply_error", *project_reply(usable, contract))

@@ -11,7 +11,9 @@ WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
-_SPACE_RUN = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in WHITESPACE) + "]+"
+# The same characters as a Java class, and runs of them that are not one blank.
+_SPACE = r"[\s\x1c-\x1f]"
+_SPACE_RUN = rf"(?U) {_SPACE}+|[\s\x1c-\x1f&&[^ ]]{_SPACE}*"
 
 #: Extension of the last path part; dots that open the name do not count.
 _EXTENSION = r"^(?:(?s:.*)/)?\.*[^/.][^/]*?(\.[^./]*)$"

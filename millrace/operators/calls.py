@@ -127,11 +127,6 @@ def model_call(
     return column
 
 
-def cap_tasks(df: DataFrame, tasks: int | None) -> DataFrame:
-    """At most ``tasks`` partitions, hence at most ``tasks`` callers; moves no rows."""
-    return df.coalesce(tasks) if tasks else df
-
-
 def with_calls(
     df: DataFrame,
     messages: Column,

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 #: Most ranges used; this many counts are read back to the driver.
 MAX_RANGES = 8192
@@ -143,12 +143,19 @@ def shard_files(listing: DataFrame, index: int, world: int, path: str = "path")
     return listing.withColumn("_pos", position).filter(F.floor(F.col("_pos") / size) == index).drop("_pos")
 
 
-def spread(df: DataFrame, key: str, seed: int = 0, partitions: int | None = None) -> DataFrame:
-    """Rows in a reproducible random order, spread over the tasks.
+def spread(df: DataFrame, key: str, seed: int = 0, tasks: int | None = None) -> DataFrame:
+    """Rows in a reproducible random order, spread evenly over the tasks.
 
     Tasks are chosen by a hash of the whole row, so that a frequent key does not
-    end up in one of them.
+    end up in one of them. Their number is fixed: AQE would otherwise merge them
+    by bytes, while the work that follows is a call per row.
     """
-    where = F.xxhash64(F.lit(seed), *[F.col(c) for c in df.columns])
-    spread_out = df.repartition(partitions, where) if partitions else df.repartition(where)
-    return spread_out.sortWithinPartitions(F.xxhash64(F.col(key), F.lit(seed)), where)
+    tasks = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    where = row_hash(df, seed)
+    return df.repartition(tasks, where).sortWithinPartitions(F.xxhash64(F.col(key), F.lit(seed)), where)
+
+
+def row_hash(df: DataFrame, seed: int = 0) -> Column:
+    """Hash over all columns that can be hashed."""
+    columns = [F.col(f.name) for f in df.schema if not isinstance(f.dataType, T.MapType)]
+    return F.xxhash64(F.lit(seed), *columns)

@@ -3,19 +3,15 @@
 from __future__ import annotations
 
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.operators.filters import successes
+from millrace.operators.ordinals import row_hash
 
 #: Parts a key of a done table is counted in before the join.
 KEY_SALTS = 32
 
 
-def row_hash(df: DataFrame) -> Column:
-    """Hash over all columns that can be hashed; breaks ties in an order."""
-    return F.xxhash64(*[F.col(f.name) for f in df.schema if not isinstance(f.dataType, T.MapType)])
-
-
 def distinct_keys(done: DataFrame, key: str) -> DataFrame:
     """The keys of a done table, each at most ``KEY_SALTS`` times.
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions.chatml import final_messages, request_messages
 from millrace.functions.identity import with_uid
-from millrace.operators.calls import CallPolicy, Transport, cap_tasks, with_calls
+from millrace.operators.calls import CallPolicy, Transport, with_calls
 from millrace.operators.fanout import over_models
 from millrace.operators.ordinals import split_rows, spread
 from millrace.operators.reports import shard_summary
@@ -18,11 +18,11 @@ MISSING_MESSAGES = "Object missing 'messages' field"
 
 
 def pending_requests(
-    df: DataFrame, done: DataFrame | None = None, dedupe: bool = False, seed: int | None = 0
+    df: DataFrame, done: DataFrame | None = None, dedupe: bool = False, seed: int = 0, tasks: int | None = None
 ) -> DataFrame:
     """Rows to generate for: with uid, without finished ones, in random order.
 
-    ``done`` rows count by their uid, made the same way if they have none. On a
+    ``tasks`` is the number of tasks that will call the model. ``done`` rows count by their uid, made the same way if they have none. On a
     first run rows with the same uid are all kept unless ``dedupe`` is set.
     """
     rows = with_uid(df)
@@ -30,7 +30,7 @@ def pending_requests(
         rows = pending(rows, done_uids(done), "uid")
     if dedupe:
         rows = keep_first(rows, "uid", ["uid"])
-    return spread(rows, "uid", seed) if seed is not None else rows
+    return spread(rows, "uid", seed, tasks)
 
 
 def done_uids(done: DataFrame) -> DataFrame:
@@ -46,8 +46,8 @@ def generate(
     done: DataFrame | None = None,
     mode: str = "first_message",
     dedupe: bool = False,
-    seed: int | None = 0,
-    max_tasks: int | None = None,
+    seed: int = 0,
+    tasks: int | None = None,
     model_column: str | None = None,
     staged_at: str | None = None,
 ) -> DataFrame:
@@ -56,10 +56,9 @@ def generate(
     Columns added: ``response``, ``final_messages``, ``status``, the error
     columns, ``attempts``. Rows without a first message fail without a call.
     """
-    requests = pending_requests(df, done, dedupe, seed)
+    requests = pending_requests(df, done, dedupe, seed, tasks)
     if "messages" not in requests.columns:
         requests = requests.withColumn("messages", F.lit(None).cast("array<struct<role:string,content:string>>"))
-    requests = cap_tasks(requests, max_tasks)
     usable = F.size("messages") > 0
     asked = F.when(usable, request_messages(F.col("messages"), mode))
     model = F.col(model_column) if model_column else None
@@ -100,14 +99,20 @@ def error_rows(results: DataFrame) -> DataFrame:
 
 
 def retry_failed(
-    errors: DataFrame, prior: DataFrame, transport: Transport, policy: CallPolicy = CallPolicy(), **options
+    errors: DataFrame,
+    prior: DataFrame,
+    transport: Transport,
+    policy: CallPolicy = CallPolicy(),
+    order: tuple[str, ...] = ("uid",),
+    **options,
 ) -> tuple[DataFrame, DataFrame]:
     """Generate again for failed rows; returns all successes and the remaining errors.
 
-    Old error columns are dropped first. ``prior`` may be empty.
+    Old error columns are dropped first. ``prior`` may be empty. Of several rows
+    with one uid the first by ``order`` is kept.
     """
-    results = generate(errors.drop(*ERROR_COLUMNS), transport, policy, seed=None, **options)
-    return retry_merge(prior, success_rows(results), "uid", ["uid"]), error_rows(results)
+    results = generate(errors.drop(*ERROR_COLUMNS), transport, policy, **options)
+    return retry_merge(prior, success_rows(results), "uid", list(order)), error_rows(results)
 
 
 def fan_out(df: DataFrame, models: list[str], order: list[str], chunks: int, stem: str = "part") -> DataFrame:

@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, functions as F
 from millrace.functions.identity import ensure_id
 from millrace.functions.replies import OutputContract, with_reply_columns
 from millrace.functions.templates import prompt_messages, render_prompt
-from millrace.operators.calls import CallPolicy, Transport, cap_tasks, with_calls
-from millrace.operators.ordinals import first_n_per_group
+from millrace.operators.calls import CallPolicy, Transport, with_calls
+from millrace.operators.ordinals import first_n_per_group, spread
 from millrace.operators.reports import file_summary
 from millrace.operators.resume import pending, resume_union
 from millrace.session import stage
@@ -85,21 +85,22 @@ def score_rows(
     done: DataFrame | None = None,
     debug_items: int | None = None,
     file_column: str = "source_file",
-    max_tasks: int | None = None,
+    tasks: int | None = None,
     validate: bool = True,
     staged_at: str | None = None,
 ) -> DataFrame:
     """Score the rows that have no success yet; returns these rows, staged.
 
-    The resume join and the debug limit stand before the call, which is written
-    to a staging table before anything branches off it.
+    The resume join and the debug limit stand before the call. What is left is
+    spread evenly over ``tasks`` callers, and the calls are written to a staging
+    table before anything branches off them.
     """
     rows = ensure_id(df)
     if done is not None:
         rows = pending(rows, done.filter(F.col("api_status") == "success"), "id")
     if debug_items:
         rows = first_n_per_group(rows, [file_column], ["id"], debug_items)
-    requests = cap_tasks(request_rows(rows, task), max_tasks)
+    requests = request_rows(spread(rows, "id", tasks=tasks), task)
     check = task.contract.check if validate and task.contract.require_json else None
     called = with_calls(requests, F.col("_messages"), transport, policy, check).drop("_messages")
     return with_outcome(stage(called, "scores", staged_at), task.contract)

@@ -38,14 +38,14 @@ def staging_dir(spark: SparkSession) -> str:
     cluster a machine-local folder would be lost with its machine, so a missing
     setting is an error there.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="millrace-stage-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="millrace-stage-"))
+    return context.getCheckpointDir()
 
 
 def new_stage_path(spark: SparkSession, label: str) -> str:

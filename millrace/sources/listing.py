@@ -83,7 +83,7 @@ def read_packages(
     ``\\n``). Only the named languages' folders are read.
     """
     folders = [f"{root}/{name}" for name in languages] if languages else [f"{root}/*"]
-    texts = spark.read.option("wholetext", "true").option("pathGlobFilter", pattern).text(folders)
+    texts = spark.read.option("pathGlobFilter", pattern).text(folders, wholetext=True)
     path = F.col("_metadata.file_path")
     return texts.select(
         path.alias("path"),

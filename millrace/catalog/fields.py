@@ -10,6 +10,7 @@ from millrace.catalog.text import TOKEN_LIMIT
 from millrace.functions.identity import ensure_id
 from millrace.functions.tokens import GATE_CHARS, PatternTokenizer
 from millrace.operators import fields, filters
+from millrace.plans.preprocess import universal
 
 
 def _docs(step, *columns):
@@ -48,6 +49,16 @@ def _ids(spark, sf):
     return rows.select("doc_id", F.when(made, F.lit("made")).otherwise(F.col("id")).alias("id"))
 
 
+def _usable(spark, sf):
+    """Rows with gaps everywhere through the whole universal job: none fails, none is lost."""
+    config = {
+        "field_mapping": {"label": {"type": "combine", "fields": ["id", "content", "source"]}},
+        "transformations": {"text_cleaning": {"remove_characters": ["###"]}, "computed_fields": {"n": {"type": "text_length"}}},
+    }
+    rows = universal(_spotty(spark, sf), config, max_tokens=1024)
+    return rows.select("doc_id", "text", "label", F.col("n").cast("bigint").alias("n"))
+
+
 ENTRIES = {
     "pr1": Entry(
         _docs(lambda d: fields.map_fields(d, {"body": "text", "nothing": "missing"}), "body", "text"),
@@ -113,4 +124,10 @@ ENTRIES = {
         """SELECT doc_id FROM documents
            WHERE NOT contains(lower(text), 'license') AND NOT contains(lower(text), 'the the')""",
     ),
+    "fl9": Entry(
+        _usable,
+        f"""SELECT doc_id, coalesce(replace(text, '###', ''), nullif(content, ''), nullif(message, ''), '') AS text,
+                   concat_ws(' ', nullif(id, ''), nullif(content, ''), source) AS label,
+                   length(replace(text, '###', '')) AS n FROM {_SPOTTY_SQL}""",
+    ),
 }

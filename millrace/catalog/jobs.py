@@ -22,7 +22,7 @@ from millrace.catalog.inputs import (
 from millrace.catalog.replies import CONTRACT_SCORE, NO_WAIT, count_reply
 from millrace.catalog.sets import CHUNKS, GROUPS, MODELS
 from millrace.functions.chatml import message
-from millrace.operators import reports
+from millrace.operators.filters import require_fields
 from millrace.plans import conversations, generation, preprocess, reports as report_plans, scoring
 from millrace.session import new_stage_path
 from millrace.sources.jsonl import read_strict, read_tolerant, write_jsonl
@@ -198,6 +198,24 @@ def _retried(spark, sf):
     return merged.select("doc_id", "uid", "response").unionByName(left.select("doc_id", "uid", F.lit(None).cast("string").alias("response")))
 
 
+def _failed(spark, sf):
+    results = generation.generate(requests(spark, sf), count_reply_or_fail, NO_WAIT)
+    rows = generation.error_rows(results)
+    whole = F.col("traceback").contains("TimeoutError") & F.col("timestamp").isNotNull() & F.col("task_index").isNotNull()
+    return rows.select("doc_id", "uid", rendered("messages").alias("chat"), "error", "error_type", whole.alias("whole"))
+
+
+def _hooks(spark, sf):
+    """A chain of row steps: one that drops rows, the plain preprocessor, one of the user's own."""
+    rows = (
+        _docs(spark, sf)
+        .transform(require_fields, ["text", "source"])
+        .transform(preprocess.base_rows, max_tokens=1024)
+        .transform(lambda df: df.withColumn("shout", F.upper("lang")))
+    )
+    return rows.select("doc_id", "text_truncate_1k", "shout")
+
+
 def count_reply_or_fail(messages, chat):
     text = messages[-1]["content"]
     if text.startswith("De"):
@@ -361,6 +379,15 @@ ENTRIES = {
         lambda spark, sf: _docs(spark, sf).transform(preprocess.score_length).select("doc_id", "score"),
         "SELECT doc_id, least(5.0, greatest(0.0, length(text) / 100.0))::DOUBLE AS score FROM documents",
     ),
+    "pr13": Entry(
+        _failed,
+        f"""SELECT doc_id, uid, 'user: ' || text AS chat, 'TimeoutError: no answer' AS error, 'call' AS error_type,
+                   true AS whole FROM {REQUESTS_SQL} WHERE starts_with(text, 'De')""",
+    ),
+    "ud2": Entry(
+        _hooks,
+        f"SELECT doc_id, {_CUT} AS text_truncate_1k, upper(lang) AS shout FROM documents WHERE text <> '' AND source <> ''",
+    ),
     "ud3": Entry(
         _by_kind,
         """SELECT doc_id, 'crawl' AS source, length(text) AS n, 'universal' AS kind FROM documents UNION ALL

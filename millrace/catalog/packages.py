@@ -34,8 +34,7 @@ _IDENTITY_SQL = f"""regexp_extract(file_name, {_NAME}, 1) AS repo_user, regexp_e
 
 
 def _sections(spark, sf):
-    rows = packages(spark, sf).withColumn("section", pk.files_section("content"))
-    return rows.filter(F.col("section").isNotNull())
+    return pk.with_section(packages(spark, sf))
 
 
 def _structure(spark, sf):

@@ -67,12 +67,17 @@ def content_id(df: DataFrame, columns: list[str] | None = None) -> Column:
     return F.sha2(F.concat_ws("\u0001", *parts), 256)
 
 
-def ensure_id(df: DataFrame, id_column: str = "id", columns: list[str] | None = None) -> DataFrame:
-    """Give rows without an id one made from their content."""
+def ensure_id(
+    df: DataFrame, id_column: str = "id", columns: list[str] | None = None, fill_empty: bool = True
+) -> DataFrame:
+    """Give rows without an id one made from their content.
+
+    ``fill_empty`` also replaces ids that are empty or zero.
+    """
     if id_column not in df.columns:
         return df.withColumn(id_column, content_id(df, columns))
-    dtype = df.schema[id_column].dataType
     names = columns or [c for c in df.columns if c != id_column]
-    made = content_id(df, names)
-    kept = F.when(truthy(id_column, dtype), F.col(id_column).cast("string"))
-    return df.withColumn(id_column, F.coalesce(kept, made))
+    given = F.col(id_column).cast("string")
+    if fill_empty:
+        given = F.when(truthy(id_column, df.schema[id_column].dataType), given)
+    return df.withColumn(id_column, F.coalesce(given, content_id(df, names)))

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions.text import as_column, bind, cut_between, line_count, path_extension
 
 # The layout of package texts and of their file names.
 _PATHS = r'<file path="([^"]+)">'
-_ENTRIES = r'(?s)<file path="[^"]+">.*?</file>'
+_ENTRIES = r'(?s)<file path="([^"]+)">(.*?)</file>'
 _NAME = r"^([^_]+)_([^_]+)_([a-f0-9]+)\.(xml|cxml)"
 TOOLS = {"xml": "repomix", "cxml": "rendergit"}
 UNKNOWN_TOOL = "unknown"
@@ -16,7 +16,17 @@ UNKNOWN_TOOL = "unknown"
 
 def files_section(content: Column | str) -> Column:
     """Text of the first files section; null when there is none."""
-    return cut_between(content, "<files>", "</files>")[1]
+    return cut_between(content, "<files>", "</files>")["inside"]
+
+
+def with_section(df: DataFrame, content: str = "content", section: str = "section") -> DataFrame:
+    """Add the files section; rows without one are dropped.
+
+    Exploding an array of at most one text does both in one evaluation; a filter
+    would search every text a second time.
+    """
+    found = F.array_compact(F.array(files_section(content)))
+    return df.select("*", F.explode(found).alias(section))
 
 
 def file_paths(section: Column | str) -> Column:
@@ -24,16 +34,10 @@ def file_paths(section: Column | str) -> Column:
 
 
 def file_entries(section: Column | str) -> Column:
-    """Array of (path, body) for the files that are closed; one pass over the text."""
-    opening, closing = len('<file path="'), len("</file>")
-
-    def entry(whole: Column) -> Column:
-        end = F.instr(whole, '">')
-        path = F.substring(whole, F.lit(opening + 1), end - F.lit(opening + 1))
-        body = F.substring(whole, end + F.lit(2), F.length(whole) - end - F.lit(1 + closing))
-        return F.struct(path.alias("path"), body.alias("body"))
-
-    return F.transform(F.regexp_extract_all(as_column(section), F.lit(_ENTRIES), F.lit(0)), entry)
+    """Array of (path, body) for the files that are closed."""
+    section = as_column(section)
+    paths, bodies = (F.regexp_extract_all(section, F.lit(_ENTRIES), F.lit(group)) for group in (1, 2))
+    return F.arrays_zip(paths.alias("path"), bodies.alias("body"))
 
 
 def mentions(paths: Column | str, word: str) -> Column:

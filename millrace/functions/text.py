@@ -28,20 +28,30 @@ def bind(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def cut_between(text: Column | str, opening: str, closing: str) -> tuple[Column, Column, Column]:
-    """Text before, inside and after the first ``opening ... closing`` span.
+def cut_between(text: Column | str, opening: str, closing: str) -> Column:
+    """Struct of the text before, inside and after the first ``opening ... closing`` span.
 
-    All three are null when there is no such span. Linear in the text's length.
+    Null when there is no such span. Each mark is searched for once.
     """
     text = as_column(text)
-    start = F.instr(text, opening)
-    rest = F.substring(text, start + F.lit(len(opening)), F.length(text))
-    end = F.instr(rest, closing)
-    found = (start > 0) & (end > 0)
-    before = F.substring(text, F.lit(1), start - F.lit(1))
-    inside = F.substring(rest, F.lit(1), end - F.lit(1))
-    after = F.substring(rest, end + F.lit(len(closing)), F.length(rest))
-    return F.when(found, before), F.when(found, inside), F.when(found, after)
+
+    def cut(start: Column) -> Column:
+        rest = F.substring(text, start + F.lit(len(opening)), F.length(text))
+
+        def pieces(rest: Column) -> Column:
+            def at(end: Column) -> Column:
+                found = F.struct(
+                    F.substring(text, F.lit(1), start - F.lit(1)).alias("before"),
+                    F.substring(rest, F.lit(1), end - F.lit(1)).alias("inside"),
+                    F.substring(rest, end + F.lit(len(closing)), F.length(rest)).alias("after"),
+                )
+                return F.when(end > 0, found)
+
+            return bind(F.instr(rest, closing), at)
+
+        return F.when(start > 0, bind(rest, pieces))
+
+    return bind(F.instr(text, opening), cut)
 
 
 def truthy(column: Column | str, dtype: T.DataType) -> Column:

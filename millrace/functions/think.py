@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from millrace.functions.text import as_column, cut_between, strip
+from millrace.functions.text import as_column, bind, cut_between, strip
 
 # Fixed value: the tags around reasoning.
 _BLOCK = r"(?s)<think>\n?(.*?)\n?</think>"
@@ -34,5 +34,8 @@ def has_think(text: Column | str) -> Column:
 def visible_text(text: Column | str) -> Column:
     """The text without its first reasoning block and the line breaks after it."""
     text = as_column(text)
-    before, _, after = cut_between(text, "<think>", "</think>")
-    return F.coalesce(F.concat(before, F.ltrim(after, F.lit("\n"))), text)
+    kept = bind(
+        cut_between(text, "<think>", "</think>"),
+        lambda span: F.concat(span["before"], F.ltrim(span["after"], F.lit("\n"))),
+    )
+    return F.coalesce(kept, text)

@@ -23,15 +23,23 @@ GATE_CHARS = 20_000
 #: joined are a prefix of the text.
 WORD_PATTERN = r"[A-Za-z0-9_]+|[ \t\r\n]+|[^A-Za-z0-9_ \t\r\n]"
 
+#: The same tokens, as far as they have more than one character.
+LONG_WORD_PATTERN = r"[A-Za-z0-9_]{2,}|[ \t\r\n]{2,}"
+
 
 @dataclass(frozen=True)
 class PatternTokenizer:
-    """Tokens are the matches of a pattern; runs inside the JVM."""
+    """Tokens are the matches of a pattern that covers the text; runs inside the JVM.
+
+    ``long_pattern`` matches the tokens of more than one character. With these
+    cut to one character each, the text's length is the number of its tokens.
+    """
 
     pattern: str = WORD_PATTERN
+    long_pattern: str = LONG_WORD_PATTERN
 
     def count(self, text: Column | str) -> Column:
-        return F.regexp_count(as_column(text), F.lit(self.pattern))
+        return F.length(F.regexp_replace(as_column(text), self.long_pattern, "x"))
 
     def truncate(self, text: Column | str, n: int) -> Column:
         tokens = F.regexp_extract_all(as_column(text), F.lit(self.pattern), F.lit(0))

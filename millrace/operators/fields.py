@@ -62,12 +62,12 @@ def clean_text(df: DataFrame, extra_whitespace: bool = False, remove: list[str]
 
 
 def add_computed(df: DataFrame, computed: dict[str, dict[str, str]], tokenizer) -> DataFrame:
-    """Length and token-count columns; a missing source column adds nothing."""
+    """Length and token-count columns; no value where the source has none."""
     for name, rule in computed.items():
         source = rule.get("source_field", "text")
         if source not in df.columns:
             continue
-        value = render(source, df.schema[source].dataType)
+        value = F.when(F.col(source).isNotNull(), render(source, df.schema[source].dataType))
         if rule["type"] == "text_length":
             df = df.withColumn(name, F.length(value))
         elif rule["type"] == "token_count":

@@ -6,18 +6,21 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.functions.text import contains_any, render, truthy
+from millrace.functions.text import contains_any, truthy
 
 
 def text_length_between(df: DataFrame, low: int = 0, high: int = 0, text: str = "text") -> DataFrame:
-    """Keep texts of ``low`` to ``high`` characters, both included; 0 means no bound."""
+    """Keep texts of ``low`` to ``high`` characters, both included; 0 means no bound.
+
+    Rows without text are not judged here.
+    """
     if text not in df.columns:
         return df
-    chars = F.length(render(text, df.schema[text].dataType))
+    chars = F.length(F.col(text).cast("string"))
     if low:
-        df = df.filter(chars >= low)
+        df = df.filter(chars.isNull() | (chars >= low))
     if high:
-        df = df.filter(chars <= high)
+        df = df.filter(chars.isNull() | (chars <= high))
     return df
 
 
@@ -34,7 +37,7 @@ def without_words(df: DataFrame, words: list[str], text: str = "text") -> DataFr
     """Drop rows whose text contains a listed word, case ignored."""
     if not words or text not in df.columns:
         return df
-    return df.filter(~contains_any(render(text, df.schema[text].dataType), words))
+    return df.filter(~contains_any(F.col(text).cast("string"), words))
 
 
 def apply_filters(df: DataFrame, config: dict[str, Any]) -> DataFrame:

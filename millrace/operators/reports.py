@@ -137,7 +137,7 @@ def score_statistics(
     else:
         whole = scores.agg(*measures).first()
         ends = F.array(*[F.lit(e) for e in whole["_ends"] or [None, None]]).cast("array<double>")
-        known = {"n": F.lit(whole["n"]), "_ends": ends}
+        known = {"n": F.lit(whole["n"]).cast("bigint"), "_ends": ends}
         known |= {c: F.lit(whole[c]).cast("double") for c in ("mean", "minimum", "maximum")}
 
         def attach(frame: DataFrame) -> DataFrame:

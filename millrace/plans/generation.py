@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions.chatml import final_messages, request_messages
 from millrace.functions.identity import with_uid
@@ -59,20 +59,23 @@ def generate(
     requests = pending_requests(df, done, dedupe, seed, tasks)
     if "messages" not in requests.columns:
         requests = requests.withColumn("messages", F.lit(None).cast("array<struct<role:string,content:string>>"))
-    usable = F.size("messages") > 0
-    asked = F.when(usable, request_messages(F.col("messages"), mode))
     model = F.col(model_column) if model_column else None
-    called = with_calls(requests.withColumn("_ask", asked), F.col("_ask"), transport, policy, model=model)
+    called = with_calls(requests, asked(mode), transport, policy, model=model)
     rows = stage(called.withColumn("task_index", F.monotonically_increasing_id()), "responses", staged_at)
-    return with_outcome(rows)
+    return with_outcome(rows, mode)
 
 
-def with_outcome(called: DataFrame) -> DataFrame:
+def asked(mode: str) -> Column:
+    """The messages to send; null for rows that have none."""
+    return F.when(F.size("messages") > 0, request_messages(F.col("messages"), mode))
+
+
+def with_outcome(called: DataFrame, mode: str = "first_message") -> DataFrame:
     """Expand a staged ``call`` column into the result and error columns."""
-    lacking = F.col("_ask").isNull()
+    lacking = asked(mode).isNull()
     kind = F.when(lacking, F.lit("input")).otherwise(F.col("call.error_kind"))
     ok = kind.isNull()
-    prompt = F.element_at("_ask", -1)["content"]
+    prompt = F.element_at(asked(mode), -1)["content"]
     response = F.when(ok, F.col("call.response"))
     error = F.when(lacking, F.lit(MISSING_MESSAGES)).otherwise(F.col("call.error"))
     now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
@@ -87,7 +90,7 @@ def with_outcome(called: DataFrame) -> DataFrame:
         "task_index": F.when(~ok, F.col("task_index")),
         "attempts": F.coalesce(F.col("call.attempts"), F.lit(0)),
     }
-    return called.withColumns(columns).drop("call", "_ask")
+    return called.withColumns(columns).drop("call")
 
 
 def success_rows(results: DataFrame) -> DataFrame:

@@ -48,14 +48,14 @@ def universal(
 
 def raw_code(df: DataFrame, tokenizer=DEFAULT_TOKENIZER, max_tokens: int = MAX_TOKENS) -> DataFrame:
     """Code rows: text column, truncated text, id, source."""
-    rows = ensure_id(fields.pick_text(df), columns=df.columns)
+    rows = ensure_id(fields.pick_text(df), columns=[c for c in df.columns if c != "id"], fill_empty=False)
     cut = rows.withColumn(truncated_name(max_tokens), truncate_text("text", tokenizer, max_tokens))
     return fields.ensure_source(cut, "github_raw_code")
 
 
 def base_rows(df: DataFrame, tokenizer=DEFAULT_TOKENIZER, max_tokens: int = MAX_TOKENS) -> DataFrame:
     """The plain variant: id, and the first text column cut under its own name."""
-    rows = ensure_id(df)
+    rows = ensure_id(df, fill_empty=False)
     name = fields.text_field(rows)
     if name is None:
         return rows
@@ -73,8 +73,7 @@ def packaged_repositories(
     entries = F.col("_entries")
     n_files, lines = F.size(entries), F.col("_lines")
     staged = (
-        df.withColumn("_section", pk.files_section("content"))
-        .filter(F.col("_section").isNotNull())
+        pk.with_section(df, section="_section")
         .withColumn("_paths", pk.file_paths("_section"))
         .withColumn("_entries", pk.file_entries("_section"))
         .withColumn("_lines", pk.total_lines("_entries"))
@@ -110,7 +109,7 @@ def rejected_packages(df: DataFrame) -> DataFrame:
 
 def triplets(df: DataFrame, tokenizer=DEFAULT_TOKENIZER, max_tokens: int = MAX_TOKENS) -> DataFrame:
     """Triplet rows: id, truncated text, language and the fixed placeholders."""
-    return fields.add_triplet_fields(fields.add_truncated(ensure_id(df), tokenizer, max_tokens))
+    return fields.add_triplet_fields(fields.add_truncated(ensure_id(df, fill_empty=False), tokenizer, max_tokens))
 
 
 PREPROCESSORS: dict[str, Callable[..., DataFrame]] = {

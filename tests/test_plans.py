@@ -46,6 +46,21 @@ def test_universal_order_of_steps(spark):
     assert "gone" not in row.asDict()
 
 
+def test_rows_without_text_pass_the_text_filters(spark):
+    rows = spark.createDataFrame([("1", None, "none blocked"), ("2", "none", "c")], "id string, text string, content string")
+    config = {"filters": {"min_text_length": 10, "blacklist_patterns": ["none"]},
+              "transformations": {"computed_fields": {"n": {"type": "text_length"}}}}
+    out = preprocess.universal(rows, config).collect()
+    assert [(r.id, r.text, r.n) for r in out] == [("1", "none blocked", None)]
+
+
+def test_empty_ids(spark):
+    rows = spark.createDataFrame([("", "a"), (None, "b")], "id string, text string")
+    assert [len(r.id) for r in preprocess.universal(rows, {}).orderBy("text").collect()] == [64, 64]
+    assert [len(r.id) for r in preprocess.base_rows(rows).orderBy("text").collect()] == [0, 64]
+    assert [len(r.id) for r in preprocess.raw_code(rows).orderBy("text").collect()] == [0, 64]
+
+
 def test_raw_code_needs_a_text_column(spark):
     rows = spark.createDataFrame([("x" * 20_001,)], "code string")
     row = preprocess.raw_code(rows, max_tokens=1024).first()

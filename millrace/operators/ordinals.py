@@ -93,7 +93,7 @@ def split_rows(
         raise ValueError("give chunks or rows_per_chunk")
     numbered, total = with_ordinal(df, order, rank)
     size = math.ceil(total / chunks) if chunks is not None else rows_per_chunk
-    chunk = (F.floor((F.col("ord") - 1) / F.lit(max(size, 1))) + 1).cast("int")
+    chunk = F.expr(f"CAST((ord - 1) DIV {max(size, 1)} + 1 AS INT)")
     return numbered.withColumn("chunk", chunk).withColumn("chunk_name", chunk_name(stem, F.col("chunk")))
 
 

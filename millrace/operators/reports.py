@@ -127,31 +127,24 @@ def score_statistics(
         F.max("_v").alias("maximum"),
         F.percentile_approx("_v", F.array(F.lit(0.5 - margin), F.lit(0.5 + margin)), F.lit(accuracy)).alias("_ends"),
     ]
-    names = ["n", "mean", "minimum", "maximum", "_ends"]
+    known = ["n", "mean", "minimum", "maximum"]
     if by:
-        groups = scores.groupBy(*by).agg(*measures)
-
-        def attach(frame: DataFrame) -> DataFrame:
-            return frame.join(groups, by)
-
+        attached = scores.join(scores.groupBy(*by).agg(*measures), by)
     else:
         whole = scores.agg(*measures).first()
         ends = F.array(*[F.lit(e) for e in whole["_ends"] or [None, None]]).cast("array<double>")
-        known = {"n": F.lit(whole["n"]).cast("bigint"), "_ends": ends}
-        known |= {c: F.lit(whole[c]).cast("double") for c in ("mean", "minimum", "maximum")}
-
-        def attach(frame: DataFrame) -> DataFrame:
-            return frame.withColumns(known)
-
+        literals = {c: F.lit(whole[c]).cast("double") for c in known[1:]}
+        attached = scores.withColumns({"n": F.lit(whole["n"]).cast("bigint"), "_ends": ends, **literals})
     low, high = F.col("_ends")[0], F.col("_ends")[1]
     inside = F.when(F.col("_v") >= low, F.col("_v")).alias("_v")
-    counts = attach(scores).filter(F.col("_v") <= high).groupBy(*by, inside).agg(F.count(F.lit(1)).alias("_c"))
+    # The group's measures ride along as grouping columns: they depend on the group.
+    counts = attached.filter(F.col("_v") <= high).groupBy(*by, *known, inside).agg(F.count(F.lit(1)).alias("_c"))
     upwards = Window.partitionBy(*by).orderBy(F.col("_v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
-    running = attach(counts.withColumn("_upto", F.sum("_c").over(upwards)).filter(F.col("_v").isNotNull()))
+    running = counts.withColumn("_upto", F.sum("_c").over(upwards)).filter(F.col("_v").isNotNull())
     middles = [F.floor((F.col("n") + 1) / 2), F.floor(F.col("n") / 2) + 1]
     lower, upper = (F.min(F.when(F.col("_upto") >= rank, F.col("_v"))) for rank in middles)
     return (
-        running.groupBy(*by, *names[:-1])
+        running.groupBy(*by, *known)
         .agg(((lower + upper) / 2).alias("median"))
         .select(*by, "n", "mean", "median", "minimum", "maximum")
     )

@@ -8,7 +8,7 @@ from millrace.functions.text import as_column, bind, cut_between, line_count, pa
 
 # The layout of package texts and of their file names.
 _PATHS = r'<file path="([^"]+)">'
-_ENTRIES = r'(?s)<file path="([^"]+)">(.*?)</file>'
+_ENTRIES = r'<file path="([^"]+)">([^<]*+(?:<(?!/file>)[^<]*+)*+)</file>'
 _NAME = r"^([^_]+)_([^_]+)_([a-f0-9]+)\.(xml|cxml)"
 TOOLS = {"xml": "repomix", "cxml": "rendergit"}
 UNKNOWN_TOOL = "unknown"
@@ -34,7 +34,11 @@ def file_paths(section: Column | str) -> Column:
 
 
 def file_entries(section: Column | str) -> Column:
-    """Array of (path, body) for the files that are closed."""
+    """Array of (path, body) for the files that are closed.
+
+    The pattern runs from ``<`` to ``<`` up to the first closing tag, without
+    going back and without recursion.
+    """
     section = as_column(section)
     paths, bodies = (F.regexp_extract_all(section, F.lit(_ENTRIES), F.lit(group)) for group in (1, 2))
     return F.arrays_zip(paths.alias("path"), bodies.alias("body"))

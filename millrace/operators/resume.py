@@ -12,7 +12,22 @@ from millrace.operators.ordinals import row_hash
 KEY_SALTS = 32
 
 
-def distinct_keys(done: DataFrame, key: str) -> DataFrame:
+Key = str | list[str]
+
+
+def key_columns(key: Key) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def _has_key(key: Key) -> Column:
+    """True where no part of the key is null."""
+    present = F.lit(True)
+    for name in key_columns(key):
+        present = present & F.col(name).isNotNull()
+    return present
+
+
+def distinct_keys(done: DataFrame, key: Key) -> DataFrame:
     """The keys of a done table, each at most ``KEY_SALTS`` times.
 
     Counting by (key, salt) collapses a frequent key before it moves. A plain
@@ -20,18 +35,19 @@ def distinct_keys(done: DataFrame, key: str) -> DataFrame:
     and AQE splits a skewed join side only if both sides are shuffles of the
     join's own.
     """
-    keys = done.filter(F.col(key).isNotNull()).select(key)
+    names = key_columns(key)
+    keys = done.filter(_has_key(key)).select(*names)
     salted = keys.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(KEY_SALTS)))
-    return salted.groupBy(key, "_salt").agg(F.count(F.lit(1)).alias("_n")).select(key)
+    return salted.groupBy(*names, "_salt").agg(F.count(F.lit(1)).alias("_n")).select(*names)
 
 
-def pending(source: DataFrame, done: DataFrame, key: str) -> DataFrame:
+def pending(source: DataFrame, done: DataFrame, key: Key) -> DataFrame:
     """Source rows whose key is not among the done rows.
 
     Rows without a key are always pending. Both a frequent key and many rows
     without one make a skewed source partition, which AQE's skew join splits.
     """
-    return source.join(distinct_keys(done, key), key, "left_anti")
+    return source.join(distinct_keys(done, key), key_columns(key), "left_anti")
 
 
 def carried(done: DataFrame, status: str = "api_status") -> DataFrame:
@@ -44,36 +60,46 @@ def resume_union(done: DataFrame, new: DataFrame, status: str = "api_status") ->
     return carried(done, status).unionByName(new, allowMissingColumns=True)
 
 
-def _one_per_key(df: DataFrame, key: str, order: list[Column | str], pick) -> DataFrame:
+def _one_per_key(df: DataFrame, key: Key, order: list[Column | str], pick) -> DataFrame:
+    names = key_columns(key)
     ranks = [F.col(c) if isinstance(c, str) else c for c in order]
-    rank = F.struct(*ranks, row_hash(df))
-    whole = F.struct(*[F.col(c) for c in df.columns])
-    grouped = df.select(F.col(key).alias("_key"), rank.alias("_rank"), whole.alias("_row")).groupBy("_key")
+    rank = F.struct(*ranks, row_hash(df)).alias("_rank")
+    whole = F.struct(*[F.col(c) for c in df.columns]).alias("_row")
+    groups = [F.col(c).alias(f"_key{i}") for i, c in enumerate(names)]
+    grouped = df.select(*groups, rank, whole).groupBy(*[f"_key{i}" for i in range(len(names))])
     return grouped.agg(pick("_row", "_rank").alias("_row")).select("_row.*")
 
 
-def keep_first(df: DataFrame, key: str, order: list[Column | str]) -> DataFrame:
-    """One row per key, the first by ``order``; rows without a key are all kept.
+def first_per_key(df: DataFrame, key: Key, order: list[Column | str]) -> DataFrame:
+    """One row per key, the first by ``order``. Every row must have a key.
 
     An aggregate, not a window: each task reduces its rows to one per key before
     the shuffle, so a frequent key never meets in one task.
     """
-    keyed = _one_per_key(df.filter(F.col(key).isNotNull()), key, order, F.min_by)
-    return keyed.unionByName(df.filter(F.col(key).isNull()))
+    return _one_per_key(df, key, order, F.min_by)
+
+
+def keep_first(df: DataFrame, key: Key, order: list[Column | str]) -> DataFrame:
+    """One row per key, the first by ``order``; rows without a key are all kept."""
+    return first_per_key(df.filter(_has_key(key)), key, order).unionByName(df.filter(~_has_key(key)))
 
 
-def keep_latest(df: DataFrame, key: str, order: list[Column | str]) -> DataFrame:
+def keep_latest(df: DataFrame, key: Key, order: list[Column | str]) -> DataFrame:
     """One row per key, the last by ``order``; rows without a key are all kept."""
-    keyed = _one_per_key(df.filter(F.col(key).isNotNull()), key, order, F.max_by)
-    return keyed.unionByName(df.filter(F.col(key).isNull()))
+    keyed = _one_per_key(df.filter(_has_key(key)), key, order, F.max_by)
+    return keyed.unionByName(df.filter(~_has_key(key)))
 
 
-def new_rows(existing: DataFrame, new: DataFrame, key: str, order: list[Column | str]) -> DataFrame:
-    """New rows whose key neither exists yet nor came earlier among the new ones."""
-    return keep_first(pending(new, existing, key), key, order)
+def new_rows(existing: DataFrame, new: DataFrame, key: Key, order: list[Column | str]) -> DataFrame:
+    """New rows whose key neither exists yet nor came earlier among the new ones.
+
+    Rows without a key go past the join.
+    """
+    keyed = pending(new.filter(_has_key(key)), existing, key)
+    return first_per_key(keyed, key, order).unionByName(new.filter(~_has_key(key)))
 
 
-def retry_merge(prior: DataFrame, retried: DataFrame, key: str, order: list[Column | str]) -> DataFrame:
+def retry_merge(prior: DataFrame, retried: DataFrame, key: Key, order: list[Column | str]) -> DataFrame:
     """Earlier successes plus the retried rows they do not have yet."""
     return prior.unionByName(new_rows(prior, retried, key, order), allowMissingColumns=True)
 

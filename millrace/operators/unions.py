@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.operators.filters import shard_file_kind
-from millrace.operators.resume import keep_latest
+from millrace.operators.resume import Key, keep_latest
 
 
 def union_in_order(inputs: list[DataFrame], source_column: str = "src_ord") -> DataFrame:
@@ -61,6 +61,6 @@ def merge_shards(rows: DataFrame, merge_errors: bool = True) -> DataFrame:
     return kept.withColumn("status", status).drop("_kind")
 
 
-def latest_status(rows: DataFrame, key: str, order: list[Column | str]) -> DataFrame:
+def latest_status(rows: DataFrame, key: Key, order: list[Column | str]) -> DataFrame:
     """The last outcome per key, so a row that failed and then succeeded counts once."""
     return keep_latest(rows, key, order)

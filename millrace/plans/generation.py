@@ -10,33 +10,46 @@ from millrace.operators.calls import CallPolicy, Transport, with_calls
 from millrace.operators.fanout import over_models
 from millrace.operators.ordinals import split_rows, spread
 from millrace.operators.reports import shard_summary
-from millrace.operators.resume import keep_first, pending, retry_merge
+from millrace.operators.resume import first_per_key, pending, retry_merge
 from millrace.session import stage
 
 ERROR_COLUMNS = ["error", "error_type", "traceback", "timestamp", "task_index"]
 MISSING_MESSAGES = "Object missing 'messages' field"
 
 
+def request_key(model_column: str | None) -> list[str]:
+    """What makes a request one and the same: its uid, and its model if there are several."""
+    return ["uid", model_column] if model_column else ["uid"]
+
+
 def pending_requests(
-    df: DataFrame, done: DataFrame | None = None, dedupe: bool = False, seed: int = 0, tasks: int | None = None
+    df: DataFrame,
+    done: DataFrame | None = None,
+    dedupe: bool = False,
+    seed: int = 0,
+    tasks: int | None = None,
+    model_column: str | None = None,
 ) -> DataFrame:
     """Rows to generate for: with uid, without finished ones, in random order.
 
-    ``tasks`` is the number of tasks that will call the model. ``done`` rows count by their uid, made the same way if they have none. On a
-    first run rows with the same uid are all kept unless ``dedupe`` is set.
+    ``tasks`` is the number of tasks that will call the model. ``done`` rows
+    count by their uid, made the same way if they have none, and by their model
+    if there are several. On a first run rows with the same uid are all kept
+    unless ``dedupe`` is set.
     """
+    key = request_key(model_column)
     rows = with_uid(df)
     if done is not None:
-        rows = pending(rows, done_uids(done), "uid")
+        rows = pending(rows, done_keys(done, model_column), key)
     if dedupe:
-        rows = keep_first(rows, "uid", ["uid"])
+        rows = first_per_key(rows, key, ["uid"])
     return spread(rows, "uid", seed, tasks)
 
 
-def done_uids(done: DataFrame) -> DataFrame:
-    """Uids of finished rows, leaving out what generation itself added."""
+def done_keys(done: DataFrame, model_column: str | None = None) -> DataFrame:
+    """Keys of finished rows, leaving out what generation itself added."""
     added = [c for c in ("response", "final_messages") if c in done.columns]
-    return with_uid(done.drop(*added)).select("uid")
+    return with_uid(done.drop(*added)).select(*request_key(model_column))
 
 
 def generate(
@@ -56,7 +69,7 @@ def generate(
     Columns added: ``response``, ``final_messages``, ``status``, the error
     columns, ``attempts``. Rows without a first message fail without a call.
     """
-    requests = pending_requests(df, done, dedupe, seed, tasks)
+    requests = pending_requests(df, done, dedupe, seed, tasks, model_column)
     if "messages" not in requests.columns:
         requests = requests.withColumn("messages", F.lit(None).cast("array<struct<role:string,content:string>>"))
     model = F.col(model_column) if model_column else None
@@ -107,6 +120,7 @@ def retry_failed(
     transport: Transport,
     policy: CallPolicy = CallPolicy(),
     order: tuple[str, ...] = ("uid",),
+    model_column: str | None = None,
     **options,
 ) -> tuple[DataFrame, DataFrame]:
     """Generate again for failed rows; returns all successes and the remaining errors.
@@ -114,8 +128,9 @@ def retry_failed(
     Old error columns are dropped first. ``prior`` may be empty. Of several rows
     with one uid the first by ``order`` is kept.
     """
-    results = generate(errors.drop(*ERROR_COLUMNS), transport, policy, **options)
-    return retry_merge(prior, success_rows(results), "uid", list(order)), error_rows(results)
+    results = generate(errors.drop(*ERROR_COLUMNS), transport, policy, model_column=model_column, **options)
+    merged = retry_merge(prior, success_rows(results), request_key(model_column), list(order))
+    return merged, error_rows(results)
 
 
 def fan_out(df: DataFrame, models: list[str], order: list[str], chunks: int, stem: str = "part") -> DataFrame:

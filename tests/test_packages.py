@@ -87,3 +87,12 @@ def test_many_extensions_are_counted_apart(spark):
     assert counts.c == {"": 6, ".": 3, ".py": 6, ".p": 3, ".pyy": 3}
     assert json.loads(counts.j) == counts.c
     assert frame.select(F.size(pk.extension_counts("e"))).first()[0] == 5
+
+
+def test_bodies_full_of_tags(spark):
+    body = "<a></b>< /file></fil>\n" * 200_000
+    section = f'<file path="x.html">{body}</file>' + '<file path="open">never <closed'
+    frame = spark.createDataFrame([(section,)], "section string")
+    (entry,) = frame.select(pk.file_entries("section").alias("e")).first().e
+    assert (entry.path, entry.body) == ("x.html", body)
+    assert frame.select(pk.file_paths("section").alias("p")).first().p == ["x.html", "open"]

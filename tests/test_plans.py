@@ -205,6 +205,13 @@ def test_models_in_one_run(spark):
     results = generation.generate(work, transport, FAST, model_column="model")
     summary = {r.model: (r.total_files, r.success_count, r.error_count) for r in generation.model_summary(results).collect()}
     assert summary == {"a": (4, 10, 0), "b": (4, 9, 1)}
+    only_a = generation.success_rows(results).filter("model = 'a'")
+    left = generation.generate(work, transport, FAST, done=only_a, model_column="model")
+    assert {(r.model, r.status) for r in left.select("model", "status").distinct().collect()} == {("b", "success"), ("b", "error")}
+    assert left.count() == 10
+    merged, failed = generation.retry_failed(
+        generation.error_rows(results), generation.success_rows(results), lambda m, c: "now", FAST, model_column="model")
+    assert merged.count() == 20 and failed.count() == 0
 
 
 def test_merge_collections(spark, tmp_path):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -138,19 +139,33 @@ def preprocess_files(
 ) -> tuple[DataFrame, DataFrame]:
     """Run a preprocessor over a folder's unfinished files.
 
-    ``read`` takes paths and must tag rows with ``source_file``. The result is
-    written to ``out`` by source file; returned are the written rows and their
-    stat rows, to be added to the stats table. Only paths pass the driver.
+    ``read`` takes paths and must tag rows with ``source_file``, the file's name.
+    Returns the rows as written to ``out`` and a stat row per file, those without
+    rows included; add these to the stats table to skip the files next time. Only
+    the listing, one short row per file, passes the driver.
     """
     listing = list_files(spark, folder, pattern)
     if stats is not None:
         listing = pending_files(listing, stats)
-    if limit > 0:
-        listing = listing.orderBy("path").limit(limit)
-    paths = [row.path for row in listing.select("path").orderBy("path").toLocalIterator()]
-    if not paths:
+    listing = listing.select("path", "file_name", "length").orderBy("path")
+    files = (listing.limit(limit) if limit > 0 else listing).collect()
+    if not files:
         raise FileNotFoundError(f"no unfinished files match {pattern!r} in {folder}")
-    written = stage(transform(read(paths)), path=out)
-    return written, file_stats(written, "source_file")
-
-
+    started = datetime.now(timezone.utc)
+    written = stage(transform(read([f.path for f in files])), path=out)
+    ended = datetime.now(timezone.utc)
+    done = spark.createDataFrame(files, listing.schema).select(
+        F.col("file_name").alias("source_file"),
+        F.col("path").alias("raw_file_path"),
+        F.lit(out).alias("formatted_file_path"),
+        F.col("length").alias("input_file_size_bytes"),
+        F.lit(started.isoformat()).alias("start_time"),
+        F.lit(ended.isoformat()).alias("end_time"),
+        F.lit((ended - started).total_seconds()).alias("processing_time_seconds"),
+    )
+    counts = file_stats(written, "source_file").drop("processing_complete")
+    return written, (
+        done.join(counts, "source_file", "left")
+        .withColumn("n_sample", F.coalesce("n_sample", F.lit(0)))
+        .withColumn("processing_complete", F.lit(True))
+    )

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-# Fixed value: stamp of a run folder.
+from millrace.sources.tables import file_system
+
+# Stamp of a run folder.
 STAMP_PATTERN = r"^\d{8}_\d{6}"
 STAMP_FORMAT = "%Y%m%d_%H%M%S"
 
@@ -39,6 +41,30 @@ def run_path(template: Column, task: Column, stamp: Column, run_index: Column) -
     return F.replace(filled, F.lit("{run_index}"), run_index.cast("string"))
 
 
+def list_runs(spark: SparkSession, base: str) -> DataFrame:
+    """Folders directly below ``base`` with their name as stamp and whether they hold Parquet files."""
+    runs = []
+    folder, fs = file_system(spark, base)
+    for status in fs.listStatus(folder) if fs.exists(folder) else []:
+        if status.isDirectory():
+            path = status.getPath()
+            held = fs.globStatus(file_system(spark, f"{path.toString()}/*.parquet")[0])
+            runs.append((path.getName(), path.toString(), len(held) > 0))
+    return spark.createDataFrame(runs, "stamp string, path string, has_data boolean")
+
+
+def run_folder(spark: SparkSession, template: str, task: str, resume: bool = True, now: datetime | None = None) -> str:
+    """Where a run writes: the newest earlier run to go on with, or a folder with a new stamp.
+
+    Only a template with ``{timestamp}`` as its last part has earlier runs.
+    """
+    if resume and template.endswith("/{timestamp}"):
+        base = resolve_path(template.removesuffix("/{timestamp}"), task_name=task)
+        if found := latest_run(list_runs(spark, base)).first():
+            return found.path
+    return resolve_path(template, task_name=task, timestamp=run_stamp(now))
+
+
 def latest_run(runs: DataFrame, stamp: str = "stamp", path: str = "path", has_data: str = "has_data") -> DataFrame:
     """The newest run folder, if it holds data; otherwise no row.
 

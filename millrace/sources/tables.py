@@ -42,13 +42,13 @@ def save(df: DataFrame, path: str) -> None:
         write_parquet(df, path)
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop, hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    target, fs = _file_system(spark, path)
+    target, fs = file_system(spark, path)
     return fs.exists(target)
 
 
@@ -57,13 +57,13 @@ def publish(spark: SparkSession, staged: str, target: str) -> str | None:
 
     Returns where the earlier one went.
     """
-    source, fs = _file_system(spark, staged)
-    place, _ = _file_system(spark, target)
+    source, fs = file_system(spark, staged)
+    place, _ = file_system(spark, target)
     aside = None
     if fs.exists(place):
         stamp = datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S")
         aside = f"{target.rstrip('/')}.before-{stamp}-{uuid.uuid4().hex[:8]}"
-        if not fs.rename(place, _file_system(spark, aside)[0]):
+        if not fs.rename(place, file_system(spark, aside)[0]):
             raise OSError(f"could not move {target} aside")
     if not fs.rename(source, place):
         raise OSError(f"could not move {staged} to {target}")

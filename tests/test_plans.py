@@ -80,17 +80,24 @@ def test_triplets(spark):
 
 def test_preprocess_files_skips_finished_ones(spark, tmp_path):
     for name in ("a", "b", "c"):
-        spark.createDataFrame([(name, "text")], "id string, text string").toPandas().to_parquet(tmp_path / f"{name}.parquet")
+        text = "drop" if name == "b" else "text"
+        spark.createDataFrame([(name, text)], "id string, text string").toPandas().to_parquet(tmp_path / f"{name}.parquet")
 
     def read(paths):
         return spark.read.parquet(*paths).select("*", F.col("_metadata.file_name").alias("source_file"))
 
-    done = spark.createDataFrame([(f"file:{tmp_path}/b.parquet", "x", True)],
-                                 "raw_file_path string, formatted_file_path string, processing_complete boolean")
-    rows, stats = preprocess.preprocess_files(
-        spark, str(tmp_path), str(tmp_path / "out"), read, lambda d: preprocess.universal(d, {}), stats=done)
+    def run(out, stats=None):
+        job = lambda d: preprocess.universal(d, {"filters": {"blacklist_patterns": ["drop"]}})
+        return preprocess.preprocess_files(spark, str(tmp_path), str(tmp_path / out), read, job, "?.parquet", stats)
+
+    rows, first = run("out1")
     assert sorted(r.id for r in rows.collect()) == ["a", "c"]
-    assert {(r.source_file, r.n_sample, r.processing_complete) for r in stats.collect()} == {("a.parquet", 1, True), ("c.parquet", 1, True)}
+    assert {(r.source_file, r.n_sample) for r in first.collect()} == {("a.parquet", 1), ("b.parquet", 0), ("c.parquet", 1)}
+    spark.createDataFrame([("d", "text")], "id string, text string").toPandas().to_parquet(tmp_path / "d.parquet")
+    rows, second = run("out2", first)
+    assert [r.id for r in rows.collect()] == ["d"]
+    with pytest.raises(FileNotFoundError):
+        run("out3", first.unionByName(second))
 
 
 TASK = scoring.ScoringTask.from_config(

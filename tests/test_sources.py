@@ -1,4 +1,5 @@
 import json
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F, types as T
@@ -96,6 +97,18 @@ def test_latest_run_has_no_fallback(spark):
     assert naming.latest_run(runs.filter("path <> 'b'")).first().path == "a"
 
 
+def test_run_folders(spark, tmp_path):
+    template, now = f"file:{tmp_path}/{{task_name}}/{{timestamp}}", datetime(2025, 3, 1)
+    fresh = f"file:{tmp_path}/t/20250301_000000"
+    assert naming.run_folder(spark, template, "t", now=now) == fresh
+    spark.createDataFrame([(1, "x")], SCHEMA).write.parquet(f"{tmp_path}/t/20250101_000000")
+    (tmp_path / "t" / "notes").mkdir()
+    assert naming.run_folder(spark, template, "t", now=now) == f"file:{tmp_path}/t/20250101_000000"
+    assert naming.run_folder(spark, template, "t", resume=False, now=now) == fresh
+    (tmp_path / "t" / "20250201_000000").mkdir()
+    assert naming.run_folder(spark, template, "t", now=now) == fresh
+
+
 def test_publish_keeps_the_earlier_table(spark, tmp_path):
     target = str(tmp_path / "t")
     for i in (1, 2):

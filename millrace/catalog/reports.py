@@ -24,8 +24,7 @@ def _shards(spark, sf):
 
 def _times(spark, sf):
     out = reports.time_range(run_log(spark, sf))
-    micros = {c: F.unix_micros(F.col(c).cast("timestamp")) for c in ("first", "last")}
-    return out.withColumns(micros)
+    return out.withColumns({c: reports.epoch_micros(out, c) for c in ("first", "last")})
 
 
 def _languages(spark, sf):

@@ -16,7 +16,7 @@ MESSAGES = T.ArrayType(
 )
 FORMAT_NAME = "chatml"
 
-# Speakers that are kept and the roles they become.
+# Speakers that are kept and the roles they become; the default system prompt.
 SPEAKER_ROLES = {"human": "user", "gpt": "assistant", "user": "user", "assistant": "assistant"}
 DEFAULT_SYSTEM_PROMPT = "You are a helpful assistant and an expert coder."
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from millrace.operators.ordinals import with_ordinal
 
@@ -19,6 +19,14 @@ def _is(status: str, value: str) -> Column:
     return F.coalesce(F.col(status) == value, F.lit(False))
 
 
+def epoch_micros(rows: DataFrame, time: str) -> Column:
+    """Microseconds since 1970; times without a zone are taken as they stand, whatever the session's zone."""
+    if isinstance(rows.schema[time].dataType, T.TimestampType):
+        return F.unix_micros(time)
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_diff("MICROSECOND", epoch, F.col(time).cast("timestamp_ntz"))
+
+
 def file_summary(rows: DataFrame, file: str = "file", status: str = "status") -> DataFrame:
     """Rows, successes and success rate per file."""
     counted = rows.groupBy(file).agg(
@@ -58,7 +66,8 @@ def run_totals(
         F.count_if(_is(status, "error")).alias("failed"),
     ]
     if time:
-        measures += [F.min(time).alias("first"), F.max(time).alias("last")]
+        micros = epoch_micros(rows, time)
+        measures += [F.min(micros).alias("first"), F.max(micros).alias("last")]
     per_file = rows.groupBy(file).agg(*measures)
     totals = [
         F.count(F.lit(1)).alias("total_files"),
@@ -67,8 +76,7 @@ def run_totals(
         F.coalesce(F.sum("failed"), F.lit(0)).alias("failed_items"),
     ]
     if time:
-        seconds = F.unix_micros(F.max("last").cast("timestamp")) - F.unix_micros(F.min("first").cast("timestamp"))
-        totals.append((seconds / F.lit(1e6)).alias("elapsed_time"))
+        totals.append(((F.max("last") - F.min("first")) / F.lit(1e6)).alias("elapsed_time"))
     out = per_file.agg(*totals).withColumn(
         "success_rate", _share(F.col("success_items"), F.col("processed_items"), 0.0)
     )

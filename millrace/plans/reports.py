@@ -27,7 +27,7 @@ def log_report(log: DataFrame) -> dict[str, DataFrame]:
         "scores": reports.score_statistics(log),
         "files": reports.top_files(log),
         "totals": reports.run_totals(log, time="timestamp"),
-        "batches": reports.batch_summary(log, ["timestamp", "item_id"], rank=F.col("timestamp").cast("timestamp")),
+        "batches": reports.batch_summary(log, ["timestamp", "item_id"], rank=reports.epoch_micros(log, "timestamp")),
     }
 
 

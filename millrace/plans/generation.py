@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from millrace.functions.chatml import final_messages, request_messages
 from millrace.functions.identity import with_uid
@@ -11,7 +11,9 @@ from millrace.operators.fanout import over_models
 from millrace.operators.ordinals import split_rows, spread
 from millrace.operators.reports import shard_summary
 from millrace.operators.resume import first_per_key, pending, retry_merge
+from millrace.operators.unions import merge_shards
 from millrace.session import stage
+from millrace.sources.listing import read_shards
 
 ERROR_COLUMNS = ["error", "error_type", "traceback", "timestamp", "task_index"]
 MISSING_MESSAGES = "Object missing 'messages' field"
@@ -144,3 +146,11 @@ def fan_out(df: DataFrame, models: list[str], order: list[str], chunks: int, ste
 def model_summary(results: DataFrame) -> DataFrame:
     """Chunks, successes, errors and rate per model."""
     return shard_summary(results, ["model"], file="chunk_name")
+
+
+def merge_results(spark: SparkSession, base: str, schema: T.StructType, merge_errors: bool = True) -> DataFrame:
+    """Results of all models below ``base`` with their ``status``; retry files and broken files drop out.
+
+    Write it partitioned by model and status; ``shard_summary`` gives the rates.
+    """
+    return merge_shards(read_shards(spark, base, schema), merge_errors)

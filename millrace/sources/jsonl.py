@@ -13,18 +13,6 @@ from millrace.functions.text import strip
 _JSON_OPTIONS = {"allowSingleQuotes": "false", "mode": "FAILFAST"}
 
 
-def read_strict(
-    spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = None, max_rows: int | None = None
-) -> DataFrame:
-    """Every non-blank line must be a JSON object; the first bad one fails the read.
-
-    Give a schema for anything large: without one Spark reads the data twice.
-    """
-    reader = spark.read.options(**_JSON_OPTIONS)
-    rows = reader.schema(schema).json(path) if schema is not None else reader.json(path)
-    return rows.limit(max_rows) if max_rows is not None else rows
-
-
 @F.pandas_udf(T.BooleanType())
 def is_json_object(lines: pd.Series) -> pd.Series:
     """True where the whole text is one JSON object."""
@@ -56,6 +44,30 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return lines.filter(F.col("line") != "")
 
 
+def read_strict(
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType | str | None = None,
+    max_rows: int | None = None,
+    exact: bool = False,
+) -> DataFrame:
+    """Every non-blank line must be a JSON object; the first bad one fails the read.
+
+    Give a schema for anything large: without one Spark reads the data twice.
+    Spark's reader lets text after the object pass; ``exact`` does not, at the
+    price of a check in Python. It needs a schema.
+    """
+    if exact:
+        bad = F.raise_error(F.concat(F.lit("invalid JSON line in "), "file_path"))
+        line = F.when(is_json_object("line"), F.col("line")).otherwise(bad)
+        rows = read_lines(spark, path).select(F.from_json(line, schema, {"allowSingleQuotes": "false"}).alias("_row"))
+        rows = rows.select("_row.*")
+    else:
+        reader = spark.read.options(**_JSON_OPTIONS)
+        rows = reader.schema(schema).json(path) if schema is not None else reader.json(path)
+    return rows.limit(max_rows) if max_rows is not None else rows
+
+
 def read_tolerant(
     spark: SparkSession, path: str | list[str], schema: T.StructType, keep_file: bool = False
 ) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from millrace.functions.text import unix_newlines
-from millrace.sources.jsonl import read_strict, read_tolerant
+from millrace.sources.jsonl import is_json_object, read_lines, read_strict, read_tolerant
 
 # File names of triplets and the layout of package folders.
 TRIPLET_GLOB = "pt_data_*.jsonl"
@@ -104,6 +104,21 @@ def read_triplets(spark: SparkSession, folder: str, schema: T.StructType) -> Dat
     return rows.withColumn("file_language", triplet_language(F.col("file_name"))).drop("file_path")
 
 
+def read_shards(spark: SparkSession, base: str, schema: T.StructType, pattern: str = "*/*split*/*.jsonl") -> DataFrame:
+    """Result files of a multi-model run below ``<base>/<model>/``, tagged ``model`` and ``file_name``.
+
+    A file with a line that is not JSON is left out whole.
+    """
+    lines = read_lines(spark, f"{base}/{pattern}")
+    broken = lines.filter(~is_json_object("line")).groupBy("file_path").agg(F.count(F.lit(1)).alias("n"))
+    whole = lines.join(broken.select("file_path"), "file_path", "left_anti")
+    root = base.split(":", 1)[-1].rstrip("/") + "/"
+    model = F.substring_index(F.substring_index("file_path", root, -1), "/", 1)
+    return whole.select(model.alias("model"), "file_name", F.from_json("line", schema).alias("_row")).select(
+        "model", "file_name", "_row.*"
+    )
+
+
 def read_dataset(
     spark: SparkSession, folder: str, dataset: str, config: str | None, split: str, schema: T.StructType | None = None
 ) -> DataFrame:

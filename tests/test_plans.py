@@ -221,6 +221,25 @@ def test_models_in_one_run(spark):
     assert merged.count() == 20 and failed.count() == 0
 
 
+def test_merge_results(spark, tmp_path):
+    files = {
+        "m1/in_split_0001/in_split_0001.jsonl": '{"k": 1}\n{"k": 2}\n',
+        "m1/in_split_0001/in_split_0001_error.jsonl": '{"k": 3}\n',
+        "m1/in_split_0001/in_split_0001_error_retry_1.jsonl": '{"k": 4}\n',
+        "m1/in_split_0002/in_split_0002.jsonl": '{"k": 5}\nbroken\n',
+        "m2/in_split_0001/in_split_0001.jsonl": '{"k": 6}\n',
+        "m2/other/x.jsonl": '{"k": 7}\n',
+    }
+    for name, text in files.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(text)
+    schema = T.StructType([T.StructField("k", T.LongType())])
+    rows = generation.merge_results(spark, str(tmp_path), schema)
+    assert sorted((r.model, r.status, r.k) for r in rows.collect()) == [
+        ("m1", "error", 3), ("m1", "success", 1), ("m1", "success", 2), ("m2", "success", 6)]
+    assert generation.merge_results(spark, str(tmp_path), schema, merge_errors=False).count() == 3
+
+
 def test_merge_collections(spark, tmp_path):
     (tmp_path / "a.jsonl").write_text('{"k": 1}\nbad\n')
     (tmp_path / "b.jsonl").write_text('{"k": 2}\n\n{"k": 3} x\n')

@@ -21,6 +21,15 @@ def test_strict_read(spark, tmp_path):
         read_strict(spark, str(path), SCHEMA).collect()
 
 
+def test_exact_read_refuses_text_after_the_object(spark, tmp_path):
+    path = tmp_path / "x.jsonl"
+    path.write_text('{"a": 1}\n\n{"a": 2, "s": "y"}\n')
+    assert [tuple(r) for r in read_strict(spark, str(path), SCHEMA, exact=True).collect()] == [(1, None), (2, "y")]
+    path.write_text('{"a": 1}\n{"a": 2} junk\n')
+    with pytest.raises(Exception, match="invalid JSON line"):
+        read_strict(spark, str(path), SCHEMA, exact=True).collect()
+
+
 def test_tolerant_read_skips_what_python_cannot_parse(spark, tmp_path):
     lines = ['{"a": 1, "s": "x"}', '{"a": 2} junk', "{'a': 3}", "", " \t{\"a\": 4} ", "[1]", "nope", '{"a": 5,}', '{"a": NaN, "s": "n"}']
     path = tmp_path / "x.jsonl"

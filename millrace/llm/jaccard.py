@@ -94,10 +94,10 @@ def gram_sets(texts: list[str | None], size: int = 4) -> list[np.ndarray]:
         if y - x >= size:
             out.append(np.unique(grams[x : y - size + 1]))
         elif y > x:
-            whole = np.uint64(0)
-            for h in hashed[x:y]:
-                whole = _mixed(whole + h)
-            out.append(_mixed(whole + np.full(1, y - x, np.uint64)))
+            whole = np.zeros(1, np.uint64)
+            for i in range(x, y):
+                whole = _mixed(whole + hashed[i : i + 1])
+            out.append(_mixed(whole + np.uint64(y - x)))
         else:
             out.append(np.zeros(0, np.uint64))
     return out
@@ -244,7 +244,7 @@ def candidate_sets(rows: DataFrame, frequent: np.ndarray, buckets: int, percent:
     held = parts.groupBy("digest").agg(F.collect_list("grams").alias("parts"))
     sizes = rows.where("kind = 0 and n > 0").groupBy("digest").agg(F.first("n").alias("n"))
     needed = -F.floor(-F.col("n") * percent / 100)
-    held = held.withColumn("m", F.aggregate("parts", F.lit(0).cast("long"), lambda a, p: a + F.length(p) / 8)).join(sizes, "digest").where(F.col("m") >= needed)
+    held = held.withColumn("m", F.aggregate("parts", F.lit(0).cast("long"), lambda a, p: a + (F.length(p) / 8).cast("long"))).join(sizes, "digest").where(F.col("m") >= needed)
     sent = rows.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

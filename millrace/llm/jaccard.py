@@ -33,12 +33,12 @@ from pyspark.sql import functions as F
 from millrace.llm.components import connected_components
 from millrace.session import stage
 
-#: Bytes of text that are hashed at once.
-CHUNK_BYTES = 8_000_000
+#: Characters of text whose grams are dealt together, and that are hashed at once.
+CHUNK_CHARS, HASHED_CHARS = 8_000_000, 1_000_000
 #: A gram is frequent from this many documents on, counted in the chunks that hold it at least LOCAL times; at most FREQUENT of them are broadcast (8 bytes each).
 FREQUENT_FROM, LOCAL, FREQUENT = 64, 4, 200_000
 #: Documents whose grams fill one bucket, on average.
-BUCKET_DOCUMENTS = 8192
+BUCKET_DOCUMENTS = 4096
 #: Sets in a leaf, children of a tree node.
 LEAF, FAN_OUT = 192, 8
 
@@ -57,6 +57,17 @@ _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 
 
 def gram_sets(texts: list[str | None], size: int = 4) -> list[np.ndarray]:
+    """``_hashed_grams`` of all texts, some at a time."""
+    out, first, length = [], 0, 0
+    for i, text in enumerate(texts):
+        length += len(text or "")
+        if length >= HASHED_CHARS or i == len(texts) - 1:
+            out += _hashed_grams(texts[first : i + 1], size)
+            first, length = i + 1, 0
+    return out
+
+
+def _hashed_grams(texts: list[str | None], size: int) -> list[np.ndarray]:
     """The sorted distinct hashes of each text's word n-grams.
 
     Words are runs of bytes other than space and 0x09 to 0x0D, A-Z in lower case. Fewer
@@ -108,14 +119,14 @@ def _digest(grams: np.ndarray) -> bytes:
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str | None]]]:
-    """(ids, texts) with about ``CHUNK_BYTES`` of text in each."""
+    """(ids, texts) with about ``CHUNK_CHARS`` of text in each."""
     ids, texts, size = [], [], 0
     for batch in batches:
         for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             ids.append(i)
             texts.append(text)
             size += len(text or "")
-            if size >= CHUNK_BYTES:
+            if size >= CHUNK_CHARS:
                 yield ids, texts
                 ids, texts, size = [], [], 0
     if ids:
@@ -126,17 +137,28 @@ def _different(sets: list[np.ndarray]) -> dict[bytes, np.ndarray]:
     return {_digest(s): s for s in sets if len(s)}
 
 
-def frequent_grams(documents: DataFrame, size: int) -> np.ndarray:
-    """The most frequent grams, rarest first: counts over all documents, each set once per chunk."""
+def members_and_counts(documents: DataFrame, size: int) -> DataFrame:
+    """A row for each document (``doc_id``, ``n``, ``digest``) and one for each gram that a chunk often holds (``gram``, ``n``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts in _chunks(batches):
-            sets = _different(gram_sets(texts, size))
-            grams, counts = np.unique(np.concatenate([*sets.values(), np.zeros(0, np.uint64)]), return_counts=True)
+        for ids, texts in _chunks(batches):
+            sets = gram_sets(texts, size)
+            digests = [_digest(s) if len(s) else None for s in sets]
+            grams, counts = np.unique(np.concatenate([*dict(zip(digests, sets, strict=True)).values(), np.zeros(0, np.uint64)]), return_counts=True)
             often = counts >= LOCAL
-            yield pa.RecordBatch.from_arrays([pa.array(grams[often].view(np.int64)), pa.array(counts[often])], names=["gram", "n"])
+            gaps, more = pa.nulls(len(ids), pa.int64()), int(often.sum())
+            for arrays in (
+                [pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), gaps],
+                [pa.nulls(more, pa.int64()), pa.array(counts[often], pa.int64()), pa.nulls(more, pa.binary()), pa.array(grams[often].view(np.int64))],
+            ):
+                yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n", "digest", "gram"])
+
+    return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n long, digest binary, gram long")
 
-    counted = documents.select("doc_id", "text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+
+def frequent_grams(counts: DataFrame) -> np.ndarray:
+    """The most frequent grams, rarest first: counts over all documents, each set once per chunk."""
+    counted = counts.where("gram is not null").groupBy("gram").agg(F.sum("n").alias("n"))
     top = counted.where(F.col("n") >= FREQUENT_FROM).orderBy(F.desc("n"), "gram").limit(FREQUENT).toArrow()
     return top["gram"].to_numpy().view(np.uint64)[::-1].copy()
 
@@ -147,50 +169,42 @@ def _needed(n: np.ndarray | int, percent: int) -> np.ndarray | int:
 
 
 def gram_rows(documents: DataFrame, size: int, frequent: np.ndarray, buckets: int) -> DataFrame:
-    """Three kinds of rows: a document's set (kind 0), the grams that a chunk's sets have in a bucket (1), a set's frequent grams (2)."""
+    """What a chunk's sets hold in each bucket: their digests, how many grams each has there, and the grams.
+
+    Grams known to be frequent need no partner to be found; a set's own ones go, whole,
+    to a bucket below 0 that its digest names.
+    """
     sent = documents.sparkSession.sparkContext.broadcast(np.sort(frequent))
     shift = np.uint64(64 - int(math.log2(buckets)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = sent.value
-        for ids, texts in _chunks(batches):
-            sets = gram_sets(texts, size)
-            digests = [_digest(s) if len(s) else None for s in sets]
-            yield _kind(0, doc_id=pa.array(ids, pa.int64()), n=pa.array([len(s) for s in sets], pa.int64()), digest=pa.array(digests, pa.binary()))
-            different = {d: s for d, s in zip(digests, sets, strict=True) if d}
+        for _, texts in _chunks(batches):
+            different = _different(gram_sets(texts, size))
             names = list(different)
             grams = np.concatenate([*different.values(), np.zeros(0, np.uint64)])
             owner = np.repeat(np.arange(len(names)), [len(s) for s in different.values()])
-            if len(known):
+            rows = []
+            if len(known) and len(grams):
                 common = known[np.minimum(np.searchsorted(known, grams), len(known) - 1)] == grams
                 own, per = grams[common], np.bincount(owner[common], minlength=len(names))
-                parts = np.split(own, np.cumsum(per)[:-1]) if len(names) else []
-                some = [(n, p.tobytes()) for n, p in zip(names, parts, strict=True) if len(p)]
-                yield _kind(2, digest=pa.array([n for n, _ in some], pa.binary()), grams=pa.array([p for _, p in some], pa.binary()))
+                for name, part in zip(names, np.split(own, np.cumsum(per)[:-1]), strict=True):
+                    if len(part):
+                        rows.append((-1 - int.from_bytes(name[:6], "little") % buckets, name, np.array([len(part)], "<u4").tobytes(), part.tobytes()))
                 grams, owner = grams[~common], owner[~common]
             bucket = (grams >> shift).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             grams, owner = grams[order], owner[order]
             cuts = np.searchsorted(bucket[order], np.arange(buckets + 1)).tolist()
-            rows = []
             for b, (x, y) in enumerate(zip(cuts, cuts[1:], strict=False)):
                 if y > x:
                     own, counts = np.unique(owner[x:y], return_counts=True)
                     rows.append((b, b"".join([names[i] for i in own]), counts.astype("<u4").tobytes(), _packed(grams[x:y])))
             columns = list(zip(*rows, strict=True)) or [(), (), (), ()]
-            yield _kind(1, bucket=pa.array(columns[0], pa.int64()), owners=pa.array(columns[1], pa.binary()), counts=pa.array(columns[2], pa.binary()), grams=pa.array(columns[3], pa.binary()))
-
-    schema = "kind int, doc_id long, n long, digest binary, bucket long, owners binary, counts binary, grams binary"
-    return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
-
-
-_FIELDS = {"doc_id": pa.int64(), "n": pa.int64(), "digest": pa.binary(), "bucket": pa.int64(), "owners": pa.binary(), "counts": pa.binary(), "grams": pa.binary()}
-
+            types = (pa.int64(), pa.binary(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["bucket", "owners", "counts", "grams"])
 
-def _kind(kind: int, **columns: pa.Array) -> pa.RecordBatch:
-    rows = len(next(iter(columns.values())))
-    arrays = [pa.array(np.full(rows, kind, np.int32))] + [columns.get(name, pa.nulls(rows, t)) for name, t in _FIELDS.items()]
-    return pa.RecordBatch.from_arrays(arrays, names=["kind", *_FIELDS])
+    return documents.select("doc_id", "text").mapInArrow(run, "bucket long, owners binary, counts binary, grams binary")
 
 
 def _packed(grams: np.ndarray) -> bytes:
@@ -208,6 +222,9 @@ def shared_grams(rows: DataFrame, buckets: int) -> DataFrame:
     high = 64 - int(math.log2(buckets))
 
     def run(group: pa.Table) -> pa.Table:
+        if group["bucket"][0].as_py() < 0:
+            own = dict(zip(group["owners"].to_pylist(), group["grams"].to_pylist(), strict=True))
+            return pa.table({"digest": pa.array(list(own), pa.binary()), "grams": pa.array(list(own.values()), pa.binary())})
         owners, counts, grams = [], [], []
         for own, count, data in zip(group["owners"].to_pylist(), group["counts"].to_pylist(), group["grams"].to_pylist(), strict=True):
             owners.append(np.frombuffer(own, "V16"))
@@ -235,14 +252,13 @@ def shared_grams(rows: DataFrame, buckets: int) -> DataFrame:
         bounds = [*starts.tolist(), len(full)]
         return pa.table({"digest": pa.array([name[i].tobytes() for i in own], pa.binary()), "grams": pa.array([data[8 * x : 8 * y] for x, y in zip(bounds, bounds[1:], strict=False)], pa.binary())})
 
-    return rows.where("kind = 1").select("bucket", "owners", "counts", "grams").groupBy("bucket").applyInArrow(run, "digest binary, grams binary")
+    return rows.groupBy("bucket").applyInArrow(run, "digest binary, grams binary")
 
 
-def candidate_sets(rows: DataFrame, frequent: np.ndarray, buckets: int, percent: int) -> DataFrame:
+def candidate_sets(rows: DataFrame, members: DataFrame, frequent: np.ndarray, buckets: int, percent: int) -> DataFrame:
     """``digest``, ``n``, ``grams`` (sorted, shared ones only) and ``prefix`` of the sets that may have a link."""
-    parts = shared_grams(rows, buckets).unionByName(rows.where("kind = 2").select("digest", "grams").distinct())
-    held = parts.groupBy("digest").agg(F.collect_list("grams").alias("parts"))
-    sizes = rows.where("kind = 0 and n > 0").groupBy("digest").agg(F.first("n").alias("n"))
+    held = shared_grams(rows, buckets).groupBy("digest").agg(F.collect_list("grams").alias("parts"))
+    sizes = members.where("n > 0").groupBy("digest").agg(F.first("n").alias("n"))
     needed = -F.floor(-F.col("n") * percent / 100)
     held = held.withColumn("m", F.aggregate("parts", F.lit(0).cast("long"), lambda a, p: a + (F.length(p) / 8).cast("long"))).join(sizes, "digest").where(F.col("m") >= needed)
     sent = rows.sparkSession.sparkContext.broadcast(frequent)
@@ -459,12 +475,12 @@ def components(documents: DataFrame, percent: int = 85, size: int = 4) -> DataFr
     An empty table gives no rows; other columns are not read.
     """
     buckets = 1 << max(4, math.ceil(math.log2(max(1, documents.count()) / BUCKET_DOCUMENTS)))
-    frequent = frequent_grams(documents, size)
-    rows = stage(gram_rows(documents, size, frequent, buckets), "jaccard-grams")
-    sets = stage(candidate_sets(rows, frequent, buckets, percent), "jaccard-sets")
+    first = stage(members_and_counts(documents, size), "jaccard-members")
+    frequent = frequent_grams(first)
+    members = first.where("gram is null").select("doc_id", "n", "digest")
+    sets = stage(candidate_sets(gram_rows(documents, size, frequent, buckets), members, frequent, buckets, percent), "jaccard-sets")
     links = component_links(sets, percent)
     labels = connected_components(links).select(F.col("node").alias("digest"), "label")
-    members = rows.where("kind = 0").select("doc_id", "n", "digest")
     # The smallest doc_id of each set, then of each component: counted before they move, so copies don't pile up.
     lowest = members.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("low")).join(labels, "digest", "left")
     lowest = lowest.withColumn("label", F.coalesce("label", "digest"))

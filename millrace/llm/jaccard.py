@@ -16,7 +16,7 @@
    a second pass compares the pairs of leaves that are not all connected by then.
 
 Every step is exact: frequency only sets the order of grams, never what counts.
-Hashes have 64 bits (a bucket number and 56 more), set digests 128.
+Hashes have 64 bits, of which grams that aren't frequent keep 48 and their bucket's number; set digests have 64.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ CHUNK_CHARS, HASHED_CHARS = 8_000_000, 1_000_000
 #: A gram is frequent from this many documents on, counted in the chunks that hold it at least LOCAL times; at most FREQUENT of them are broadcast (8 bytes each).
 FREQUENT_FROM, LOCAL, FREQUENT = 64, 4, 200_000
 #: Documents whose grams fill one bucket, on average.
-BUCKET_DOCUMENTS = 4096
+BUCKET_DOCUMENTS = 8192
 #: Sets in a leaf, children of a tree node.
 LEAF, FAN_OUT = 192, 8
 
@@ -115,7 +115,7 @@ def _hashed_grams(texts: list[str | None], size: int) -> list[np.ndarray]:
 
 
 def _digest(grams: np.ndarray) -> bytes:
-    return hashlib.blake2b(grams.tobytes(), digest_size=16).digest()
+    return hashlib.blake2b(grams.tobytes(), digest_size=8).digest()
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str | None]]]:
@@ -168,11 +168,24 @@ def _needed(n: np.ndarray | int, percent: int) -> np.ndarray | int:
     return -(-n * percent // 100)
 
 
+_PARTS = ("owners", "sizes", "counts", "grams")
+_PART_SCHEMA = "bucket long, source long, owners binary, sizes binary, counts binary, grams binary"
+
+
+def _part_batch(rows: list[tuple]) -> list[pa.Array]:
+    columns = list(zip(*rows, strict=True)) or [()] * 6
+    return [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), *[pa.binary()] * 4), strict=True)]
+
+
+def _by_owner_bucket(digests: np.ndarray, buckets: int) -> np.ndarray:
+    return (digests % np.uint64(buckets)).astype(np.int64)
+
+
 def gram_rows(documents: DataFrame, size: int, frequent: np.ndarray, buckets: int) -> DataFrame:
-    """What a chunk's sets hold in each bucket: their digests, how many grams each has there, and the grams.
+    """What a chunk's sets hold in each bucket of grams: their digests, how many grams each has there, and the grams.
 
-    Grams known to be frequent need no partner to be found; a set's own ones go, whole,
-    to a bucket below 0 that its digest names.
+    Grams known to be frequent need no partner to be found; a set's size and its own
+    frequent grams go, as source -1, to the bucket that its digest names, numbered below 0.
     """
     sent = documents.sparkSession.sparkContext.broadcast(np.sort(frequent))
     shift = np.uint64(64 - int(math.log2(buckets)))
@@ -181,110 +194,125 @@ def gram_rows(documents: DataFrame, size: int, frequent: np.ndarray, buckets: in
         known = sent.value
         for _, texts in _chunks(batches):
             different = _different(gram_sets(texts, size))
-            names = list(different)
-            grams = np.concatenate([*different.values(), np.zeros(0, np.uint64)])
-            owner = np.repeat(np.arange(len(names)), [len(s) for s in different.values()])
-            rows = []
+            digests = np.frombuffer(b"".join(different), np.uint64)
+            sizes = np.array([len(s) for s in different.values()], np.int64)
+            order = np.argsort(_by_owner_bucket(digests, buckets), kind="stable")
+            sets = list(different.values())
+            grams = np.concatenate([*(sets[i] for i in order), np.zeros(0, np.uint64)])
+            digests, sizes = digests[order], sizes[order]
+            owner = np.repeat(np.arange(len(digests)), sizes)
+            common = np.zeros(len(grams), bool)
             if len(known) and len(grams):
                 common = known[np.minimum(np.searchsorted(known, grams), len(known) - 1)] == grams
-                own, per = grams[common], np.bincount(owner[common], minlength=len(names))
-                for name, part in zip(names, np.split(own, np.cumsum(per)[:-1]), strict=True):
-                    if len(part):
-                        rows.append((-1 - int.from_bytes(name[:6], "little") % buckets, name, np.array([len(part)], "<u4").tobytes(), part.tobytes()))
-                grams, owner = grams[~common], owner[~common]
+            per = np.bincount(owner[common], minlength=len(digests))
+            own, ends = grams[common], np.concatenate([[0], np.cumsum(per)])
+            cuts = np.searchsorted(_by_owner_bucket(digests, buckets), np.arange(buckets + 1)).tolist()
+            rows = [
+                (-1 - b, -1, digests[x:y].tobytes(), sizes[x:y].astype("<u4").tobytes(), per[x:y].astype("<u4").tobytes(), own[ends[x] : ends[y]].tobytes())
+                for b, (x, y) in enumerate(zip(cuts, cuts[1:], strict=False))
+                if y > x
+            ]
+            grams, owner = grams[~common], owner[~common]
             bucket = (grams >> shift).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             grams, owner = grams[order], owner[order]
             cuts = np.searchsorted(bucket[order], np.arange(buckets + 1)).tolist()
             for b, (x, y) in enumerate(zip(cuts, cuts[1:], strict=False)):
                 if y > x:
-                    own, counts = np.unique(owner[x:y], return_counts=True)
-                    rows.append((b, b"".join([names[i] for i in own]), counts.astype("<u4").tobytes(), _packed(grams[x:y])))
-            columns = list(zip(*rows, strict=True)) or [(), (), (), ()]
-            types = (pa.int64(), pa.binary(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["bucket", "owners", "counts", "grams"])
+                    held, counts = np.unique(owner[x:y], return_counts=True)
+                    rows.append((b, b, digests[held].tobytes(), b"", counts.astype("<u4").tobytes(), _packed(grams[x:y])))
+            yield pa.RecordBatch.from_arrays(_part_batch(rows), names=["bucket", "source", *_PARTS])
 
-    return documents.select("doc_id", "text").mapInArrow(run, "bucket long, owners binary, counts binary, grams binary")
+    return documents.select("doc_id", "text").mapInArrow(run, _PART_SCHEMA)
 
 
 def _packed(grams: np.ndarray) -> bytes:
-    """The low 56 bits of each gram: the bucket number says the rest."""
-    return grams.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7].tobytes()
+    """The low 48 bits of each gram: the bucket number says the rest."""
+    return grams.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    low = np.frombuffer(data, np.uint8).reshape(-1, 7)
-    return np.concatenate([low, np.zeros((len(low), 1), np.uint8)], axis=1).view("<u8").ravel()
+    low = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return np.concatenate([low, np.zeros((len(low), 2), np.uint8)], axis=1).view("<u8").ravel()
 
 
 def shared_grams(rows: DataFrame, buckets: int) -> DataFrame:
-    """``digest``, ``grams``: grams that other sets hold too, a row for each bucket and set."""
-    high = 64 - int(math.log2(buckets))
+    """The grams that other sets hold too, dealt to the buckets of their sets; rows of buckets below 0 go through."""
 
     def run(group: pa.Table) -> pa.Table:
-        if group["bucket"][0].as_py() < 0:
-            own = dict(zip(group["owners"].to_pylist(), group["grams"].to_pylist(), strict=True))
-            return pa.table({"digest": pa.array(list(own), pa.binary()), "grams": pa.array(list(own.values()), pa.binary())})
-        owners, counts, grams = [], [], []
-        for own, count, data in zip(group["owners"].to_pylist(), group["counts"].to_pylist(), group["grams"].to_pylist(), strict=True):
-            owners.append(np.frombuffer(own, "V16"))
-            counts.append(np.frombuffer(count, "<u4"))
-            grams.append(_unpacked(data))
-        low = np.concatenate(grams)
-        name, number = np.unique(np.concatenate(owners), return_inverse=True)
-        owner = np.repeat(number, np.concatenate(counts))
+        names = ["bucket", "source", *_PARTS]
+        source = group["bucket"][0].as_py()
+        if source < 0:
+            return group.select(names)
+        owner = np.concatenate([np.repeat(np.frombuffer(o, np.uint64), np.frombuffer(c, "<u4")) for o, c in zip(group["owners"].to_pylist(), group["counts"].to_pylist(), strict=True)])
+        low = np.concatenate([_unpacked(g) for g in group["grams"].to_pylist()])
         order = np.lexsort((owner, low))
         low, owner = low[order], owner[order]
         # A set that several chunks hold counts once.
         first = np.ones(len(low), bool)
         first[1:] = (low[1:] != low[:-1]) | (owner[1:] != owner[:-1])
         low, owner = low[first], owner[first]
-        new = np.ones(len(low), bool)
-        new[1:] = low[1:] != low[:-1]
-        group_of = np.cumsum(new) - 1
-        shared = np.bincount(group_of)[group_of] > 1 if len(low) else new
+        same = low[1:] == low[:-1]
+        shared = np.zeros(len(low), bool)
+        shared[1:] |= same
+        shared[:-1] |= same
         low, owner = low[shared], owner[shared]
-        order = np.argsort(owner, kind="stable")
+        order = np.lexsort((owner, _by_owner_bucket(owner, buckets)))
         low, owner = low[order], owner[order]
-        full = low | (np.uint64(group["bucket"][0].as_py()) << np.uint64(high)) if high < 64 else low
-        own, starts = np.unique(owner, return_index=True)
-        data = full.astype("<u8").tobytes()
-        bounds = [*starts.tolist(), len(full)]
-        return pa.table({"digest": pa.array([name[i].tobytes() for i in own], pa.binary()), "grams": pa.array([data[8 * x : 8 * y] for x, y in zip(bounds, bounds[1:], strict=False)], pa.binary())})
+        cuts = np.searchsorted(_by_owner_bucket(owner, buckets), np.arange(buckets + 1)).tolist()
+        out = []
+        for b, (x, y) in enumerate(zip(cuts, cuts[1:], strict=False)):
+            if y > x:
+                held, counts = np.unique(owner[x:y], return_counts=True)
+                out.append((-1 - b, source, held.tobytes(), b"", counts.astype("<u4").tobytes(), _packed(low[x:y])))
+        return pa.Table.from_arrays(_part_batch(out), names=names)
 
-    return rows.groupBy("bucket").applyInArrow(run, "digest binary, grams binary")
+    return rows.groupBy("bucket").applyInArrow(run, _PART_SCHEMA)
 
 
-def candidate_sets(rows: DataFrame, members: DataFrame, frequent: np.ndarray, buckets: int, percent: int) -> DataFrame:
+def candidate_sets(rows: DataFrame, frequent: np.ndarray, buckets: int, percent: int) -> DataFrame:
     """``digest``, ``n``, ``grams`` (sorted, shared ones only) and ``prefix`` of the sets that may have a link."""
-    held = shared_grams(rows, buckets).groupBy("digest").agg(F.collect_list("grams").alias("parts"))
-    sizes = members.where("n > 0").groupBy("digest").agg(F.first("n").alias("n"))
-    needed = -F.floor(-F.col("n") * percent / 100)
-    held = held.withColumn("m", F.aggregate("parts", F.lit(0).cast("long"), lambda a, p: a + (F.length(p) / 8).cast("long"))).join(sizes, "digest").where(F.col("m") >= needed)
     sent = rows.sparkSession.sparkContext.broadcast(frequent)
+    shift = np.uint64(64 - int(math.log2(buckets)))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(group: pa.Table) -> pa.Table:
         known = sent.value
         by_value = np.argsort(known)
-        for batch in batches:
-            out = []
-            for digest, n, parts_ in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                grams = np.unique(np.frombuffer(b"".join(parts_), "<u8"))
-                if len(grams) < _needed(n, percent):
-                    continue
-                rank = np.zeros(len(grams), np.int64)
-                if len(known):
-                    at = np.minimum(np.searchsorted(known, grams, sorter=by_value), len(known) - 1)
-                    rank = np.where(known[by_value[at]] == grams, by_value[at] + 1, 0)
-                # Grams that only this set holds come first in the order and can't meet another set.
-                length = n - _needed(n, percent) + 1 - (n - len(grams))
-                first = np.lexsort((grams, rank))[:length]
-                out.append((digest, n, grams.tobytes(), grams[first].view(np.int64)))
-            columns = list(zip(*out, strict=True)) or [(), (), (), ()]
-            types = (pa.binary(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["digest", "n", "grams", "prefix"])
-
-    return held.select("digest", "n", "parts").mapInArrow(run, "digest binary, n long, grams binary, prefix array<long>")
+        owners, grams, names, sizes = [], [], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for source, own, size, counts, data in zip(*(group[c].to_pylist() for c in ("source", *_PARTS)), strict=True):
+            digests = np.frombuffer(own, np.uint64)
+            owners.append(np.repeat(digests, np.frombuffer(counts, "<u4")))
+            if source < 0:
+                names.append(digests)
+                sizes.append(np.frombuffer(size, "<u4").astype(np.int64))
+                grams.append(np.frombuffer(data, "<u8"))
+            else:
+                grams.append(_unpacked(data) | (np.uint64(source) << shift))
+        owner, gram = np.concatenate(owners), np.concatenate(grams)
+        order = np.lexsort((gram, owner))
+        owner, gram = owner[order], gram[order]
+        first = np.ones(len(gram), bool)
+        first[1:] = (gram[1:] != gram[:-1]) | (owner[1:] != owner[:-1])
+        owner, gram = owner[first], gram[first]
+        name, at = np.unique(np.concatenate(names), return_index=True)
+        size = np.concatenate(sizes)[at]
+        begins, ends = np.searchsorted(owner, name), np.searchsorted(owner, name, side="right")
+        needed = _needed(size, percent)
+        out = []
+        for i in np.flatnonzero((ends - begins >= needed) & (size > 0)).tolist():
+            own, n = gram[begins[i] : ends[i]], int(size[i])
+            rank = np.zeros(len(own), np.int64)
+            if len(known):
+                place = np.minimum(np.searchsorted(known, own, sorter=by_value), len(known) - 1)
+                rank = np.where(known[by_value[place]] == own, by_value[place] + 1, 0)
+            # Grams that only this set holds come first in the order and can't meet another set.
+            prefix = np.lexsort((own, rank))[: len(own) - int(needed[i]) + 1]
+            out.append((name[i].tobytes(), n, own.tobytes(), own[prefix].view(np.int64)))
+        columns = list(zip(*out, strict=True)) or [(), (), (), ()]
+        types = (pa.binary(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
+        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["digest", "n", "grams", "prefix"])
+
+    return rows.groupBy("bucket").applyInArrow(run, "digest binary, n long, grams binary, prefix array<long>")
 
 
 class _Tree:
@@ -478,7 +506,7 @@ def components(documents: DataFrame, percent: int = 85, size: int = 4) -> DataFr
     first = stage(members_and_counts(documents, size), "jaccard-members")
     frequent = frequent_grams(first)
     members = first.where("gram is null").select("doc_id", "n", "digest")
-    sets = stage(candidate_sets(gram_rows(documents, size, frequent, buckets), members, frequent, buckets, percent), "jaccard-sets")
+    sets = stage(candidate_sets(shared_grams(gram_rows(documents, size, frequent, buckets), buckets), frequent, buckets, percent), "jaccard-sets")
     links = component_links(sets, percent)
     labels = connected_components(links).select(F.col("node").alias("digest"), "label")
     # The smallest doc_id of each set, then of each component: counted before they move, so copies don't pile up.

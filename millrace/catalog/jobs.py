@@ -177,9 +177,7 @@ def _merged(spark, sf):
     write_jsonl(_docs(spark, sf).select("doc_id", "text", name.alias("name")), root, ["name"])
     groups = [{**g, "input_files": [f"name={f}" for f in g["input_files"]]} for g in GROUPS]
     schema = T.StructType.fromDDL("doc_id bigint, text string")
-    rows = read_tolerant(spark, root, schema, keep_file=True)
-    rows = rows.withColumn("file_name", F.element_at(F.split("file_path", "/"), -2))
-    return conversations.merge_groups(rows, groups).select("doc_id", "text", "group", "output_file")
+    return conversations.merge_collections(spark, root, groups, schema).select("doc_id", "text", "group", "output_file")
 
 
 def _generated(spark, sf):

@@ -121,7 +121,7 @@ ENTRIES = {
     "st31": Entry(
         _reasons,
         """SELECT event_id, CASE event_type WHEN 'signup' THEN 'Missing required keys: score'
-                  WHEN 'purchase' THEN 'bad json' WHEN 'error' THEN 'Parsed data is not a dictionary.'
+                  WHEN 'purchase' THEN 'bad json' WHEN 'error' THEN 'The reply holds no JSON object.'
                   ELSE '' END AS reason FROM events""",
     ),
     "ud5": Entry(

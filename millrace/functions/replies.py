@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -12,9 +12,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from millrace.functions.text import as_column
 
-# Where JSON is looked for in a reply.
-_BRACES = re.compile(r"\{.*\}", re.DOTALL)
-_FENCED = re.compile(r"```json\s*(\{.*?\})\s*```", re.DOTALL)
+# Fixed value: what opens and closes a fenced JSON block.
+_FENCE, _FENCE_END = "```json", "```"
 
 
 class ReplyError(ValueError):
@@ -24,24 +23,39 @@ class ReplyError(ValueError):
 def read_reply(text: str | None) -> dict[str, Any]:
     """The JSON object in a reply.
 
-    Tried in turn: from the first to the last brace, the first fenced block, the
-    whole text.
+    Its places are tried in turn, each found by plain searches, so a run-away reply
+    costs no more than its length; the first one that is JSON counts. JSON that is too
+    deep or holds a number too long to read is as bad as broken JSON.
     """
     if not text:
-        raise ReplyError("Input text is empty.")
-    value = None
-    if braces := _BRACES.search(text):
+        raise ReplyError("The reply is empty.")
+    problem = "The reply holds no JSON object."
+    for place in _places(text):
         try:
-            value = json.loads(braces.group(0))
-        except json.JSONDecodeError:
-            fenced = _FENCED.search(text)
-            try:
-                value = json.loads(fenced.group(1) if fenced else text)
-            except json.JSONDecodeError as error:
-                raise ReplyError(str(error)) from error
-    if not isinstance(value, dict):
-        raise ReplyError("Parsed data is not a dictionary.")
-    return value
+            value = json.loads(place)
+        except (ValueError, RecursionError) as error:
+            problem = f"{type(error).__name__}: {error}"
+            continue
+        if isinstance(value, dict):
+            return value
+        break
+    raise ReplyError(problem)
+
+
+def _places(text: str) -> Iterator[str]:
+    """From the first brace to the last one; then the first fenced object or, without one, everything."""
+    first, last = text.find("{"), text.rfind("}")
+    if not 0 <= first < last:
+        return
+    yield text[first : last + 1]
+    fence = text.find(_FENCE)
+    inside, end, _ = text[fence + len(_FENCE) :].partition(_FENCE_END) if fence >= 0 else ("", "", "")
+    yield inside.strip() if end and inside.strip().startswith("{") else text
+
+
+def without_surrogates(text: str | None) -> str | None:
+    """Half characters, as cut-off replies hold them, can't leave Python: they become question marks."""
+    return text if text is None or text.isascii() else text.encode("utf-8", "replace").decode()
 
 
 def _type_of(default: Any) -> T.DataType:
@@ -113,7 +127,7 @@ def _object_or_reason(replies: pd.Series) -> pd.Series:
 
     def read(text: str | None) -> str:
         try:
-            return json.dumps(read_reply(text), ensure_ascii=False)
+            return without_surrogates(json.dumps(read_reply(text), ensure_ascii=False))
         except ReplyError as error:
             return str(error)
 
@@ -150,7 +164,8 @@ def _typed(value: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.ArrayType):
         return F.from_json(value, dtype)
     if isinstance(dtype, T.LongType):
-        return F.coalesce(value.try_cast("bigint"), value.try_cast("double").try_cast("bigint"))
+        whole = F.regexp_extract(value, r"\A(-?[0-9]+)(\.0+)?\z", 1)
+        return whole.try_cast("bigint")
     return value.try_cast(dtype)
 
 

@@ -20,6 +20,8 @@ from typing import Any
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from millrace.functions.replies import without_surrogates
+
 Transport = Callable[[list[dict[str, str]], dict[str, Any]], str]
 
 # Parameters a configuration may pass to the model.
@@ -73,7 +75,11 @@ def call_with_retry(
         except Exception as raised:
             kind, error, trace = "call", f"{type(raised).__name__}: {raised}", traceback.format_exc()
             continue
-        problem = check(reply) if check else None
+        reply = without_surrogates(reply)
+        try:
+            problem = check(reply) if check else None
+        except Exception as raised:
+            problem = f"{type(raised).__name__}: {raised}"
         if problem is None:
             return reply, attempt, None, None, None, None
         kind, error, trace = "format", problem, None

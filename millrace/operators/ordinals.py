@@ -146,13 +146,13 @@ def shard_files(listing: DataFrame, index: int, world: int, path: str = "path")
 def spread(df: DataFrame, key: str, seed: int = 0, tasks: int | None = None) -> DataFrame:
     """Rows in a reproducible random order, spread evenly over the tasks.
 
-    Tasks are chosen by a hash of the whole row, so that a frequent key does not
-    end up in one of them. Their number is fixed: AQE would otherwise merge them
-    by bytes, while the work that follows is a call per row.
+    Rows are dealt in turn, so that neither a frequent key nor equal rows end up in
+    one task; Spark sorts before it deals, so a repeated task deals alike. The number
+    of tasks is fixed: AQE would otherwise merge them by bytes, while the work that
+    follows is a call per row.
     """
     tasks = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    where = row_hash(df, seed)
-    return df.repartition(tasks, where).sortWithinPartitions(F.xxhash64(F.col(key), F.lit(seed)), where)
+    return df.repartition(tasks).sortWithinPartitions(F.xxhash64(F.col(key), F.lit(seed)), row_hash(df, seed))
 
 
 def row_hash(df: DataFrame, seed: int = 0) -> Column:

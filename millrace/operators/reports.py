@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from millrace.operators.ordinals import with_ordinal
@@ -137,7 +139,10 @@ def score_statistics(
     ]
     known = ["n", "mean", "minimum", "maximum"]
     if by:
-        attached = scores.join(scores.groupBy(*by).agg(*measures), by)
+        # Null-safe: rows without a group are a group of their own.
+        measured = scores.groupBy(*by).agg(*measures).withColumnsRenamed({c: f"_by_{c}" for c in by})
+        same_group = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by])
+        attached = scores.join(measured, same_group).drop(*(f"_by_{c}" for c in by))
     else:
         whole = scores.agg(*measures).first()
         ends = F.array(*[F.lit(e) for e in whole["_ends"] or [None, None]]).cast("array<double>")

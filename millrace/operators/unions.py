@@ -23,27 +23,29 @@ def union_in_order(inputs: list[DataFrame], source_column: str = "src_ord") -> D
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
 
 
-def merge_groups(files: DataFrame, groups: list[dict], selected: list[str] | None = None) -> DataFrame:
+def merge_groups(
+    files: DataFrame, groups: list[dict], selected: list[str] | None = None, name: Column | None = None
+) -> DataFrame:
     """Rows of each group's input files, tagged with group and file position.
 
-    ``files`` carries ``file_name``; ``groups`` are ``{"name", "output_file",
+    ``files`` carries ``file_name``, or ``name`` says what the groups call a row's file; ``groups`` are ``{"name", "output_file",
     "input_files"}``. A file may serve several groups. The groups are a literal
     map in the plan: a lookup and an explode, no join.
     """
     wanted = [g for g in groups if not selected or g["name"] in selected]
     entries: dict[str, list[Column]] = {}
     for group in wanted:
-        for position, name in enumerate(group["input_files"]):
+        for position, input_file in enumerate(group["input_files"]):
             entry = F.struct(
                 F.lit(group["name"]).alias("group"),
                 F.lit(group["output_file"]).alias("output_file"),
                 F.lit(position).alias("src_ord"),
             )
-            entries.setdefault(name, []).append(entry)
+            entries.setdefault(input_file, []).append(entry)
     if not entries:
         raise ValueError("no merge group to run")
-    lookup = F.create_map(*[c for name, found in entries.items() for c in (F.lit(name), F.array(*found))])
-    matched = files.withColumn("_groups", F.element_at(lookup, F.col("file_name")))
+    lookup = F.create_map(*[c for key, found in entries.items() for c in (F.lit(key), F.array(*found))])
+    matched = files.withColumn("_groups", F.element_at(lookup, F.col("file_name") if name is None else name))
     return matched.withColumn("_group", F.explode("_groups")).select("*", "_group.*").drop("_groups", "_group")
 
 

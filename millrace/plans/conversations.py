@@ -11,7 +11,7 @@ from millrace.functions.chatml import DEFAULT_SYSTEM_PROMPT, FORMAT_NAME, LAYOUT
 from millrace.operators.filters import with_messages
 from millrace.operators.unions import merge_groups
 from millrace.sources.jsonl import read_tolerant
-from millrace.sources.listing import read_dataset
+from millrace.sources.listing import dataset_splits, read_dataset
 from millrace.sources.naming import chat_file_name
 
 
@@ -53,7 +53,8 @@ def convert_datasets(
 ) -> DataFrame:
     """All configured (dataset, config, split) parts as one table of chat records.
 
-    ``done`` holds names of finished outputs. ``output_file`` names each row's
+    Without ``splits`` all splits that a dataset's files name are read; a dataset
+    without files is skipped with a warning. ``done`` holds names of finished outputs. ``output_file`` names each row's
     output; write the result partitioned by dataset, config and split.
     """
     parts = []
@@ -62,7 +63,8 @@ def convert_datasets(
         if selected and dataset not in selected:
             continue
         for config in details.get("configs") or [None]:
-            for split in (splits or {}).get(dataset, ["train"]):
+            named = (splits or {}).get(dataset) or dataset_splits(spark, folder, dataset, config)
+            for split in named:
                 rows = read_dataset(spark, folder, dataset, config, split, (schemas or {}).get(dataset))
                 prompt = system_prompt if add_system_prompt else None
                 chat = to_chat(rows, details["format_style"], details["column_mapping"], keep_raw, prompt, keep=tags)
@@ -84,12 +86,16 @@ def merge_collections(
 ) -> DataFrame:
     """Merge groups of JSON-lines files; invalid lines are skipped.
 
-    Every input must exist, otherwise nothing is merged: a missing path fails the
-    read. Rows carry ``group``, ``output_file`` and ``src_ord``.
+    Inputs are files below ``folder``, subfolders included, or folders that Spark wrote. Every input must exist,
+    otherwise nothing is merged: a missing path fails the read. Rows carry ``group``, ``output_file`` and ``src_ord``.
     """
     wanted = [g for g in groups if not selected or g["name"] in selected]
     paths = sorted({f"{folder}/{name}" for g in wanted for name in g["input_files"]})
     if not paths:
         raise ValueError("no merge group to run")
     rows = read_tolerant(spark, paths, schema, keep_file=True)
-    return merge_groups(rows, wanted).drop("file_path")
+    root = folder.split(":", 1)[-1].rstrip("/") + "/"
+    relative = F.url_decode(F.substring_index(F.replace("file_path", F.lit("+"), F.lit("%2B")), root, -1))
+    folder_of = F.regexp_replace(relative, "/[^/]*$", "")
+    named = sorted({name for g in wanted for name in g["input_files"]})
+    return merge_groups(rows, wanted, name=F.when(relative.isin(named), relative).otherwise(folder_of)).drop("file_path")

@@ -49,7 +49,9 @@ def pending_requests(
 
 
 def done_keys(done: DataFrame, model_column: str | None = None) -> DataFrame:
-    """Keys of finished rows, leaving out what generation itself added."""
+    """Keys of finished rows, without failed ones, leaving out what generation itself added."""
+    if "status" in done.columns:
+        done = done.where(F.coalesce(F.col("status") != "error", F.lit(True)))
     added = [c for c in ("response", "final_messages") if c in done.columns]
     return with_uid(done.drop(*added)).select(*request_key(model_column))
 

@@ -22,7 +22,7 @@ def is_json_object(lines: pd.Series) -> pd.Series:
             return False
         try:
             return isinstance(json.loads(line), dict)
-        except ValueError:
+        except (ValueError, RecursionError):
             return False
 
     return lines.map(check).astype(bool)

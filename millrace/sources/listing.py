@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
+import warnings
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from millrace.functions.text import unix_newlines
@@ -125,30 +126,64 @@ def read_dataset(
     """One (dataset, config, split), tagged with the three names.
 
     Tried in turn: ``<folder>/<dataset>`` as a bare JSON-lines file,
-    ``<folder>/<dataset>[/<config>]/<split>*`` as Parquet or JSON lines, and the
+    ``<folder>/<dataset>[/<config>]/<split>[-<shard>]`` as Parquet and JSON lines, and the
     same below ``<folder>`` itself when it is the dataset's own folder.
     """
-    leaf = dataset.rsplit("/", 1)[-1]
     if dataset.endswith(".jsonl"):
         rows = read_strict(spark, f"{folder}/{dataset}", schema)
     else:
-        bases = [f"{folder}/{dataset}"]
-        if folder.rstrip("/").rsplit("/", 1)[-1] == leaf:
-            bases.append(folder.rstrip("/"))
-        rows = _read_split(spark, [f"{b}/{config}" if config else b for b in bases], split, schema)
+        rows = _read_split(spark, _dataset_folders(folder, dataset, config), split, schema)
     return rows.select(
         "*", F.lit(dataset).alias("dataset"), F.lit(config).cast("string").alias("config"), F.lit(split).alias("split")
     )
 
 
+def _dataset_folders(folder: str, dataset: str, config: str | None) -> list[str]:
+    bases = [f"{folder}/{dataset}"]
+    if folder.rstrip("/").rsplit("/", 1)[-1] == dataset.rsplit("/", 1)[-1]:
+        bases.append(folder.rstrip("/"))
+    return [f"{b}/{config}" if config else b for b in bases]
+
+
+# A split's file or folder is its name, or its name and a shard number.
+_SHARD = r"(?:-\d+(?:-of-\d+)?)?"
+_EXTENSIONS = ("parquet", "jsonl")
+
+
+def _split_names(spark: SparkSession, base: str) -> list[tuple[str, str, str]]:
+    """(split, extension, name) of the files and table folders directly in ``base``; none if it doesn't exist."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(base)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return []
+    found = []
+    for status in files.listStatus(path):
+        name = status.getPath().getName()
+        if match := re.fullmatch(rf"(.+?){_SHARD}\.({'|'.join(_EXTENSIONS)})", name):
+            found.append((match[1], match[2], name))
+    return sorted(found)
+
+
+def dataset_splits(spark: SparkSession, folder: str, dataset: str, config: str | None) -> list[str]:
+    """The splits that a dataset's files name; a bare JSON-lines file is one, ``train``. None, with a warning, without files."""
+    if dataset.endswith(".jsonl"):
+        return ["train"]
+    for base in _dataset_folders(folder, dataset, config):
+        if names := _split_names(spark, base):
+            return sorted({split for split, _, _ in names})
+    warnings.warn(f"no files of {dataset} ({config}) below {folder}: skipped", stacklevel=2)
+    return []
+
+
 def _read_split(spark: SparkSession, bases: list[str], split: str, schema: T.StructType | None) -> DataFrame:
+    """All files of exactly this split, Parquet and JSON lines together, from the first folder that has some."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read
     for base in bases:
-        for extension in ("parquet", "jsonl"):
-            reader = spark.read.schema(schema) if schema is not None else spark.read
-            try:
-                path = f"{base}/{split}*.{extension}"
-                return reader.parquet(path) if extension == "parquet" else reader.json(path)
-            except AnalysisException as error:
-                if error.getCondition() != "PATH_NOT_FOUND":
-                    raise
+        parts = []
+        for extension in _EXTENSIONS:
+            paths = [f"{base}/{name}" for own, kind, name in _split_names(spark, base) if (own, kind) == (split, extension)]
+            if paths:
+                parts.append(reader.parquet(*paths) if extension == "parquet" else reader.json(paths))
+        if parts:
+            return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     raise FileNotFoundError(f"no files for split {split!r} in {bases}")

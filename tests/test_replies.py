@@ -91,7 +91,7 @@ def test_contract_columns(spark):
     ]
     errors = [r.reply_error for r in rows]
     assert errors[:4] == [None] * 4 and errors[4] == "Missing required keys: score"
-    assert errors[5] == "Parsed data is not a dictionary." and errors[6] is None
+    assert errors[5] == "The reply holds no JSON object." and errors[6] is None
 
 
 def test_contract_check_agrees_with_columns(spark):

@@ -34,11 +34,11 @@ from millrace.llm.components import connected_components
 from millrace.session import stage
 
 #: Characters of text whose grams are dealt together, and that are hashed at once.
-CHUNK_CHARS, HASHED_CHARS = 8_000_000, 1_000_000
+CHUNK_CHARS, HASHED_CHARS = 4_000_000, 500_000
 #: A gram is frequent from this many documents on, counted in the chunks that hold it at least LOCAL times; at most FREQUENT of them are broadcast (8 bytes each).
 FREQUENT_FROM, LOCAL, FREQUENT = 64, 4, 200_000
 #: Documents whose grams fill one bucket, on average.
-BUCKET_DOCUMENTS = 8192
+BUCKET_DOCUMENTS = 4096
 #: Sets in a leaf, children of a tree node.
 LEAF, FAN_OUT = 192, 8
 

@@ -21,6 +21,8 @@ from millrace.llm.bpe import Encoder, with_encoder
 
 #: Ids in a block.
 BLOCK_IDS = 1 << 20
+#: Bytes of encoded texts that leave Python at once.
+BATCH_BYTES = 1 << 23
 
 
 def write_token_files(documents: DataFrame, path: str, end_id: int, folder: str) -> None:
@@ -32,9 +34,14 @@ def write_token_files(documents: DataFrame, path: str, end_id: int, folder: str)
 
     def work(encoder: Encoder, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            rows, size = [], 0
             for ids in encoder.encode(batch.column(0).to_pylist()):
-                row = np.frombuffer(ids, "<u4").astype("<u2").tobytes()
-                yield pa.RecordBatch.from_arrays([pa.array([row], pa.binary())], names=["value"])
+                rows.append(np.frombuffer(ids, "<u4").astype("<u2").tobytes())
+                size += len(ids)
+                if size >= BATCH_BYTES:
+                    yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["value"])
+                    rows, size = [], 0
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["value"])
 
     rows = with_encoder(documents.select("text"), path, work, "value binary")
     separator = np.array([end_id], "<u2").tobytes().decode("latin-1")

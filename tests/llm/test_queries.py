@@ -54,4 +54,6 @@ def test_pipeline_stages(spark):
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, SMALL)
     assert packed.select("doc_id").distinct().count() == kept[-1]
     assert packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 4096").count() == 0
-    assert corpus_pipeline.run(spark, SMALL).count() == packed.count()
+    # Where documents are cut depends on how the rows were dealt; what is packed doesn't.
+    counts = lambda frame: sorted(tuple(r) for r in frame.select("doc_id", "doc_tokens").distinct().collect())
+    assert counts(corpus_pipeline.run(spark, SMALL)) == counts(packed)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window, functions as F
+from pyspark.sql import functions as F
 
 from millrace.catalog import Entry
 from millrace.catalog.inputs import FINISHED_SQL, REQUESTS_SQL, finished_requests, requests, table
@@ -212,9 +212,7 @@ ENTRIES = {
         "SELECT doc_id AS id, text FROM documents UNION ALL SELECT item_id, text FROM benchmark",
     ),
     "so1": Entry(
-        lambda spark, sf: _files(spark, sf).select(
-            "path", F.row_number().over(Window.orderBy("path")).cast("bigint").alias("position")
-        ),
+        lambda spark, sf: ordinals.in_order(_files(spark, sf).select("path")).select("path", "position"),
         f"SELECT path, row_number() OVER (ORDER BY path) AS position FROM {_FILES_SQL}",
     ),
     "so2": Entry(

@@ -1,8 +1,8 @@
 """Row ordinals and the operators that rest on them: splits, shards, limits.
 
-A window without partitions would send the whole table to one task. Ordinals
-are worked out in ranges instead: range bounds from a mergeable sketch, one
-count per range, then a row number inside each range plus the rows before it.
+A window without partitions would send the whole table to one task. Rows are dealt
+by ranges of the whole order instead and numbered inside each range; the number of
+rows in the ranges before gives the rest.
 """
 
 from __future__ import annotations
@@ -11,70 +11,39 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-#: Most ranges used; this many counts are read back to the driver.
-MAX_RANGES = 8192
+from millrace.session import stage
 
-#: Largest k for which Spark filters ranks before the shuffle by itself.
-_RANK_PUSHDOWN = 1000
-
-
-def _range_of(rank: Column, bounds: list[float]) -> Column:
-    """Index of the range a value falls in: bounds below it, found in two steps."""
-    if not bounds:
-        return F.lit(0)
-    step = max(1, math.isqrt(len(bounds)))
-    groups = [bounds[i : i + step] for i in range(0, len(bounds), step)]
-
-    def below(values: Column) -> Column:
-        return F.size(F.filter(values, lambda b: b < rank))
-
-    def literal(values: list[float]) -> Column:
-        return F.array(*[F.lit(v) for v in values])
-
-    lasts = literal([group[-1] for group in groups])
-    full = F.least(below(lasts), F.lit(len(groups) - 1))
-    inner = F.element_at(F.array(*[literal(group) for group in groups]), full + F.lit(1))
-    return full * F.lit(step) + below(inner)
+#: Bits of ``monotonically_increasing_id`` that count rows inside a task; the task's number is above them.
+_PLACE_BITS = 33
 
 
 def with_ordinal(
-    df: DataFrame,
-    order: list[Column | str],
-    rank: Column | str | None = None,
-    name: str = "ord",
-    ranges: int | None = None,
+    df: DataFrame, order: list[Column | str], name: str = "ord", ranges: int | None = None
 ) -> tuple[DataFrame, int]:
     """Number the rows 1, 2, ... by ``order``; also returns how many there are.
 
-    ``order`` must be total. ``rank`` is a number that grows with it and spreads
-    the rows over the ranges (the first order column by default); it need not be
-    unique, but rows with the same rank are sorted by one task.
+    ``order`` must be total and may be of any sortable types, nulls first. Rows are
+    dealt by ranges of the whole order, so neither a frequent first value nor nulls
+    gather in one task. ``ranges`` is the number of tasks; without it Spark takes
+    ``spark.sql.shuffle.partitions`` and merges small ones.
 
-    Reads the rank column twice ahead of the result, whose one shuffle carries
-    the full rows. Bounds and offsets enter the plan as literals, so recomputing
-    a lost partition gives the same numbers.
+    The full rows move once and are written in the staging folder with their place,
+    so the numbers stay the same whatever is computed again. One count per range
+    reaches the driver.
     """
     keys = [F.col(c) if isinstance(c, str) else c for c in order]
-    rank = keys[0] if rank is None else F.col(rank) if isinstance(rank, str) else rank
-    rank = rank.cast("double")
-    if ranges is None:
-        ranges = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    ranges = max(1, min(ranges, MAX_RANGES))
-    shares = [F.lit(i / ranges) for i in range(1, ranges)]
-    bounds: list[float] = []
-    if shares:
-        sketch = df.select(rank.alias("r")).agg(F.percentile_approx("r", F.array(*shares), F.lit(10 * ranges)))
-        bounds = sorted(set(sketch.first()[0] or []))
-    bucket = _range_of(F.coalesce(rank, F.lit(float("-inf"))), bounds)
-    counts = dict(df.select(bucket.alias("b")).groupBy("b").count().collect())
-    before, offsets = 0, []
-    for index in range(len(bounds) + 1):
-        offsets.append(before)
-        before += counts.get(index, 0)
-    start = F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets]), F.col("_range") + F.lit(1))
-    inside = F.row_number().over(Window.partitionBy("_range").orderBy(*keys))
-    numbered = df.withColumn("_range", bucket).withColumn(name, start + inside).drop("_range")
-    return numbered, before
+    dealt = df.repartitionByRange(ranges, *keys) if ranges else df.repartitionByRange(*keys)
+    placed = dealt.sortWithinPartitions(*keys).withColumn("_place", F.monotonically_increasing_id())
+    staged = stage(placed, "ordinals")
+    span = F.shiftright("_place", _PLACE_BITS)
+    counts = dict(staged.groupBy(span.cast("int").alias("r")).count().collect())
+    total, offsets = 0, []
+    for index in range(max(counts, default=0) + 1):
+        offsets.append(total)
+        total += counts.get(index, 0)
+    start = F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets]), (span + 1).cast("int"))
+    inside = F.col("_place").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)) + 1
+    return staged.withColumn(name, start + inside).drop("_place"), total
 
 
 def split_rows(
@@ -83,7 +52,6 @@ def split_rows(
     chunks: int | None = None,
     rows_per_chunk: int | None = None,
     stem: str = "part",
-    rank: Column | str | None = None,
 ) -> DataFrame:
     """Contiguous chunks of equal size; the last ones may be short or missing.
 
@@ -91,7 +59,7 @@ def split_rows(
     """
     if chunks is None and rows_per_chunk is None:
         raise ValueError("give chunks or rows_per_chunk")
-    numbered, total = with_ordinal(df, order, rank)
+    numbered, total = with_ordinal(df, order)
     size = math.ceil(total / chunks) if chunks is not None else rows_per_chunk
     chunk = F.expr(f"CAST((ord - 1) DIV {max(size, 1)} + 1 AS INT)")
     return numbered.withColumn("chunk", chunk).withColumn("chunk_name", chunk_name(stem, F.col("chunk")))
@@ -102,23 +70,22 @@ def chunk_name(stem: str, chunk: Column) -> Column:
     return F.concat(F.lit(f"{stem}_split_"), number)
 
 
-def first_n_per_group(df: DataFrame, by: list[str], order: list[Column | str], n: int) -> DataFrame:
+def first_n_per_group(
+    df: DataFrame, by: list[str], order: list[Column | str], n: int, parts: int = 64
+) -> DataFrame:
     """The first n rows of each group.
 
-    Ranks are cut on the map side before rows move. Spark does that by itself
-    for small n; for a large n each group is first cut in 64 parts, so that no
-    task sorts a whole group.
+    Each group is first cut in ``parts`` parts of which n rows each remain, so that
+    no task sorts a whole group; for small n Spark also cuts ranks before rows move.
     """
     keys = [F.col(c) if isinstance(c, str) else c for c in order]
 
-    def cut(frame: DataFrame, parts: list[str]) -> DataFrame:
-        position = F.row_number().over(Window.partitionBy(*parts).orderBy(*keys))
+    def cut(frame: DataFrame, groups: list[str]) -> DataFrame:
+        position = F.row_number().over(Window.partitionBy(*groups).orderBy(*keys))
         return frame.withColumn("_rn", position).filter(F.col("_rn") <= n).drop("_rn")
 
-    if n > _RANK_PUSHDOWN:
-        spread = F.pmod(F.xxhash64(*keys), F.lit(64))
-        df = cut(df.withColumn("_part", spread), [*by, "_part"]).drop("_part")
-    return cut(df, by)
+    parted = df.withColumn("_part", F.pmod(F.xxhash64(*keys), F.lit(parts)))
+    return cut(cut(parted, [*by, "_part"]).drop("_part"), by)
 
 
 def limit_files(listing: DataFrame, n: int, language: str | None = None, path: str = "path") -> DataFrame:
@@ -131,16 +98,18 @@ def limit_files(listing: DataFrame, n: int, language: str | None = None, path: s
     return first_n_per_group(listing, [language], [path], max(1, n // max(languages, 1)))
 
 
-def shard_files(listing: DataFrame, index: int, world: int, path: str = "path") -> DataFrame:
-    """Block number ``index`` of ``world`` equal blocks of the sorted listing.
+def in_order(listing: DataFrame, path: str = "path") -> DataFrame:
+    """The listing with each file's ``position`` (from 1) in the order of paths."""
+    return with_ordinal(listing, [path], "position")[0]
 
-    Works on a listing, one short row per file, which the driver holds anyway.
-    """
+
+def shard_files(listing: DataFrame, index: int, world: int, path: str = "path") -> DataFrame:
+    """Block number ``index`` of ``world`` equal blocks of the sorted listing."""
     if world <= 1:
         return listing
-    size = max(1, math.ceil(listing.count() / world))
-    position = F.row_number().over(Window.orderBy(path)) - 1
-    return listing.withColumn("_pos", position).filter(F.floor(F.col("_pos") / size) == index).drop("_pos")
+    numbered, total = with_ordinal(listing, [path], "_pos")
+    size = max(1, math.ceil(total / world))
+    return numbered.filter((F.col("_pos") > index * size) & (F.col("_pos") <= (index + 1) * size)).drop("_pos")
 
 
 def spread(df: DataFrame, key: str, seed: int = 0, tasks: int | None = None) -> DataFrame:

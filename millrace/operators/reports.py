@@ -38,13 +38,10 @@ def file_summary(rows: DataFrame, file: str = "file", status: str = "status") ->
 
 
 def batch_summary(
-    log: DataFrame, order: list[str], status: str = "status", rank: Column | str | None = None, size: int = LOG_BATCH
+    log: DataFrame, order: list[str], status: str = "status", size: int = LOG_BATCH
 ) -> DataFrame:
-    """Size, successes, errors and rate per run of ``size`` entries in the given order.
-
-    ``rank`` is the order's leading number, see ``with_ordinal``.
-    """
-    numbered, _ = with_ordinal(log.select(*order, status), order, rank)
+    """Size, successes, errors and rate per run of ``size`` entries in the given order."""
+    numbered, _ = with_ordinal(log.select(*order, status), order)
     batch = F.floor((F.col("ord") - 1) / F.lit(size)).alias("batch")
     counted = numbered.groupBy(batch).agg(
         F.count(F.lit(1)).alias("batch_size"),

@@ -8,10 +8,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from millrace.operators.filters import successes
 from millrace.operators.ordinals import row_hash
 
-#: Parts a key of a done table is counted in before the join.
-KEY_SALTS = 32
-
-
 Key = str | list[str]
 
 
@@ -27,8 +23,8 @@ def _has_key(key: Key) -> Column:
     return present
 
 
-def distinct_keys(done: DataFrame, key: Key) -> DataFrame:
-    """The keys of a done table, each at most ``KEY_SALTS`` times.
+def distinct_keys(done: DataFrame, key: Key, salts: int = 32) -> DataFrame:
+    """The keys of a done table, each at most ``salts`` times.
 
     Counting by (key, salt) collapses a frequent key before it moves. A plain
     distinct would do so too, but the join would reuse its output partitioning,
@@ -37,7 +33,7 @@ def distinct_keys(done: DataFrame, key: Key) -> DataFrame:
     """
     names = key_columns(key)
     keys = done.filter(_has_key(key)).select(*names)
-    salted = keys.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(KEY_SALTS)))
+    salted = keys.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
     return salted.groupBy(*names, "_salt").agg(F.count(F.lit(1)).alias("_n")).select(*names)
 
 

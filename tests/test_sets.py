@@ -32,10 +32,20 @@ def test_ordinals_with_one_frequent_rank_and_nulls(spark):
     assert [x[3] for x in rows] == list(range(1, 1001))
 
 
-def test_ranges_are_found_in_two_steps(spark):
-    bounds = [float(b) for b in range(0, 100, 10)]
-    rows = spark.range(-5, 120).select("id", ordinals._range_of(F.col("id").cast("double"), bounds).alias("b")).collect()
-    assert all(r.b == sum(b < r.id for b in bounds) for r in rows)
+def test_ordinals_of_texts_with_a_common_prefix_and_descending(spark):
+    frame = spark.range(500).select(F.concat(F.lit("folder/with/a/long/name/"), F.col("id").cast("string")).alias("path"))
+    numbered, _ = ordinals.with_ordinal(frame, ["path"], ranges=8)
+    assert [r.path for r in numbered.orderBy("ord").collect()] == sorted(r.path for r in frame.collect())
+    downwards, _ = ordinals.with_ordinal(spark.range(300), [F.desc("id")], ranges=8)
+    assert [r.id for r in downwards.orderBy("ord").collect()] == list(range(299, -1, -1))
+
+
+def test_a_frequent_first_value_is_spread_over_tasks(spark):
+    frame = spark.range(4000).select(F.lit("same").alias("r"), "id")
+    numbered, total = ordinals.with_ordinal(frame, ["r", "id"], ranges=8)
+    sizes = [r["count"] for r in numbered.groupBy(F.input_file_name()).count().collect()]
+    assert total == 4000 and len(sizes) == 8 and max(sizes) < 1000
+    assert numbered.where(F.col("ord") != F.col("id") + 1).count() == 0
 
 
 @FEW
@@ -64,13 +74,12 @@ def test_no_task_gets_the_whole_table(spark):
     assert "SinglePartition" not in executed_plan(numbered)
 
 
-def test_first_n_per_group(spark, monkeypatch):
+def test_first_n_per_group(spark):
     frame = spark.range(3000).select((F.col("id") % 7 < 5).alias("g"), "id")
     expected = {(g, i) for g in (True, False) for i in sorted(x for x in range(3000) if (x % 7 < 5) == g)[:40]}
     assert {(r.g, r.id) for r in ordinals.first_n_per_group(frame, ["g"], ["id"], 40).collect()} == expected
     assert "WindowGroupLimit" in executed_plan(ordinals.first_n_per_group(frame, ["g"], ["id"], 40))
-    monkeypatch.setattr(ordinals, "_RANK_PUSHDOWN", 10)
-    assert {(r.g, r.id) for r in ordinals.first_n_per_group(frame, ["g"], ["id"], 40).collect()} == expected
+    assert {(r.g, r.id) for r in ordinals.first_n_per_group(frame, ["g"], ["id"], 40, parts=1).collect()} == expected
 
 
 def test_file_limits_and_shards(spark):

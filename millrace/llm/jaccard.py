@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.components import connected_components
@@ -403,7 +403,10 @@ def linked_pairs(left: list[np.ndarray], left_n: np.ndarray, left_label: np.ndar
 
 
 def _links(units: DataFrame, percent: int) -> DataFrame:
-    """``a``, ``b``: links found in each unit; its rows are the sets of side 0 and, for two leaves, of side 1."""
+    """``a``, ``b``: links found in each unit; its rows are the sets of side 0 and, for two leaves, of side 1.
+
+    One leaf is compared with itself, two with each other; a unit named "next:" does both for its side 0.
+    """
 
     def found(rows: list[tuple]) -> list[tuple[bytes, bytes]]:
         rows.sort(key=lambda r: (r[1], r[2]))
@@ -413,10 +416,16 @@ def _links(units: DataFrame, percent: int) -> DataFrame:
             sets = [np.frombuffer(r[5], "<u8") for r in half]
             parts.append((sets, np.array([r[3] for r in half], np.int64), np.array([r[4] for r in half])))
         names = [r[2] for half in halves for r in half]
-        alone = not parts[1][0]
-        if not parts[0][0] or (alone and ":" in rows[0][0]):  # a leaf without the other one
+        (sets, sizes, labels), other = parts
+        if not sets:  # its other leaf has a unit of its own
             return []
-        pairs = linked_pairs(*parts[0], None if alone else parts[1], percent)
+        pairs = []
+        if rows[0][0].startswith("next:") or not other[0]:
+            pairs = linked_pairs(sets, sizes, labels, None, percent)
+            for i, j in pairs:
+                labels = np.where(labels == labels[j], labels[i], labels)
+        if other[0]:
+            pairs += linked_pairs(sets, sizes, labels, other, percent)
         return [(names[i], names[j]) for i, j in pairs]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -441,13 +450,25 @@ def _links(units: DataFrame, percent: int) -> DataFrame:
 
 
 def _leaves(sets: DataFrame, families: DataFrame, percent: int) -> DataFrame:
-    """Sets of families with ``family``, ``band`` (sizes of a band and the next one may be linked) and ``slot``."""
+    """Sets of families with ``family``, ``band`` (sizes of a band and the next one may be linked) and ``slot``.
+
+    ``up`` and ``down``: the next or the previous band of the family is there too, and both have one leaf. The
+    places are found without the grams, which move once. A family has few bands: their sizes grow by a factor.
+    """
     band = F.floor(F.log(F.col("n").cast("double")) / -math.log(percent / 100) * (1 - 1e-9)).cast("int")
-    placed = sets.join(families.select(F.col("node").alias("digest"), F.col("label").alias("family")), "digest").withColumn("band", band)
+    labels = families.select(F.col("node").alias("digest"), F.col("label").alias("family"))
+    placed = sets.select("digest", "n").join(labels, "digest").withColumn("band", band).drop("n")
     counts = placed.groupBy("family", "band").agg(F.count("*").alias("members"))
-    slots = F.ceil(F.col("members") / LEAF)
-    joined = placed.join(counts, ["family", "band"])
-    return joined.select("digest", "n", "grams", "family", "band", F.pmod(F.xxhash64("digest"), slots).cast("int").alias("slot"), slots.cast("int").alias("slots"))
+    counts = counts.withColumn("slots", F.ceil(F.col("members") / LEAF).cast("int"))
+    upwards = Window.partitionBy("family").orderBy("band")
+
+    def beside(step: int) -> Column:
+        near = F.lead("band", step).over(upwards) == F.col("band") + step
+        return F.coalesce(near & (F.lead("slots", step).over(upwards) == 1) & (F.col("slots") == 1), F.lit(False))
+
+    bands = counts.withColumns({"up": beside(1), "down": beside(-1)})
+    placed = placed.join(bands, ["family", "band"]).withColumn("slot", F.pmod(F.xxhash64("digest"), F.col("slots")).cast("int"))
+    return sets.select("digest", "n", "grams").join(placed, "digest")
 
 
 def _unit(*columns: str) -> Column:
@@ -461,8 +482,8 @@ def component_links(sets: DataFrame, percent: int) -> DataFrame:
     families = connected_components(grams.join(meeting, "gram").select(F.col("root").alias("a"), F.col("digest").alias("b")))
     leaves = stage(_leaves(sets, families, percent), "jaccard-leaves")
     plain = leaves.withColumn("label", F.col("digest"))
-    own = plain.withColumn("side", F.lit(0)).withColumn("unit", _unit("family", "band", "slot"))
-    # A large band's leaves are also compared with the next leaf, so that a family of near copies is connected early.
+    own = plain.where("slots = 1 and members > 1").withColumn("side", F.lit(0)).withColumn("unit", _unit("family", "band", "slot"))
+    # A large band's leaves are compared with themselves and the next leaf, so that a family of near copies is connected early.
     many = plain.where("slots > 1")
     following = many.withColumn("side", F.lit(0)).withColumn("first", F.col("slot")).unionByName(
         many.withColumn("side", F.lit(1)).withColumn("first", F.pmod(F.col("slot") - 1, F.col("slots")))
@@ -470,13 +491,13 @@ def component_links(sets: DataFrame, percent: int) -> DataFrame:
     following = following.withColumn("unit", F.concat(F.lit("next:"), _unit("family", "band", "first")))
     columns = ["unit", "side", "digest", "n", "label", "grams"]
     # Bands with a neighbour, both in one leaf.
-    small = plain.where("slots = 1")
-    beside = small.withColumn("side", F.lit(0)).withColumn("low", F.col("band")).unionByName(small.withColumn("side", F.lit(1)).withColumn("low", F.col("band") - 1))
+    beside = plain.where("up").withColumn("side", F.lit(0)).withColumn("low", F.col("band"))
+    beside = beside.unionByName(plain.where("down").withColumn("side", F.lit(1)).withColumn("low", F.col("band") - 1))
     beside = beside.withColumn("unit", F.concat(F.lit("band:"), _unit("family", "low")))
     first = stage(_links(own.select(columns).unionByName(following.select(columns)).unionByName(beside.select(columns)), percent), "jaccard-links")
     # Second pass: pairs of leaves of large families that are not all connected.
     large = leaves.groupBy("family", "band").agg(F.max("slots").alias("slots")).groupBy("family").agg(F.max("slots").alias("most")).where("most > 1").select("family")
-    rest = leaves.join(large, "family")
+    rest = leaves.select("digest", "family", "band", "slot").join(large, "family")
     if rest.isEmpty():
         return first
     known = connected_components(first).select(F.col("node").alias("digest"), "label")
@@ -489,7 +510,8 @@ def component_links(sets: DataFrame, percent: int) -> DataFrame:
     pairs = pairs.withColumn("unit", _unit("family", "band", "slot", "band2", "slot2"))
     one = pairs.select("unit", "family", "band", "slot", F.lit(0).alias("side"))
     two = pairs.select("unit", "family", F.col("band2").alias("band"), F.col("slot2").alias("slot"), F.lit(1).alias("side"))
-    units = one.unionByName(two).join(rest, ["family", "band", "slot"]).select(columns)
+    units = one.unionByName(two).join(rest, ["family", "band", "slot"]).select("unit", "side", "digest", "label")
+    units = units.join(leaves.select("digest", "n", "grams"), "digest").select(columns)
     return first.unionByName(_links(units, percent))
 
 

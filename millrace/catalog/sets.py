@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from millrace.catalog import Entry
 from millrace.catalog.inputs import FINISHED_SQL, REQUESTS_SQL, finished_requests, requests, table
@@ -11,12 +11,13 @@ from millrace.operators import ordinals, resume, unions
 from millrace.operators.fanout import over_models, over_runs
 from millrace.plans.generation import pending_requests
 from millrace.session import new_stage_path
-from millrace.sources.jsonl import write_jsonl
+from millrace.sources.jsonl import in_written_order, line_order, read_tolerant, write_jsonl
 from millrace.sources.naming import latest_run
 from millrace.sources.tables import append_checked
 
 MODELS = ["alpha", "beta", "gamma"]
 CHUNKS = 7
+_ROW = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())])
 
 
 def _docs(spark, sf):
@@ -97,12 +98,20 @@ def _split(spark, sf):
 
 
 def _rejoined(spark, sf):
-    """Written as chunk files, read back, merged in chunk order."""
+    """Written as chunk files without numbers in the rows, read back, merged by file and line, numbered anew."""
     path = new_stage_path(spark, "chunks")
-    write_jsonl(_split(spark, sf), path, partition_by=["chunk_name"])
-    schema = "doc_id bigint, text string, ord bigint, chunk bigint, chunk_name string"
-    rows = spark.read.schema(schema).json(path)
-    return rows.orderBy("chunk_name", "ord").select("doc_id", "text", "ord")
+    chunks = in_written_order(_split(spark, sf), ["chunk_name", "ord"])
+    write_jsonl(chunks.select("doc_id", "text", "chunk_name"), path, partition_by=["chunk_name"])
+    rows = read_tolerant(spark, f"{path}/*/*.json", _ROW, places=True)
+    return ordinals.with_ordinal(unions.merge_chunks(rows), line_order())[0].select("doc_id", "text", "ord")
+
+
+def _split_lines(spark, sf):
+    """A JSON-lines table, split by the order of its lines."""
+    path = new_stage_path(spark, "unsplit")
+    write_jsonl(in_written_order(_docs(spark, sf).select("doc_id", "text"), ["doc_id"]), path)
+    rows = ordinals.split_rows(read_tolerant(spark, path, _ROW, places=True), line_order(), chunks=CHUNKS, stem="docs")
+    return rows.select("doc_id", "ord", F.col("chunk").cast("bigint").alias("chunk"), "chunk_name")
 
 
 def _shard_rows(spark, sf):
@@ -222,7 +231,7 @@ ENTRIES = {
     ),
     "so4": Entry(_spread, "SELECT doc_id, length(text) AS n FROM documents"),
     "sp1": Entry(
-        lambda spark, sf: _split(spark, sf).select("doc_id", "ord", "chunk", "chunk_name"),
+        _split_lines,
         f"""SELECT doc_id, ord, chunk, 'docs_split_' || lpad(CAST(chunk AS VARCHAR), 4, '0') AS chunk_name
             FROM {_SPLIT_SQL}""",
     ),

@@ -8,11 +8,12 @@ in, reply text out.
 from __future__ import annotations
 
 import json
+import threading
 import time
 import traceback
 from collections import deque
 from collections.abc import Callable, Iterator
-from concurrent.futures import Future, ThreadPoolExecutor
+from concurrent.futures import Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from typing import Any
@@ -46,19 +47,38 @@ def chat_parameters(config: dict[str, Any]) -> dict[str, Any]:
 
 @dataclass(frozen=True)
 class CallPolicy:
-    """Concurrency per task and retry waits (seconds)."""
+    """Concurrency per task, retry waits and the deadline of one attempt (seconds; none by default)."""
 
     concurrency: int = 20
     attempts: int = 3
     wait_factor: float = 5.0
     wait_min: float = 4.0
     wait_max: float = 60.0
+    deadline: float | None = None
     chat: dict[str, Any] = field(default_factory=dict)
 
     def wait(self, attempt: int) -> float:
         return max(self.wait_min, min(self.wait_factor * 2 ** (attempt - 1), self.wait_max))
 
 
+def answer_within(transport: Transport, messages: list[dict[str, str]], chat: dict[str, Any], deadline: float | None) -> str:
+    """The transport's reply; a call that takes longer than ``deadline`` is left to itself and counts as failed."""
+    if deadline is None:
+        return transport(messages, chat)
+    answer: Future = Future()
+
+    def run() -> None:
+        try:
+            answer.set_result(transport(messages, chat))
+        except BaseException as raised:
+            answer.set_exception(raised)
+
+    threading.Thread(target=run, daemon=True).start()
+    if not wait([answer], timeout=deadline).done:
+        raise TimeoutError(f"no reply within {deadline} s")
+    return answer.result()
+
+
 def call_with_retry(
     transport: Transport, check: Callable[[str], str | None] | None, policy: CallPolicy, request: dict[str, Any]
 ) -> tuple:
@@ -71,7 +91,7 @@ def call_with_retry(
         if attempt > 1:
             time.sleep(policy.wait(attempt - 1))
         try:
-            reply = transport(messages, chat)
+            reply = answer_within(transport, messages, chat, policy.deadline)
         except Exception as raised:
             kind, error, trace = "call", f"{type(raised).__name__}: {raised}", traceback.format_exc()
             continue
@@ -92,14 +112,15 @@ def model_call(
     """A column function from messages (and a model name) to ``CALL_RESULT``.
 
     Calls are kept in flight across batch borders, so one slow reply does not
-    hold up a batch. Total in flight = running tasks x ``policy.concurrency``.
+    hold up a batch. Replies are handed on in slices of a few times
+    ``policy.concurrency``, however large Spark's batches are. Total in flight = running tasks x ``policy.concurrency``.
     A null message array is passed over. The function is marked
     non-deterministic: Spark then neither repeats nor moves it.
     """
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         waiting: deque[list[Future | None]] = deque()
-        in_flight = 0
+        in_flight, size = 0, 4 * policy.concurrency
 
         def finish(futures: list[Future | None]) -> pd.DataFrame:
             empty = (None,) * len(CALL_RESULT)
@@ -109,17 +130,18 @@ def model_call(
 
         with ThreadPoolExecutor(max_workers=policy.concurrency) as pool:
             for batch in batches:
-                futures = []
-                for request in batch:
-                    if request is None:
-                        futures.append(None)
-                        continue
-                    futures.append(pool.submit(call_with_retry, transport, check, policy, json.loads(request)))
-                waiting.append(futures)
-                in_flight += len(futures)
-                while len(waiting) > 1 and in_flight > 2 * policy.concurrency:
-                    in_flight -= len(waiting[0])
-                    yield finish(waiting.popleft())
+                for start in range(0, len(batch), size):
+                    futures = []
+                    for request in batch.iloc[start : start + size]:
+                        if request is None:
+                            futures.append(None)
+                            continue
+                        futures.append(pool.submit(call_with_retry, transport, check, policy, json.loads(request)))
+                    waiting.append(futures)
+                    in_flight += len(futures)
+                    while len(waiting) > 1 and in_flight > 2 * policy.concurrency:
+                        in_flight -= len(waiting[0])
+                        yield finish(waiting.popleft())
             while waiting:
                 yield finish(waiting.popleft())
 

@@ -62,7 +62,8 @@ def split_rows(
     numbered, total = with_ordinal(df, order)
     size = math.ceil(total / chunks) if chunks is not None else rows_per_chunk
     chunk = F.expr(f"CAST((ord - 1) DIV {max(size, 1)} + 1 AS INT)")
-    return numbered.withColumn("chunk", chunk).withColumn("chunk_name", chunk_name(stem, F.col("chunk")))
+    named = F.coalesce(chunk_name(stem, F.col("chunk")), F.lit(""))  # never null: a sorted write need not sort again
+    return numbered.withColumn("chunk", chunk).withColumn("chunk_name", named)
 
 
 def chunk_name(stem: str, chunk: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.operators.filters import shard_file_kind
 from millrace.operators.resume import Key, keep_latest
+from millrace.sources.jsonl import line_order
 
 
 def union_in_order(inputs: list[DataFrame], source_column: str = "src_ord") -> DataFrame:
@@ -49,6 +50,16 @@ def merge_groups(
     return matched.withColumn("_group", F.explode("_groups")).select("*", "_group.*").drop("_groups", "_group")
 
 
+def merge_chunks(lines: DataFrame) -> DataFrame:
+    """Lines of chunk files, read with their places, in one order: chunks by name, lines as they stand."""
+    return lines.orderBy(*line_order())
+
+
+def in_merged_order(rows: DataFrame) -> DataFrame:
+    """Rows of merge groups in the order of the merged files: inputs as the group lists them, their lines as they stand."""
+    return rows.orderBy("group", "src_ord", *line_order())
+
+
 def merge_shards(rows: DataFrame, merge_errors: bool = True) -> DataFrame:
     """Shard results with ``status`` from their file's name; retry files drop out.
 

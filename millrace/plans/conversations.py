@@ -87,15 +87,16 @@ def merge_collections(
     """Merge groups of JSON-lines files; invalid lines are skipped.
 
     Inputs are files below ``folder``, subfolders included, or folders that Spark wrote. Every input must exist,
-    otherwise nothing is merged: a missing path fails the read. Rows carry ``group``, ``output_file`` and ``src_ord``.
+    otherwise nothing is merged: a missing path fails the read. Rows carry ``group``, ``output_file``, ``src_ord`` and
+    their place in their file; ``in_merged_order`` sorts by these.
     """
     wanted = [g for g in groups if not selected or g["name"] in selected]
     paths = sorted({f"{folder}/{name}" for g in wanted for name in g["input_files"]})
     if not paths:
         raise ValueError("no merge group to run")
-    rows = read_tolerant(spark, paths, schema, keep_file=True)
+    rows = read_tolerant(spark, paths, schema, places=True)
     root = folder.split(":", 1)[-1].rstrip("/") + "/"
     relative = F.url_decode(F.substring_index(F.replace("file_path", F.lit("+"), F.lit("%2B")), root, -1))
     folder_of = F.regexp_replace(relative, "/[^/]*$", "")
     named = sorted({name for g in wanted for name in g["input_files"]})
-    return merge_groups(rows, wanted, name=F.when(relative.isin(named), relative).otherwise(folder_of)).drop("file_path")
+    return merge_groups(rows, wanted, name=F.when(relative.isin(named), relative).otherwise(folder_of))

@@ -16,7 +16,7 @@ from millrace.session import stage
 from millrace.sources.listing import read_shards
 
 ERROR_COLUMNS = ["error", "error_type", "traceback", "timestamp", "task_index"]
-MISSING_MESSAGES = "Object missing 'messages' field"
+MISSING_MESSAGES = "The row has no message to send."
 
 
 def request_key(model_column: str | None) -> list[str]:
@@ -78,7 +78,9 @@ def generate(
         requests = requests.withColumn("messages", F.lit(None).cast("array<struct<role:string,content:string>>"))
     model = F.col(model_column) if model_column else None
     called = with_calls(requests, asked(mode), transport, policy, model=model)
-    rows = stage(called.withColumn("task_index", F.monotonically_increasing_id()), "responses", staged_at)
+    now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    called = called.withColumns({"task_index": F.monotonically_increasing_id(), "_called_at": now})
+    rows = stage(called, "responses", staged_at)
     return with_outcome(rows, mode)
 
 
@@ -95,7 +97,6 @@ def with_outcome(called: DataFrame, mode: str = "first_message") -> DataFrame:
     prompt = F.element_at(asked(mode), -1)["content"]
     response = F.when(ok, F.col("call.response"))
     error = F.when(lacking, F.lit(MISSING_MESSAGES)).otherwise(F.col("call.error"))
-    now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     columns = {
         "response": response,
         "final_messages": F.when(ok, final_messages(prompt, response)),
@@ -103,11 +104,11 @@ def with_outcome(called: DataFrame, mode: str = "first_message") -> DataFrame:
         "error": error,
         "error_type": kind,
         "traceback": F.col("call.traceback"),
-        "timestamp": F.when(lacking, now).otherwise(F.col("call.timestamp")),
+        "timestamp": F.when(lacking, F.col("_called_at")).otherwise(F.col("call.timestamp")),
         "task_index": F.when(~ok, F.col("task_index")),
         "attempts": F.coalesce(F.col("call.attempts"), F.lit(0)),
     }
-    return called.withColumns(columns).drop("call")
+    return called.withColumns(columns).drop("call", "_called_at")
 
 
 def success_rows(results: DataFrame) -> DataFrame:

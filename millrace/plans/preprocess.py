@@ -13,10 +13,12 @@ from millrace.functions.identity import ensure_id
 from millrace.functions.text import average_line_length, length_score, line_count
 from millrace.functions.tokens import PatternTokenizer, truncate_text, truncated_name
 from millrace.operators import fields, filters
+from millrace.operators.ordinals import limit_files
 from millrace.operators.reports import file_stats
 from millrace.operators.resume import pending_files
 from millrace.session import stage
 from millrace.sources.listing import list_files
+from millrace.sources.tables import exists
 
 MAX_TOKENS = 32768
 DEFAULT_TOKENIZER = PatternTokenizer()
@@ -136,26 +138,33 @@ def preprocess_files(
     pattern: str = "*.parquet",
     stats: DataFrame | None = None,
     limit: int = -1,
+    check_outputs: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """Run a preprocessor over a folder's unfinished files.
 
-    ``read`` takes paths and must tag rows with ``source_file``, the file's name.
-    Returns the rows as written to ``out`` and a stat row per file, those without
-    rows included; add these to the stats table to skip the files next time. Only
-    the listing, one short row per file, passes the driver.
+    ``read`` takes paths and must tag rows with ``source_path``, the file's path as
+    ``sources.listing.file_path`` gives it; ``transform`` must keep it. Returns the rows
+    as written to ``out`` and a stat row per file, those without rows included; add these
+    to the stats table to skip the files next time. The first ``limit`` files by path are
+    looked at, finished ones among them skipped. With ``check_outputs`` a file whose output
+    folder is gone counts as unfinished; one folder per earlier run is looked up. The paths
+    pass the driver, as in any Spark read of a list of files.
     """
-    listing = list_files(spark, folder, pattern)
+    listing = limit_files(list_files(spark, folder, pattern).select("path", "file_name", "length"), limit)
     if stats is not None:
-        listing = pending_files(listing, stats)
-    listing = listing.select("path", "file_name", "length").orderBy("path")
-    files = (listing.limit(limit) if limit > 0 else listing).collect()
+        there = None
+        if check_outputs:
+            runs = [r.formatted_file_path for r in stats.select("formatted_file_path").distinct().collect()]
+            there = spark.createDataFrame([(r,) for r in runs if r and exists(spark, r)], "path string")
+        listing = pending_files(listing, stats, there)
+    files = listing.orderBy("path").collect()
     if not files:
         raise FileNotFoundError(f"no unfinished files match {pattern!r} in {folder}")
     started = datetime.now(timezone.utc)
     written = stage(transform(read([f.path for f in files])), path=out)
     ended = datetime.now(timezone.utc)
     done = spark.createDataFrame(files, listing.schema).select(
-        F.col("file_name").alias("source_file"),
+        "file_name",
         F.col("path").alias("raw_file_path"),
         F.lit(out).alias("formatted_file_path"),
         F.col("length").alias("input_file_size_bytes"),
@@ -163,9 +172,9 @@ def preprocess_files(
         F.lit(ended.isoformat()).alias("end_time"),
         F.lit((ended - started).total_seconds()).alias("processing_time_seconds"),
     )
-    counts = file_stats(written, "source_file").drop("processing_complete")
+    counts = file_stats(written, "source_path").drop("processing_complete").withColumnRenamed("source_path", "raw_file_path")
     return written, (
-        done.join(counts, "source_file", "left")
+        done.join(counts, "raw_file_path", "left")
         .withColumn("n_sample", F.coalesce("n_sample", F.lit(0)))
         .withColumn("processing_complete", F.lit(True))
     )

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from millrace.functions.text import as_column
 from millrace.operators import reports
 from millrace.operators.ordinals import first_n_per_group
-from millrace.sources.jsonl import read_lines, read_strict
+from millrace.sources.jsonl import LINE_PLACE, read_lines, read_strict
 
 # Fixed value: the shape of a run log entry.
 LOG_SCHEMA = (
@@ -45,9 +45,9 @@ def field_profile(lines: DataFrame, file: str = "file_name", line: str = "line")
 
 def profile(spark: SparkSession, path: str, preview: int = 3) -> dict[str, DataFrame]:
     """Row counts, fields and first rows of each JSON-lines file."""
-    lines = read_lines(spark, path)
+    lines = read_lines(spark, path, places=True)
     return {
         "rows": lines.groupBy("file_name").agg(F.count(F.lit(1)).alias("n_rows")),
         "fields": field_profile(lines),
-        "preview": first_n_per_group(lines, ["file_name"], ["line"], preview),
+        "preview": first_n_per_group(lines, ["file_path"], LINE_PLACE, preview),
     }

@@ -34,16 +34,33 @@ def clean_utf8(text: Column) -> Column:
     return F.when(F.is_valid_utf8(text), text).otherwise(dropped)
 
 
-def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Stripped, non-blank lines as ``line`` with ``file_name`` and ``file_path``."""
+#: Columns that order the lines of one file: where its block starts, and a number that grows inside a block.
+LINE_PLACE = ["file_block", "line_place"]
+
+
+def read_lines(spark: SparkSession, path: str | list[str], places: bool = False) -> DataFrame:
+    """Stripped, non-blank lines as ``line`` with ``file_name`` and ``file_path``.
+
+    ``places`` adds ``LINE_PLACE``. One task reads a block, from its start to its end, so
+    these columns follow the file's order without a task per file; their values depend on
+    how Spark cuts the files and say nothing but the order.
+    """
+    place = [F.col("_metadata.file_block_start").alias("file_block"), F.monotonically_increasing_id().alias("line_place")]
     lines = spark.read.text(path).select(
         strip(clean_utf8(F.col("value"))).alias("line"),
         F.col("_metadata.file_name").alias("file_name"),
         F.col("_metadata.file_path").alias("file_path"),
+        *(place if places else []),
     )
     return lines.filter(F.col("line") != "")
 
 
+def line_order(path: str = "file_path") -> list[Column]:
+    """Sort keys for lines of many files: files by path, numbers in it by value, then lines as they stand."""
+    padded = F.regexp_replace(path, r"(\d+)", "0" * 12 + "$1")
+    return [F.regexp_replace(padded, r"0*(\d{12})(?!\d)", "$1"), F.col(path), *[F.col(c) for c in LINE_PLACE]]
+
+
 def read_strict(
     spark: SparkSession,
     path: str | list[str],
@@ -69,17 +86,18 @@ def read_strict(
 
 
 def read_tolerant(
-    spark: SparkSession, path: str | list[str], schema: T.StructType, keep_file: bool = False
+    spark: SparkSession, path: str | list[str], schema: T.StructType, keep_file: bool = False, places: bool = False
 ) -> DataFrame:
     """Lines that are not JSON objects are skipped.
 
     Spark's own readers accept some lines that are not JSON (text after the
     object, for one), so Python passes the verdict; values are then read by
-    ``from_json`` in the JVM.
+    ``from_json`` in the JVM. ``places`` keeps the file's columns and those of ``line_order``.
     """
-    good = read_lines(spark, path).filter(is_json_object("line"))
+    good = read_lines(spark, path, places).filter(is_json_object("line"))
     parsed = good.withColumn("_row", F.from_json("line", schema, {"allowSingleQuotes": "false"}))
-    names = ["file_name", "file_path"] if keep_file else []
+    names = ["file_name", "file_path"] if keep_file or places else []
+    names += LINE_PLACE if places else []
     return parsed.select(*names, "_row.*")
 
 
@@ -89,6 +107,14 @@ def rejected_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return bad.groupBy("file_name").agg(F.count(F.lit(1)).alias("n_rejected"))
 
 
+def in_written_order(df: DataFrame, order: list[Column | str]) -> DataFrame:
+    """Rows dealt and sorted so that files written from them follow ``order``, from file to file and line to line.
+
+    Written with ``partition_by``, ``order`` must begin with these columns, and they must not be nullable.
+    """
+    return df.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def write_jsonl(df: DataFrame, path: str, partition_by: list[str] | None = None, keep_nulls: bool = True) -> None:
     """One JSON object per line, non-ASCII kept as it is; nulls are written by default."""
     writer = df.write.option("ignoreNullFields", str(not keep_nulls).lower()).mode("errorifexists")

@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from millrace.functions.text import unix_newlines
+from millrace.operators.resume import pending
 from millrace.sources.jsonl import is_json_object, read_lines, read_strict, read_tolerant
 
 # File names of triplets and the layout of package folders.
@@ -33,6 +34,12 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*", recursive:
     )
 
 
+def file_path() -> Column:
+    """The path of a row's file, written as ``list_files`` writes it."""
+    decoded = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(decoded, "^file:/+", "file:/")
+
+
 def stem(file_name: Column) -> Column:
     """File name without its extension."""
     return F.regexp_replace(file_name, r"(?<=[^.])\.[^.]*$", "")
@@ -111,8 +118,7 @@ def read_shards(spark: SparkSession, base: str, schema: T.StructType, pattern: s
     A file with a line that is not JSON is left out whole.
     """
     lines = read_lines(spark, f"{base}/{pattern}")
-    broken = lines.filter(~is_json_object("line")).groupBy("file_path").agg(F.count(F.lit(1)).alias("n"))
-    whole = lines.join(broken.select("file_path"), "file_path", "left_anti")
+    whole = pending(lines, lines.filter(~is_json_object("line")), "file_path")  # a large file may be split over tasks
     root = base.split(":", 1)[-1].rstrip("/") + "/"
     model = F.substring_index(F.substring_index("file_path", root, -1), "/", 1)
     return whole.select(model.alias("model"), "file_name", F.from_json("line", schema).alias("_row")).select(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from millrace.sources.jsonl import read_strict, write_jsonl
 
@@ -74,12 +74,17 @@ def append_checked(prior: DataFrame, new: DataFrame, staged: str) -> DataFrame:
     """Write prior and new rows together and make sure none was lost or doubled.
 
     The result sits at ``staged``; ``publish`` it from there. On a mismatch
-    nothing has been replaced, so there is nothing to roll back.
+    nothing has been replaced, so there is nothing to roll back. The inputs are
+    counted as they are written, the result by its Parquet footers.
     """
     spark = prior.sparkSession
-    prior.unionByName(new, allowMissingColumns=True).write.mode("errorifexists").parquet(staged)
+    before, added = Observation(), Observation()
+    counted = prior.observe(before, F.count(F.lit(1)).alias("n")).unionByName(
+        new.observe(added, F.count(F.lit(1)).alias("n")), allowMissingColumns=True
+    )
+    counted.write.mode("errorifexists").parquet(staged)
     written = spark.read.parquet(staged)
-    expected, found = prior.count() + new.count(), written.count()
+    expected, found = before.get.get("n", 0) + added.get.get("n", 0), written.count()
     if expected != found:
         raise ValueError(f"expected {expected} rows, wrote {found}")
     return written

@@ -112,3 +112,18 @@ def test_filters_written_first_stay_below_the_call(spark, tmp_path):
     rows, done = spark.read.parquet(str(tmp_path / "t")), spark.range(5).select(F.col("id").cast("string").alias("id"))
     plan = optimized_plan(with_calls(pending(rows, done, "id"), F.array(message("user", F.col("text"))), scripted(), FAST))
     assert plan.index("ArrowEvalPython") < plan.index("LeftAnti")
+
+
+def test_deadline():
+    policy = CallPolicy(wait_factor=0.0, wait_min=0.0, attempts=2, deadline=0.1)
+    late = lambda messages, chat: time.sleep(1) or "late"
+    reply, attempts, kind, error, *_ = call_with_retry(late, None, policy, request("x"))
+    assert (reply, attempts, kind, error) == (None, 2, "call", "TimeoutError: no reply within 0.1 s")
+    assert call_with_retry(scripted(OSError("no"), "good"), None, policy, request("x"))[:2] == ("good", 2)
+
+
+def test_replies_are_handed_on_in_slices(spark):
+    frame = spark.range(0, 1003, 1, 1).withColumn("text", F.col("id").cast("string"))
+    rows = with_calls(frame, F.when(F.col("id") % 7 != 0, asked(frame)), lambda m, c: m[0]["content"], FAST).collect()
+    assert [r.id for r in rows] == list(range(1003))
+    assert all(r.call.response == (None if r.id % 7 == 0 else str(r.id)) for r in rows)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F, types as T
 from millrace.functions.replies import OutputContract
 from millrace.operators.calls import CallPolicy
 from millrace.plans import conversations, generation, preprocess, reports, scoring
+from millrace.sources.listing import file_path
 
 register_pickle_by_value(sys.modules[__name__])
 FAST = CallPolicy(concurrency=4, wait_factor=0.0, wait_min=0.0)
@@ -84,20 +85,38 @@ def test_preprocess_files_skips_finished_ones(spark, tmp_path):
         spark.createDataFrame([(name, text)], "id string, text string").toPandas().to_parquet(tmp_path / f"{name}.parquet")
 
     def read(paths):
-        return spark.read.parquet(*paths).select("*", F.col("_metadata.file_name").alias("source_file"))
+        return spark.read.parquet(*paths).select("*", file_path().alias("source_path"))
 
-    def run(out, stats=None):
+    def run(out, stats=None, limit=-1):
         job = lambda d: preprocess.universal(d, {"filters": {"blacklist_patterns": ["drop"]}})
-        return preprocess.preprocess_files(spark, str(tmp_path), str(tmp_path / out), read, job, "?.parquet", stats)
+        return preprocess.preprocess_files(spark, str(tmp_path), str(tmp_path / out), read, job, "?.parquet", stats, limit)
 
     rows, first = run("out1")
     assert sorted(r.id for r in rows.collect()) == ["a", "c"]
-    assert {(r.source_file, r.n_sample) for r in first.collect()} == {("a.parquet", 1), ("b.parquet", 0), ("c.parquet", 1)}
+    assert {(r.file_name, r.n_sample) for r in first.collect()} == {("a.parquet", 1), ("b.parquet", 0), ("c.parquet", 1)}
     spark.createDataFrame([("d", "text")], "id string, text string").toPandas().to_parquet(tmp_path / "d.parquet")
     rows, second = run("out2", first)
     assert [r.id for r in rows.collect()] == ["d"]
     with pytest.raises(FileNotFoundError):
         run("out3", first.unionByName(second))
+    with pytest.raises(FileNotFoundError):
+        run("out4", first, limit=3)
+    gone = second.withColumn("formatted_file_path", F.lit(str(tmp_path / "gone")))
+    rows, _ = run("out5", first.unionByName(gone))
+    assert [r.id for r in rows.collect()] == ["d"]
+
+
+def test_stats_of_files_with_one_name(spark, tmp_path):
+    for folder, n in (("x", 2), ("y z+1", 5)):
+        (tmp_path / folder).mkdir()
+        spark.range(n).toPandas().to_parquet(tmp_path / folder / "same.parquet")
+
+    def read(paths):
+        return spark.read.parquet(*paths).select("*", file_path().alias("source_path"))
+
+    _, stats = preprocess.preprocess_files(spark, f"{tmp_path}/*", str(tmp_path / "out"), read, lambda d: d)
+    found = stats.select(F.element_at(F.split("raw_file_path", "/"), -2).alias("folder"), "n_sample").collect()
+    assert {(r.folder, r.n_sample) for r in found} == {("x", 2), ("y z+1", 5)}
 
 
 TASK = scoring.ScoringTask.from_config(

@@ -26,7 +26,7 @@ from millrace.operators.filters import require_fields
 from millrace.plans import conversations, generation, preprocess, reports as report_plans, scoring
 from millrace.session import new_stage_path
 from millrace.sources.jsonl import read_strict, read_tolerant, write_jsonl
-from millrace.sources.listing import triplet_language
+from millrace.sources.listing import file_path, triplet_language
 
 CONFIG = {
     "source_name": "crawl",
@@ -170,6 +170,39 @@ def _chat(spark, sf):
     return rows.select(doc_id, rendered("messages").alias("chat"), "output_file", "format")
 
 
+def _all_splits(spark, sf):
+    """One dataset: a split in shards of two formats, and a second one whose name begins with the first one's."""
+    root = new_stage_path(spark, "splits")
+    docs = _docs(spark, sf).select("doc_id", "lang", F.col("text").alias("prompt_text"))
+    lang = F.coalesce("lang", F.lit(""))
+    docs.filter(lang == "en").write.parquet(f"{root}/org/docs/train-0.parquet")
+    docs.filter(lang == "de").write.json(f"{root}/org/docs/train-1.jsonl")
+    docs.filter(~lang.isin("en", "de")).write.json(f"{root}/org/docs/train_extra.jsonl")
+    mapping = {"prompt_text": "prompt_text"}
+    datasets = {"org/docs": {"configs": [None], "format_style": "prompt_text_only", "column_mapping": mapping}}
+    schemas = {"org/docs": T.StructType.fromDDL("doc_id bigint, lang string, prompt_text string")}
+    rows = conversations.convert_datasets(spark, root, datasets, schemas=schemas)
+    doc_id = F.get_json_object("raw_data", "$.doc_id").cast("bigint").alias("doc_id")
+    return rows.select(doc_id, "split", rendered("messages").alias("chat"))
+
+
+def _in_two_runs(spark, sf):
+    """The universal job on files: a run limited to one file, then a run that finds the others."""
+    folder = new_stage_path(spark, "raw")
+    _docs(spark, sf).repartition(4).write.parquet(folder)
+
+    def read(paths):
+        return spark.read.parquet(*paths).withColumn("source_path", file_path())
+
+    def run(**options):
+        job = lambda rows: preprocess.universal(rows, CONFIG, max_tokens=1024)
+        return preprocess.preprocess_files(spark, folder, new_stage_path(spark, "ready"), read, job, **options)
+
+    first, stats = run(limit=1)
+    second, _ = run(stats=stats)
+    return first.unionByName(second).select("id", "text", "source", "content_truncate_1k")
+
+
 def _merged(spark, sf):
     """Merge groups of JSON-lines files written per source."""
     root = new_stage_path(spark, "collections")
@@ -277,6 +310,13 @@ ENTRIES = {
                          source, replace(replace(trim(regexp_replace(text, '\\s+', ' ', 'g')), '%%%', ''), '***', '') AS text
                   FROM documents WHERE length(text) BETWEEN 50 AND 100000 AND NOT contains(lower(text), 'license'))""",
     ),
+    "jb2_files": Entry(
+        _in_two_runs,
+        f"""SELECT lang || CASE WHEN doc_id <> 0 THEN '-' || doc_id ELSE '' END AS id, cleaned AS text, source,
+                   {_CUT.replace("text", "cleaned")} AS content_truncate_1k
+            FROM (SELECT *, replace(replace(trim(regexp_replace(text, '\\s+', ' ', 'g')), '%%%', ''), '***', '') AS cleaned
+                  FROM documents WHERE length(text) BETWEEN 50 AND 100000 AND NOT contains(lower(text), 'license'))""",
+    ),
     "jb3": Entry(
         _raw_code,
         f"""SELECT doc_id, text, 'github_raw_code' AS source, {_CUT} AS content_truncate_1k, 64::BIGINT AS id_length
@@ -332,6 +372,11 @@ ENTRIES = {
            UNION ALL SELECT doc_id, 'system: S' || chr(10) || 'user: ' || text,
                   'bare/bare-train-with_system.jsonl', 'chatml' FROM documents WHERE lang <> 'es'""",
     ),
+    "jb7_splits": Entry(
+        _all_splits,
+        """SELECT doc_id, CASE WHEN lang IN ('en', 'de') THEN 'train' ELSE 'train_extra' END AS split, 'user: ' || text AS chat
+           FROM documents""",
+    ),
     "jb8": Entry(
         _merged,
         f"""SELECT doc_id, text, g AS "group", output_file FROM documents

@@ -31,9 +31,9 @@ def _prior_scores(spark, sf):
 
 def _resumed(spark, sf):
     done = _prior_scores(spark, sf)
-    new = resume.pending(_docs(spark, sf).select("doc_id"), resume.carried(done), "doc_id")
+    new = resume.pending(_docs(spark, sf).select("doc_id", "text"), resume.carried(done), "doc_id")
     return resume.resume_union(done.withColumn("origin", F.lit("done")), new.withColumn("origin", F.lit("new"))).select(
-        "doc_id", "origin"
+        "doc_id", "text", "origin"
     )
 
 
@@ -61,7 +61,7 @@ def _unfinished(spark, sf):
 
 def _keyed_docs(spark, sf):
     key = F.when(F.col("lang") != "es", F.md5(F.col("text").cast("binary")))
-    return _docs(spark, sf).select("doc_id", key.alias("uid"))
+    return _docs(spark, sf).select("doc_id", "text", key.alias("uid"))
 
 
 def _merged_sources(spark, sf):
@@ -133,8 +133,7 @@ def _runs(spark, sf):
 
 
 def _spread(spark, sf):
-    rows = ordinals.spread(_docs(spark, sf).select("doc_id", "text"), "doc_id", seed=3)
-    return rows.select("doc_id", F.length("text").cast("bigint").alias("n"))
+    return ordinals.spread(_docs(spark, sf).select("doc_id", "text"), "doc_id", seed=3)
 
 
 def _work(spark, sf):
@@ -150,8 +149,8 @@ _FILES_SQL = "(SELECT DISTINCT lang || '/' || source AS path, lang FROM document
 ENTRIES = {
     "jn1": Entry(
         _resumed,
-        """SELECT doc_id, 'done' AS origin FROM labels WHERE quality = 1 UNION ALL
-           SELECT doc_id, 'new' FROM documents d
+        """SELECT doc_id, NULL::VARCHAR AS text, 'done' AS origin FROM labels WHERE quality = 1 UNION ALL
+           SELECT doc_id, text, 'new' FROM documents d
            WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND quality = 1)""",
     ),
     "jn2": Entry(
@@ -209,8 +208,8 @@ ENTRIES = {
     ),
     "se6": Entry(
         lambda spark, sf: resume.keep_first(_keyed_docs(spark, sf), "uid", ["doc_id"]),
-        """SELECT min(doc_id) AS doc_id, md5(text) AS uid FROM documents WHERE lang <> 'es' GROUP BY text UNION ALL
-           SELECT doc_id, NULL FROM documents WHERE lang = 'es'""",
+        """SELECT min(doc_id) AS doc_id, text, md5(text) AS uid FROM documents WHERE lang <> 'es' GROUP BY text UNION ALL
+           SELECT doc_id, text, NULL FROM documents WHERE lang = 'es'""",
     ),
     "se7": Entry(
         lambda spark, sf: append_checked(
@@ -229,7 +228,7 @@ ENTRIES = {
         """SELECT stamp, 'runs/' || stamp AS path FROM (SELECT strftime(ts, '%Y%m%d_%H%M%S') AS stamp,
                bool_or(event_type <> 'error') AS has_data FROM events GROUP BY 1 ORDER BY 1 DESC LIMIT 1) WHERE has_data""",
     ),
-    "so4": Entry(_spread, "SELECT doc_id, length(text) AS n FROM documents"),
+    "so4": Entry(_spread, "SELECT doc_id, text FROM documents"),
     "sp1": Entry(
         _split_lines,
         f"""SELECT doc_id, ord, chunk, 'docs_split_' || lpad(CAST(chunk AS VARCHAR), 4, '0') AS chunk_name

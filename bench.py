@@ -12,6 +12,7 @@ import json
 import os
 import platform
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -73,9 +74,12 @@ def seconds(run, spark, sf) -> float:
 def main() -> None:
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count() or 8))
-    spark = build_session(
-        "millrace-bench", f"local[{cpus}]", **{"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "12g"}
-    )
+    settings = {
+        "spark.sql.shuffle.partitions": cpus,
+        "spark.driver.memory": "12g",
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="millrace-bench-"),
+    }
+    spark = build_session("millrace-bench", f"local[{cpus}]", **settings)
     spark.sparkContext.setLogLevel("ERROR")
     known = {**EXTRA, **{name: entry.run for name, entry in entries().items()}}
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or [*EXTRA, *HEADLINE]

@@ -127,6 +127,42 @@ def test_neighbours_recall_and_scores(spark):
     assert [tuple(r) for r in neighbours.nearest(few, F.col("vec_id") == 0, 20).orderBy("rank").collect()] == [(0, 1, 1, 0.5), (0, 2, 2, 0.0)]
 
 
+@pytest.mark.parametrize(("clusters", "size"), [(2, 10), (60, 12), (40, 20)])
+def test_neighbours_of_clusters(spark, clusters, size):
+    """Near copies, not equal: lists must lead out of a cluster that holds fewer than k candidates."""
+    draw = np.random.default_rng(size)
+    vectors = np.repeat(draw.standard_normal((clusters, 32)), size, 0) + 0.02 * draw.standard_normal((clusters * size, 32))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>").repartition(4)
+    found = {}
+    for r in neighbours.nearest(table, F.col("vec_id") % 5 == 0, 20).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    recall = []
+    for q in range(0, len(vectors), 5):
+        scores = vectors @ vectors[q]
+        scores[q] = -np.inf
+        best = np.argsort(-scores)[: min(20, len(vectors) - 1)].tolist()
+        assert len(found[q]) == len(best)
+        recall.append(len(found[q].intersection(best)) / len(best))
+    assert np.mean(recall) >= 0.97
+
+
+def test_short_queries_are_compared_in_full(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "FULL_QUERIES", 7)
+    monkeypatch.setattr(neighbours, "FULL_ROWS", 50)
+    monkeypatch.setattr(neighbours, "search_graph", lambda queries, *_: queries.selectExpr("query", "vector", "cast(array() as array<struct<id: long>>) as beam"))
+    vectors = np.random.default_rng(6).standard_normal((300, 8))
+    vectors[50:60] = vectors[3]
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>").repartition(4)
+    found = {}
+    for r in neighbours.nearest(table, F.col("vec_id") % 10 == 0, 20).orderBy("rank").collect():
+        found.setdefault(r.query_id, []).append(r.vec_id)
+    for q in range(0, 300, 10):
+        scores = (vectors * vectors[q]).sum(1)
+        scores[q] = -np.inf
+        assert found[q] == np.lexsort((np.arange(300), -scores))[:20].tolist()
+
+
 def brute_search(rows, wanted, k):
     counts = [(i, Counter(re.findall(r"[^\W_]+", (t or "").lower()))) for i, t in rows if i is not None]
     mean = sum(sum(c.values()) for _, c in counts) / len(counts)

@@ -50,9 +50,12 @@ def byte_characters() -> list[str]:
 
 
 class Encoder:
-    """Encodes and decodes texts with the vocabulary in ``spec``, the JSON text of its file."""
+    """Encodes and decodes texts with the vocabulary in ``spec``, the JSON text of its file.
 
-    def __init__(self, spec: str):
+    Special tokens whose ids are in ``plain`` are ordinary text where a text spells them.
+    """
+
+    def __init__(self, spec: str, plain: tuple[int, ...] = ()):
         parts = json.loads(spec)
         model = parts["model"]
         vocab: dict[str, int] = model["vocab"]
@@ -60,8 +63,8 @@ class Encoder:
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         special = {t["content"]: t["id"] for t in parts.get("added_tokens", [])}
         self.token = {i: t.encode() for t, i in {**vocab, **special}.items()}
-        self.special = {t: np.array([i], "<u4").tobytes() for t, i in special.items()}
-        self.cut_special = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
+        self.special = {t: np.array([i], "<u4").tobytes() for t, i in special.items() if i not in plain}
+        self.cut_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         splitter = parts["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.words_and_ends = regex.compile(f"{splitter}|\n", regex.V0)
         self.library = Tokenizer.from_str(spec)
@@ -269,12 +272,12 @@ def read_spec(path: str) -> str:
         return file.read()
 
 
-def with_encoder(df: DataFrame, path: str, work: Callable[[Encoder, Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``work(encoder, batches)`` in each task. The broadcast is the vocabulary, whose size is fixed."""
+def with_encoder(df: DataFrame, path: str, work: Callable[[Encoder, Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str, plain: tuple[int, ...] = ()) -> DataFrame:
+    """``work(encoder, batches)`` in each task. The broadcast is the vocabulary, whose size is fixed; ``plain`` is the encoder's."""
     spec = df.sparkSession.sparkContext.broadcast(read_spec(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from work(Encoder(spec.value), batches)
+        yield from work(Encoder(spec.value, plain), batches)
 
     return df.mapInArrow(run, schema)
 

@@ -29,21 +29,27 @@ def write_token_files(documents: DataFrame, path: str, end_id: int, folder: str)
     """Write each text's ids, closed by ``end_id``, as token files with Spark's text writer.
 
     A row is the document's ids and the "line separator" is the end id. A null or
-    empty text has no ids of its own. A file holds what one input partition holds.
+    empty text has no ids of its own. A text that spells the end token, such as
+    "<|endoftext|>", has it encoded as ordinary text, so ``end_id`` closes documents and
+    stands nowhere else; an ``end_id`` that texts could still get is refused with an error.
+    A file holds what one input partition holds.
     """
 
     def work(encoder: Encoder, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, size = [], 0
             for ids in encoder.encode(batch.column(0).to_pylist()):
-                rows.append(np.frombuffer(ids, "<u4").astype("<u2").tobytes())
+                own = np.frombuffer(ids, "<u4")
+                if (own == end_id).any():
+                    raise ValueError(f"id {end_id} closes documents but occurs inside one")
+                rows.append(own.astype("<u2").tobytes())
                 size += len(ids)
                 if size >= BATCH_BYTES:
                     yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["value"])
                     rows, size = [], 0
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["value"])
 
-    rows = with_encoder(documents.select("text"), path, work, "value binary")
+    rows = with_encoder(documents.select("text"), path, work, "value binary", plain=(end_id,))
     separator = np.array([end_id], "<u2").tobytes().decode("latin-1")
     writer = rows.select(F.col("value").cast("string").alias("value")).write.option("lineSep", separator)
     writer.option("encoding", "ISO-8859-1").text(folder)

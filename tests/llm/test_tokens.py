@@ -114,6 +114,20 @@ def test_token_counts(odd, empty, library, tmp_path, block_ids):
     assert token_counts.count_tokens(spark, str(tmp_path / "e"), END).count() == 0
 
 
+def test_texts_that_spell_the_end_id(odd, library, tmp_path):
+    spark = odd.sparkSession
+    few = odd.where("doc_id is null or doc_id <> 8")
+    more = [(20, "a<|endoftext|><|endoftext|>b"), (21, "<|endoftext|>"), (22, "日本<|endoftext|>é <|ENDOFTEXT|>")]
+    texts = few.select("doc_id", "text").unionByName(spark.createDataFrame(more, "doc_id long, text string"))
+    token_counts.write_token_files(texts, PATH, END, str(tmp_path / "f"))
+    rows = token_counts.count_tokens(spark, str(tmp_path / "f"), END, 3).collect()
+    plain = Tokenizer.from_file(PATH)
+    plain.encode_special_tokens = True
+    assert sorted(r.n_tokens for r in rows) == sorted(len(ids_of(plain, r.text)) for r in texts.collect())
+    # Without the literal nothing changes, and other operators still read it as a special token.
+    assert END in ids_of(library, more[1][1]) and END in np.frombuffer(next(bpe.Encoder(bpe.read_spec(PATH)).encode([more[1][1]])), "<u4")
+
+
 @pytest.mark.parametrize("block_ids", [1, 2, 5, 100])
 def test_documents_across_blocks_and_files(spark, tmp_path, block_ids):
     stream = [7, 8, END, END, 9, 10, 11, 12, 13, END, 14, 15]

@@ -60,12 +60,12 @@ def index_shards(documents: DataFrame) -> DataFrame:
     def shard(ids: list[int], counts: list[Counter]) -> pa.RecordBatch:
         sizes = np.array([len(c) for c in counts], np.int64)
         term = np.fromiter((t for c in counts for t in c), np.int64, sizes.sum())
-        count = np.fromiter((n for c in counts for n in c.values()), np.float32, sizes.sum())
+        count = np.fromiter((n for c in counts for n in c.values()), np.uint32, sizes.sum())
         document = np.repeat(np.arange(len(ids), dtype=np.uint16), sizes)
         order = np.argsort(term, kind="stable")
         unique, starts = np.unique(term[order], return_index=True)
         lengths = np.array([sum(c.values()) for c in counts], np.int64)
-        parts = (np.array(ids, np.int64), lengths, unique, starts.astype(np.uint32), document[order], np.minimum(count[order], 65504).astype(np.float16))
+        parts = (np.array(ids, np.int64), lengths, unique, starts.astype(np.uint32), document[order], count[order])
         return pa.RecordBatch.from_arrays(
             [pa.array([len(ids)], pa.int64()), pa.array([int(lengths.sum())], pa.int64()), *(pa.array([p.tobytes()], pa.binary()) for p in parts)],
             names=["n", "words", "ids", "lengths", "terms", "starts", "docs", "counts"],
@@ -125,7 +125,7 @@ class Shard:
         lengths = np.frombuffer(row["lengths"], np.int64)
         self.terms = np.frombuffer(row["terms"], np.int64)
         self.docs = np.frombuffer(row["docs"], np.uint16).astype(np.int64)
-        count = np.frombuffer(row["counts"], np.float16).astype(np.float64)
+        count = np.frombuffer(row["counts"], np.uint32).astype(np.float64)
         self.weights = count * (K1 + 1) / (count + K1 * (1 - B + B * lengths / max(mean_length, 1e-9))[self.docs])
         starts = np.frombuffer(row["starts"], np.uint32).astype(np.int64)
         # A cut begins where the term or the block changes.

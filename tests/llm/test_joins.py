@@ -197,6 +197,22 @@ def test_search_equals_brute_force(spark, monkeypatch):
         assert [r.doc_id for r in best] == [i for i, _ in wanted[q]] or len({s for _, s in wanted[q]}) < len(best)
 
 
+def test_search_of_long_texts(spark):
+    """Counts beyond 2,048 and 65,504, in whole texts."""
+    draw = random.Random(8)
+    rows = [(i, " ".join(draw.choice(["river", "stone", "cloud", "grass", "field"]) for _ in range(draw.randint(5, 60)))) for i in range(30)]
+    rows += [(100, "river " * 3001 + "stone"), (101, "river " * 70_000 + "cloud"), (102, "river stone " * 2049), (103, "river " * 200_000)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    wanted = brute_search(rows, lambda i: i % 5 == 0 or i > 99, 10)
+    found = {}
+    for r in search.search(documents, (F.col("doc_id") % 5 == 0) | (F.col("doc_id") > 99), 10).orderBy("rank").collect():
+        found.setdefault(r.query_id, []).append(r)
+    assert set(found) == set(wanted)
+    for q, best in found.items():
+        assert np.allclose([r.score for r in best], [s for _, s in wanted[q]], rtol=1e-12, atol=1e-8)
+        assert [r.doc_id for r in best] == [i for i, _ in wanted[q]] or len({s for _, s in wanted[q]}) < len(best)
+
+
 def test_search_of_odd_rows(odd, empty):
     found = search.search(odd, F.lit(True), 3).collect()
     assert {(r.query_id, r.doc_id) for r in found} >= {(1, 5), (6, 7), (7, 6)}

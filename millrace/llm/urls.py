@@ -2,7 +2,9 @@
 
 Everything is a column expression or an estimator of Spark's own library; no
 Python runs in tasks. The urls that a rule decides are the labelled ones. Trees
-are trained on a bounded sample of them and judge the urls that no rule fits.
+are trained on a bounded sample of them, weighted back to the true shares of the
+verdicts, and judge the urls that no rule fits. Suffixes are counted over all
+labelled urls.
 """
 
 from __future__ import annotations
@@ -103,12 +105,19 @@ def _with_slices(frame: DataFrame) -> DataFrame:
 
 
 def _with_suffix_shares(frame: DataFrame, shares: dict[str, DataFrame], prior: float) -> DataFrame:
-    """Joins each suffix's share of blocked urls: one row per suffix of the bounded sample is broadcast."""
+    """Joins each suffix's share of blocked urls. Suffixes are unbounded, so Spark chooses the kind of join by their size."""
     for name, share in shares.items():
-        frame = frame.join(F.broadcast(share), name, "left").fillna({f"{name}_share": prior})
+        frame = frame.join(share, name, "left").fillna({f"{name}_share": prior})
     return frame
 
 
+def suffix_shares(labelled: DataFrame, prior: float) -> dict[str, DataFrame]:
+    """For each kind of suffix, its values in ``labelled`` and the share of blocked urls of each, drawn towards ``prior``."""
+    prepared = _with_slices(labelled)
+    share = (F.sum("label") + SUFFIX_PRIOR * prior) / (F.count("*") + SUFFIX_PRIOR)
+    return {name: stage(prepared.groupBy(name).agg(share.alias(f"{name}_share")), "url-suffixes") for name in _suffixes()}
+
+
 def judge(pages: DataFrame, rules: list[tuple[str, str]], per_verdict: int = PER_VERDICT) -> DataFrame:
     """``page_id``, ``host``, ``path``, ``rule``, ``verdict`` and ``score`` of every row.
 
@@ -124,29 +133,28 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], per_verdict: int = PER
     labelled = split.where("decided is not null").select("url", "host", "path", (F.col("decided") == "block").cast("double").alias("label"))
     order = (F.xxhash64("url"), "url")
     sample = reduce(DataFrame.unionByName, [labelled.where(F.col("label") == v).orderBy(*order).limit(per_verdict) for v in (0.0, 1.0)])
-    sample = stage(sample, "url-sample")
-    counts = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
+    counts = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
     if len(counts) < 2:
         score = F.lit(1.0 if 1.0 in counts else 0.0)
         scored = split.withColumn("score", F.when(F.isnull("rule"), score))
     else:
-        scored = _score_with_trees(split, sample, counts[1.0] / sum(counts.values()))
+        # A sampled url stands for as many as its verdict has for each one in the sample.
+        weight = F.when(F.col("label") == 1.0, max(1.0, counts[1.0] / per_verdict)).otherwise(max(1.0, counts[0.0] / per_verdict))
+        sample = stage(sample.withColumn("weight", weight), "url-sample")
+        scored = _score_with_trees(split, sample, labelled, counts[1.0] / sum(counts.values()))
     judged = F.when(F.col("score") >= 0.5, "block").otherwise("allow")
     return scored.select("page_id", "host", "path", "rule", F.coalesce("decided", judged).alias("verdict"), "score")
 
 
-def _score_with_trees(split: DataFrame, sample: DataFrame, prior: float) -> DataFrame:
+def _score_with_trees(split: DataFrame, sample: DataFrame, labelled: DataFrame, prior: float) -> DataFrame:
     prepared = _with_slices(sample)
-    shares = {
-        name: prepared.groupBy(name).agg(((F.sum("label") + SUFFIX_PRIOR * prior) / (F.count("*") + SUFFIX_PRIOR)).alias(f"{name}_share"))
-        for name in _suffixes()
-    }
+    shares = suffix_shares(labelled, prior)
     lexical = lexical_features()
     inputs = [*lexical, *(f"{name}_share" for name in shares)]
     assembler = VectorAssembler(inputCols=inputs, outputCol="features")
     # The sample is bounded; a few partitions keep the many short jobs of the training short.
-    training = stage(_with_suffix_shares(prepared, shares, prior).withColumns(lexical).select(*inputs, "label").coalesce(4), "url-training")
-    trees = GBTClassifier(featuresCol="features", labelCol="label", maxIter=TREES, maxDepth=DEPTH, seed=1).fit(assembler.transform(training))
+    training = stage(_with_suffix_shares(prepared, shares, prior).withColumns(lexical).select(*inputs, "label", "weight").coalesce(4), "url-training")
+    trees = GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, seed=1).fit(assembler.transform(training))
     open_rows = _with_suffix_shares(_with_slices(split), shares, prior).withColumns(lexical)
     scored = trees.transform(assembler.transform(open_rows))
     return scored.withColumn("score", F.when(F.isnull("rule"), vector_to_array("probability")[1]))

@@ -125,6 +125,18 @@ def test_urls_without_labels(spark):
     assert {r.page_id: r.verdict for r in urls.judge(only, RULES).collect()} == {1: "block", 2: "block"}
 
 
+def test_url_sample_keeps_the_shares(spark):
+    rows = [(i, f"http://h{i:04}.net/fr/{i:04}") for i in range(400)] + [(i, f"http://h{i:04}.com/fr/{i:04}") for i in range(400, 500)]
+    rows += [(1000 + i, f"http://g{i:04}.org/fr/{i:04}") for i in range(50)]
+    pages = spark.createDataFrame(rows, "page_id long, url string").repartition(3)
+    whole = {r.page_id: r.score for r in urls.judge(pages, RULES).collect() if r.rule is None}
+    few = {r.page_id: r.score for r in urls.judge(pages, RULES, per_verdict=40).collect() if r.rule is None}
+    assert len(few) == 50 and max(abs(whole[i] - few[i]) for i in few) < 0.1
+    labelled = spark.createDataFrame([("a.net", "/x/", 1.0)] * 30 + [("b.com", "/y/", 0.0)] * 10, "host string, path string, label double")
+    shares = {r["last"]: r.last_share for r in urls.suffix_shares(labelled, 0.75)["last"].collect()}
+    assert shares == {"net": (30 + 5 * 0.75) / 35, "com": 5 * 0.75 / 15}
+
+
 def test_lexical_features(spark):
     frame = spark.createDataFrame([("http://a.b/c/d1?x=1&y=2#z", "a.b", "/c/d1")], "url string, host string, path string")
     got = frame.select(*(c.alias(n) for n, c in urls.lexical_features().items())).first().asDict()

@@ -171,13 +171,15 @@ def _chat(spark, sf):
 
 
 def _all_splits(spark, sf):
-    """One dataset: a split in shards of two formats, and a second one whose name begins with the first one's."""
+    """One dataset: a split in shards of two formats, some below data/, and a second one whose name begins with the first one's."""
     root = new_stage_path(spark, "splits")
     docs = _docs(spark, sf).select("doc_id", "lang", F.col("text").alias("prompt_text"))
     lang = F.coalesce("lang", F.lit(""))
     docs.filter(lang == "en").write.parquet(f"{root}/org/docs/train-0.parquet")
-    docs.filter(lang == "de").write.json(f"{root}/org/docs/train-1.jsonl")
-    docs.filter(~lang.isin("en", "de")).write.json(f"{root}/org/docs/train_extra.jsonl")
+    odd = F.coalesce(F.col("doc_id") % 2 != 0, F.lit(False))
+    docs.filter((lang == "de") & odd).write.json(f"{root}/org/docs/train-1.jsonl")
+    docs.filter((lang == "de") & ~odd).write.parquet(f"{root}/org/docs/data/train-00002-of-00003.parquet")
+    docs.filter(~lang.isin("en", "de")).write.json(f"{root}/org/docs/data/train_extra-00000-of-00001.json")
     mapping = {"prompt_text": "prompt_text"}
     datasets = {"org/docs": {"configs": [None], "format_style": "prompt_text_only", "column_mapping": mapping}}
     schemas = {"org/docs": T.StructType.fromDDL("doc_id bigint, lang string, prompt_text string")}

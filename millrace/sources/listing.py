@@ -132,8 +132,9 @@ def read_dataset(
     """One (dataset, config, split), tagged with the three names.
 
     Tried in turn: ``<folder>/<dataset>`` as a bare JSON-lines file,
-    ``<folder>/<dataset>[/<config>]/<split>[-<shard>]`` as Parquet and JSON lines, and the
-    same below ``<folder>`` itself when it is the dataset's own folder.
+    ``<folder>/<dataset>[/<config>]/**/<split>[-<shard>]`` as Parquet, JSON lines and JSON, and
+    the same below ``<folder>`` itself when it is the dataset's own folder. A file that is only
+    numbered belongs to the split its folder names.
     """
     if dataset.endswith(".jsonl"):
         rows = read_strict(spark, f"{folder}/{dataset}", schema)
@@ -144,50 +145,84 @@ def read_dataset(
     )
 
 
-def _dataset_folders(folder: str, dataset: str, config: str | None) -> list[str]:
+def _own_folders(folder: str, dataset: str) -> list[str]:
     bases = [f"{folder}/{dataset}"]
     if folder.rstrip("/").rsplit("/", 1)[-1] == dataset.rsplit("/", 1)[-1]:
         bases.append(folder.rstrip("/"))
-    return [f"{b}/{config}" if config else b for b in bases]
+    return bases
+
+
+def _dataset_folders(folder: str, dataset: str, config: str | None) -> list[str]:
+    bases = _own_folders(folder, dataset)
+    return [f"{b}{below}/{config}" for b in bases for below in ("", "/data")] if config else bases
 
 
 # A split's file or folder is its name, or its name and a shard number.
 _SHARD = r"(?:-\d+(?:-of-\d+)?)?"
-_EXTENSIONS = ("parquet", "jsonl")
+_EXTENSIONS = ("parquet", "jsonl", "json")
+#: Files of a nested folder that name no split of their own.
+_NUMBERED = r"\d+|part-\d+.*"
 
 
-def _split_names(spark: SparkSession, base: str) -> list[tuple[str, str, str]]:
-    """(split, extension, name) of the files and table folders directly in ``base``; none if it doesn't exist."""
+def _exists(spark: SparkSession, base: str) -> bool:
     path = spark._jvm.org.apache.hadoop.fs.Path(base)
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(path):
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def _split_names(spark: SparkSession, base: str, below: str = "") -> list[tuple[str, str, str]]:
+    """(split, extension, name) of the files and table folders at any depth of ``base``; none if it doesn't exist."""
+    if not _exists(spark, base):
         return []
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/{below}" if below else base)
     found = []
-    for status in files.listStatus(path):
+    for status in path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path):
         name = status.getPath().getName()
+        if name.startswith((".", "_")):
+            continue
         if match := re.fullmatch(rf"(.+?){_SHARD}\.({'|'.join(_EXTENSIONS)})", name):
-            found.append((match[1], match[2], name))
+            split = match[1]
+            if below and re.fullmatch(_NUMBERED, split):
+                own = below.rstrip("/").rsplit("/", 1)[-1]
+                split = "train" if own == "data" else own
+            found.append((split, match[2], below + name))
+        elif status.isDirectory():
+            found += _split_names(spark, base, f"{below}{name}/")
     return sorted(found)
 
 
+def _is_one_json(spark: SparkSession, path: str) -> bool:
+    """Whether a JSON file is one value, such as a list of rows, and not a row a line."""
+    line = spark.read.text(path).where(F.trim("value") != "").select(is_json_object("value")).first()
+    return line is not None and not line[0]
+
+
 def dataset_splits(spark: SparkSession, folder: str, dataset: str, config: str | None) -> list[str]:
-    """The splits that a dataset's files name; a bare JSON-lines file is one, ``train``. None, with a warning, without files."""
+    """The splits that a dataset's files name; a bare JSON-lines file is one, ``train``.
+
+    None, with a warning, where the dataset's folder doesn't exist; a folder without files of a split is an error.
+    """
     if dataset.endswith(".jsonl"):
         return ["train"]
     for base in _dataset_folders(folder, dataset, config):
         if names := _split_names(spark, base):
             return sorted({split for split, _, _ in names})
+    if present := [b for b in _own_folders(folder, dataset) if _exists(spark, b)]:
+        raise FileNotFoundError(f"no file of {dataset} ({config}) names a split in {present}")
     warnings.warn(f"no files of {dataset} ({config}) below {folder}: skipped", stacklevel=2)
     return []
 
 
 def _read_split(spark: SparkSession, bases: list[str], split: str, schema: T.StructType | None) -> DataFrame:
-    """All files of exactly this split, Parquet and JSON lines together, from the first folder that has some."""
+    """All files of exactly this split, Parquet, JSON lines and JSON together, from the first folder that has some."""
     reader = spark.read.schema(schema) if schema is not None else spark.read
     for base in bases:
         parts = []
         for extension in _EXTENSIONS:
             paths = [f"{base}/{name}" for own, kind, name in _split_names(spark, base) if (own, kind) == (split, extension)]
+            whole = [p for p in paths if extension == "json" and _is_one_json(spark, p)]
+            if whole:
+                parts.append(reader.json(whole, multiLine=True))
+                paths = [p for p in paths if p not in whole]
             if paths:
                 parts.append(reader.parquet(*paths) if extension == "parquet" else reader.json(paths))
         if parts:

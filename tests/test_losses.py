@@ -3,6 +3,7 @@
 import json
 import warnings
 
+import pytest
 from pyspark.sql import functions as F, types as T
 
 from millrace.functions.replies import OutputContract, read_reply, with_reply_columns
@@ -33,6 +34,29 @@ def test_all_splits_and_formats(spark, tmp_path):
     assert any("org/none" in str(w.message) for w in said)
 
 
+def test_nested_splits_and_json(spark, tmp_path):
+    folder = tmp_path / "org" / "pairs"
+    files = {
+        "data/train-00000-of-00002.jsonl": json.dumps({"q": "a", "a": "x"}) + "\n" + json.dumps({"q": "a2", "a": "x"}),
+        "data/train-00001-of-00002.json": json.dumps({"q": "b", "a": "x"}) + "\n" + json.dumps({"q": "b2", "a": "x"}),
+        "test.json": json.dumps([{"q": "c", "a": "x"}, {"q": "c2", "a": "x"}], indent=1),
+        "validation/0000.jsonl": json.dumps({"q": "d", "a": "x"}),
+        "README.md": "x",
+    }
+    for name, text in files.items():
+        (folder / name).parent.mkdir(parents=True, exist_ok=True)
+        (folder / name).write_text(text)
+    found = lambda sets: {(r.config, r.split, r.q) for r in convert_datasets(spark, str(tmp_path), sets).select("config", "split", F.get_json_object("raw_data", "$.q").alias("q")).collect()}
+    assert found(PAIRS) == {(None, "train", q) for q in ("a", "a2", "b", "b2")} | {(None, "test", "c"), (None, "test", "c2"), (None, "validation", "d")}
+    (tmp_path / "org" / "set" / "data" / "easy").mkdir(parents=True)
+    (tmp_path / "org" / "set" / "data" / "easy" / "train-0.jsonl").write_text(json.dumps({"q": "e", "a": "x"}))
+    assert found({"org/set": {**PAIRS["org/pairs"], "configs": ["easy"]}}) == {("easy", "train", "e")}
+    (tmp_path / "org" / "none").mkdir()
+    (tmp_path / "org" / "none" / "rows.csv").write_text("q,a\n")
+    with pytest.raises(FileNotFoundError, match="org/none"):
+        convert_datasets(spark, str(tmp_path), {**PAIRS, "org/none": PAIRS["org/pairs"]})
+
+
 def test_merge_inputs_in_subfolders(spark, tmp_path):
     for name in ("a/in.jsonl", "b/in.jsonl", "c d+e.jsonl"):
         (tmp_path / name).parent.mkdir(exist_ok=True)

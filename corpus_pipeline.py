@@ -29,7 +29,7 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that many sources share stay only where they occur first; a document of which nothing is left goes."""
-    cleaned = lines.remove_shared_lines(docs)
+    cleaned = lines.remove_shared_lines(docs, unknown_sites=True)
     left = cleaned.where((F.col("lines_removed") == 0) | (F.btrim("text", F.lit(" \t\r\n")) != ""))
     text_length = F.when(F.col("lines_removed") > 0, F.length("text")).otherwise(F.col("n_chars")) if "n_chars" in docs.columns else None
     return left.select(*(text_length.cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns))

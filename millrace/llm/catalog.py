@@ -33,7 +33,7 @@ def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = lines.remove_shared_lines(table(spark, sf_dir, "documents"))
+    cleaned = lines.remove_shared_lines(table(spark, sf_dir, "documents"), unknown_sites=True)
     return cleaned.select("doc_id", "text", F.col("lines_removed").cast("long").alias("lines_removed"))
 
 

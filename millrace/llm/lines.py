@@ -22,9 +22,10 @@ def _lines() -> Column:
     return F.split("text", "\n")
 
 
-def line_keys(documents: DataFrame) -> DataFrame:
-    """``doc_id``, ``site``, ``key`` of each line with more than white space; rows without doc_id or site are left out."""
-    lines = documents.where("doc_id is not null and source is not null").select("doc_id", F.col("source").alias("site"), F.explode(_lines()).alias("line"))
+def line_keys(documents: DataFrame, unknown_sites: bool = False) -> DataFrame:
+    """``doc_id``, ``site``, ``key`` of each line with more than white space; rows without doc_id are left out, and those without site unless ``unknown_sites``."""
+    known = F.col("doc_id").isNotNull() & (F.lit(unknown_sites) | F.col("source").isNotNull())
+    lines = documents.where(known).select("doc_id", F.col("source").alias("site"), F.explode(_lines()).alias("line"))
     return lines.withColumn("line", _trimmed(F.col("line"))).where("line <> ''").select("doc_id", "site", F.md5("line").alias("key"))
 
 
@@ -44,21 +45,23 @@ def shared_lines(keys: DataFrame, sites: int = SITES) -> DataFrame:
     return far.unionByName(exact.where(F.col("n") > sites).select("key", "first_id"))
 
 
-def remove_shared_lines(documents: DataFrame, sites: int = SITES) -> DataFrame:
+def remove_shared_lines(documents: DataFrame, sites: int = SITES, unknown_sites: bool = False) -> DataFrame:
     """``documents`` with ``text`` cleaned, and ``lines_removed``, the number of lines taken out.
 
     Lines are what line feeds separate; a line is compared without white space at its
     ends and blank lines are never removed. A null text stays null, a document may end
     up empty, rows without doc_id or source are left as they are, repeated rows are
-    cleaned alike. ``sites`` is a number of distinct values of ``source``.
+    cleaned alike. ``sites`` is a number of distinct values of ``source``. With
+    ``unknown_sites`` rows without source are cleaned too; they never add to a line's sites.
     """
     shared = shared_lines(line_keys(documents), sites)
-    held = line_keys(documents).join(shared, "key").where(F.col("doc_id") > F.col("first_id")).select("doc_id", "key")
+    held = line_keys(documents, unknown_sites).join(shared, "key").where(F.col("doc_id") > F.col("first_id")).select("doc_id", "key")
     # One entry per different line of a document: bounded by the document itself.
     gone = held.groupBy("doc_id").agg(F.collect_set("key").alias("__gone"))
     joined = documents.join(gone, "doc_id", "left")
     kept = F.filter(_lines(), lambda line: F.isnull("__gone") | ~F.array_contains("__gone", F.md5(_trimmed(line))))
-    cleaned = F.when(F.isnull("__gone") | F.isnull("source"), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    removed = F.when(F.isnull("__gone") | F.isnull("source"), 0).otherwise(F.size(_lines()) - F.size(kept))
+    left_alone = F.isnull("__gone") | (F.isnull("source") & F.lit(not unknown_sites))
+    cleaned = F.when(left_alone, F.col("text")).otherwise(F.array_join(kept, "\n"))
+    removed = F.when(left_alone, 0).otherwise(F.size(_lines()) - F.size(kept))
     columns = [cleaned.alias("text") if c == "text" else F.col(c) for c in documents.columns if c != "lines_removed"]
     return joined.select(*columns, removed.alias("lines_removed"))

@@ -42,6 +42,17 @@ def test_line_dedup_equals_sql(spark):
     assert rows == sorted(connection.execute(entry.sql).fetchall()) and any(r[2] for r in rows)
 
 
+def test_line_dedup_of_unknown_sites_equals_sql(spark, tmp_path):
+    rows = [(i, "shared", f"s{i}") for i in range(1, 7)] + [(7, "shared", None), (8, "own\nshared", None), (0, "shared", None), (None, "shared", None)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    entry = ENTRIES["op2_line_dedup"]
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    order = lambda rows: sorted(map(tuple, rows), key=str)
+    found = order(entry.run(spark, str(tmp_path)).collect())
+    assert found == order(connection.execute(entry.sql).fetchall()) and {(7, "", 1), (8, "own", 1)} <= set(found)
+
+
 def test_pipeline_stages(spark):
     documents = spark.read.parquet(f"{SMALL}/documents.parquet")
     docs, kept = documents, [documents.count()]

@@ -36,8 +36,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by a Jaccard similarity of 0.8 or more of five-word shingles, the one with the smallest doc_id."""
-    return jaccard.keep_first(docs, percent=80, size=5)
+    """Of documents linked by a Jaccard similarity of 0.8 or more of five-word shingles, one row, that of the smallest doc_id."""
+    return jaccard.keep_one(docs, percent=80, size=5)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

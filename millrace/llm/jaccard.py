@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.components import connected_components
+from millrace.operators.ordinals import with_ordinal
 from millrace.session import stage
 
 #: Characters of text whose grams are dealt together, and that are hashed at once.
@@ -539,6 +540,19 @@ def components(documents: DataFrame, percent: int = 85, size: int = 4) -> DataFr
     return members.join(found, "digest", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("top", "doc_id").alias("component_id"))
 
 
+def keep_one(documents: DataFrame, percent: int = 85, size: int = 4) -> DataFrame:
+    """One row of each component, that of the smallest doc_id, all columns as they were.
+
+    Unlike ``keep_first``, repeated rows and copies without a doc_id go too; null ids rank
+    last. Texts without words stay.
+    """
+    # Numbers in the order of doc_id stand in for it, so that every row has an id of its own.
+    numbered, _ = with_ordinal(documents, [F.isnull("doc_id"), "doc_id", F.xxhash64("text")], "__row")
+    found = components(numbered.select(F.col("__row").alias("doc_id"), "text"), percent, size)
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__row"))
+    return numbered.join(gone, "__row", "left_anti").select(documents.columns)
+
+
 def keep_first(documents: DataFrame, percent: int = 85, size: int = 4) -> DataFrame:
     """The documents that are their component's smallest doc_id, all columns as they were; texts without words stay."""
     found = components(documents, percent, size).where("doc_id <> component_id").select("doc_id").distinct()

@@ -74,6 +74,13 @@ def test_components_of_odd_rows(odd, empty):
     assert kept.columns == odd.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 1, 2, 3, 4, 6, 8, 9]
 
 
+def test_one_row_of_each_component(odd, empty):
+    more = [(None, "a row without an id", "en", "z", 1, 0, 0), (None, "one two", "en", "a", 7, 0, 0)]
+    kept = jaccard.keep_one(odd.unionByName(odd.sparkSession.createDataFrame(more, odd.schema)))
+    assert kept.columns == odd.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 2, 3, 4, 6, 8, 9]
+    assert jaccard.keep_one(empty).count() == 0
+
+
 def test_links_of_two_leaves_equal_brute_force():
     draw = np.random.default_rng(2)
     pool = draw.integers(0, 1 << 62, 400, dtype=np.uint64)

@@ -1,13 +1,20 @@
 """The registered queries of the subpackage, and the pipeline."""
 
+from collections import defaultdict
+
 import duckdb
+import public_tokenizers
 import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
+from test_joins import brute_components
+from test_tokens import check_packing, ids_of
+from tokenizers import Tokenizer
 
 import __spark_entry__
 import corpus_pipeline
-from millrace.llm.catalog import ENTRIES
+from millrace.llm import lines
+from millrace.llm.catalog import ENTRIES, PACKED_END, VOCABULARY
 
 COLUMNS = {
     "op1_toxicity": ["doc_id", "held_out", "score", "predicted"],
@@ -68,3 +75,35 @@ def test_pipeline_stages(spark):
     # Where documents are cut depends on how the rows were dealt; what is packed doesn't.
     counts = lambda frame: sorted(tuple(r) for r in frame.select("doc_id", "doc_tokens").distinct().collect())
     assert counts(corpus_pipeline.run(spark, SMALL)) == counts(packed)
+
+
+def test_pipeline_equals_plain_python(spark):
+    """Line dedup, near duplicates and packing, fed with what the two classifiers kept."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    for _, function in corpus_pipeline.STAGES[:2]:
+        docs = function(spark, docs, SMALL)
+    rows = docs.collect()
+    docs = spark.createDataFrame(rows, docs.schema)
+    trim = lambda line: line.strip(" \t\r\x0b\x0c\xa0")
+    sites, first = defaultdict(set), {}
+    for r in rows:
+        for line in filter(None, map(trim, (r.text or "").split("\n"))):
+            if r.source is not None:
+                sites[line].add(r.source)
+                first[line] = min(first.get(line, r.doc_id), r.doc_id)
+    texts = {}
+    for r in rows:
+        own = (r.text or "").split("\n")
+        left = [x for x in own if len(sites[trim(x)]) <= lines.SITES or r.doc_id <= first[trim(x)]]
+        if len(left) == len(own) or "\n".join(left).strip(" \t\r\n"):
+            texts[r.doc_id] = r.text if len(left) == len(own) else "\n".join(left)
+    docs = corpus_pipeline.line_dedup(spark, docs, SMALL)
+    assert sorted((r.doc_id, r.text) for r in docs.collect()) == sorted(texts.items())
+    top = brute_components(texts.items(), 80, 5)
+    texts = {i: t for i, t in texts.items() if top[i][1] == i}
+    docs = corpus_pipeline.near_duplicates(spark, docs, SMALL)
+    assert sorted((r.doc_id, r.text) for r in docs.collect()) == sorted(texts.items())
+    library = Tokenizer.from_file(public_tokenizers.path(VOCABULARY))
+    packed = corpus_pipeline.pack(spark, docs, SMALL).collect()
+    check_packing(packed, texts, library, PACKED_END)
+    assert {r.doc_id for r in packed} == set(texts) and sum(r.length for r in packed) >= sum(len(ids_of(library, t)) + 1 for t in texts.values())

@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.catalog import Entry, Query
-from millrace.llm import bpe, jaccard, lines, neighbours, packing, quality, search, token_counts, toxicity, urls
+from millrace.llm import bpe, centroids, codes, jaccard, lines, neighbours, packing, quality, search, token_counts, toxicity, urls
+from millrace.llm.vector_sql import clusters_sql, codes_sql
 from millrace.session import new_stage_path
 
 #: Vocabulary of the token operators, the id that closes a packed document, and the one that closes a document in a token file.
@@ -71,6 +72,14 @@ def _encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_and_decode(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def _codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def _centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
 def line_dedup_sql(source: str, sites: int = lines.SITES) -> str:
     """What line dedup does to the table ``source``, with its columns and ``lines_removed``."""
     return f"""
@@ -117,6 +126,9 @@ _RUNS: dict[str, Query] = {
     "op8_token_counts": _token_counts,
     "op9_search": _search,
     "op10_bpe": _encoding,
+    "op12_vector_codes": _codes,
+    "op13_centroid_clusters": _centroids,
     "pipeline": _pipeline,
 }
-ENTRIES = {name: Entry(run, _LINES_SQL if name == "op2_line_dedup" else None) for name, run in _RUNS.items()}
+_SQL = {"op2_line_dedup": _LINES_SQL, "op12_vector_codes": codes_sql(), "op13_centroid_clusters": clusters_sql()}
+ENTRIES = {name: Entry(run, _SQL.get(name)) for name, run in _RUNS.items()}

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.catalog import Entry, Query
-from millrace.llm import bpe, centroids, codes, jaccard, lines, neighbours, packing, quality, search, token_counts, toxicity, urls
+from millrace.llm import bpe, centroids, codes, jaccard, lines, neighbours, packing, quality, search, substrings, token_counts, toxicity, urls
 from millrace.llm.vector_sql import clusters_sql, codes_sql
 from millrace.session import new_stage_path
 
@@ -72,6 +72,11 @@ def _encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_and_decode(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def _substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def _codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.compress(table(spark, sf_dir, "embeddings"))
 
@@ -109,6 +114,23 @@ def line_dedup_sql(source: str, sites: int = lines.SITES) -> str:
 _LINES_SQL = f"SELECT doc_id, text, lines_removed FROM ({line_dedup_sql('documents')})"
 
 
+_SUBSTRINGS_SQL = r"""
+    WITH docs AS MATERIALIZED (
+        SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+    ), windows AS MATERIALIZED (
+        SELECT d.r, d.doc_id, t.i, d.w[t.i : t.i + 12] AS words FROM docs d, unnest(range(1, len(d.w) - 11)) t(i)
+    ), firsts AS (SELECT words, min(doc_id) AS first_id FROM windows GROUP BY words),
+    covered AS MATERIALIZED (
+        SELECT DISTINCT x.r, x.i + t.k AS i FROM windows x JOIN firsts f USING (words), range(13) t(k) WHERE f.first_id < x.doc_id
+    ), placed AS (SELECT d.r, unnest(d.w) AS word, generate_subscripts(d.w, 1) AS i FROM docs d),
+    kept AS (
+        SELECT p.r, string_agg(p.word, ' ' ORDER BY p.i) AS text, count(*) AS n
+        FROM placed p LEFT JOIN covered c ON c.r = p.r AND c.i = p.i WHERE c.r IS NULL GROUP BY p.r
+    )
+    SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(len(d.w) - coalesce(k.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+    FROM docs d LEFT JOIN kept k USING (r)"""
+
+
 def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -126,9 +148,10 @@ _RUNS: dict[str, Query] = {
     "op8_token_counts": _token_counts,
     "op9_search": _search,
     "op10_bpe": _encoding,
+    "op11_substring_dedup": _substrings,
     "op12_vector_codes": _codes,
     "op13_centroid_clusters": _centroids,
     "pipeline": _pipeline,
 }
-_SQL = {"op2_line_dedup": _LINES_SQL, "op12_vector_codes": codes_sql(), "op13_centroid_clusters": clusters_sql()}
+_SQL = {"op2_line_dedup": _LINES_SQL, "op11_substring_dedup": _SUBSTRINGS_SQL, "op12_vector_codes": codes_sql(), "op13_centroid_clusters": clusters_sql()}
 ENTRIES = {name: Entry(run, _SQL.get(name)) for name, run in _RUNS.items()}

@@ -22,12 +22,15 @@ COLUMNS = {
     "op5_url_filter": ["page_id", "host", "path", "rule", "verdict"],
     "op6_quality": ["doc_id", "held_out", "score", "predicted"],
     "op7_jaccard_join": ["doc_id", "n_shingles", "component_id"],
+    "op11_substring_dedup": ["doc_id", "n_words", "n_removed", "kept_sha256"],
+    "op12_vector_codes": ["vec_id", "code", "error", "label_error", "codebooks_sha256"],
+    "op13_centroid_clusters": ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"],
 }
 
 
 def test_registered():
     assert set(ENTRIES) <= set(__spark_entry__.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in ENTRIES if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in ENTRIES if n.startswith("op")) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(COLUMNS))

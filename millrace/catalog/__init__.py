@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-SECTIONS = ("text", "fields", "chat", "replies", "packages", "sets", "reports", "files", "jobs")
+SECTIONS = ("text", "fields", "chat", "replies", "packages", "sets", "reports", "files", "jobs", "runs")
 
 
 @dataclass(frozen=True)

@@ -168,11 +168,11 @@ ENTRIES = {
     "fl4": Entry(
         lambda spark, sf: with_messages(
             line_conversations(spark, sf).withColumn(
-                "messages", F.filter("conversations", lambda t: (t["value"] == "") & (t["from"] != "system"))
+                "messages", F.filter("conversations", lambda t: (F.length(t["value"]) > 120) & (t["from"] != "system"))
             )
         ).select("doc_id"),
         """SELECT doc_id FROM (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x, i:
-               x = '' AND NOT (i = 1 AND lang = 'fr')) AS m FROM documents) WHERE len(m) > 0""",
+               length(x) > 120 AND NOT (i = 1 AND lang = 'fr')) AS m FROM documents) WHERE len(m) > 0""",
     ),
     "fl7": Entry(
         lambda spark, sf: selected(table(spark, sf, "documents"), "source", ["src1", "src7", "nowhere"]).select("doc_id"),

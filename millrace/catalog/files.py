@@ -67,6 +67,20 @@ def _parquet(spark, sf):
     return tables.load(spark, path)
 
 
+def _by_extension(spark, sf):
+    """Open orders as Parquet, the others as JSON lines, each read by its path's extension; any other extension is an error."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", F.col("o_totalprice").cast("double").alias("o_totalprice"))
+    base, parts = new_stage_path(spark, "orders"), []
+    for name, rows in ((".parquet", orders.filter("o_orderstatus = 'O'")), (".jsonl", orders.filter("o_orderstatus <> 'O'"))):
+        tables.save(rows, base + name)
+        parts.append(tables.load(spark, base + name, orders.schema).withColumn("kind", F.lit(name)))
+    try:
+        tables.load(spark, base + ".csv")
+    except ValueError:
+        return parts[0].unionByName(parts[1])
+    raise AssertionError("a path of unknown format was read")
+
+
 def _folder(spark, sf):
     """Some languages as Parquet, the others as JSON lines, in one folder."""
     path = new_stage_path(spark, "folder")
@@ -189,8 +203,9 @@ ENTRIES = {
         "SELECT l_orderkey, l_linenumber, l_returnflag FROM lineitem",
     ),
     "io4": Entry(
-        lambda spark, sf: tables.load(spark, f"{sf}/orders.parquet").select("o_orderkey", "o_orderstatus"),
-        "SELECT o_orderkey, o_orderstatus FROM orders",
+        _by_extension,
+        """SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DOUBLE) AS o_totalprice,
+                  CASE WHEN o_orderstatus = 'O' THEN '.parquet' ELSE '.jsonl' END AS kind FROM orders""",
     ),
     "io5": Entry(
         _nulls,

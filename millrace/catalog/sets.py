@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F, types as T
 
 from millrace.catalog import Entry
 from millrace.catalog.inputs import FINISHED_SQL, REQUESTS_SQL, finished_requests, requests, table
 from millrace.functions.identity import with_uid
 from millrace.operators import ordinals, resume, unions
+from millrace.operators.done import KeyFilter, pending_against, write_done
 from millrace.operators.fanout import over_models, over_runs
 from millrace.plans.generation import pending_requests
 from millrace.session import new_stage_path
-from millrace.sources.jsonl import in_written_order, line_order, read_tolerant, write_jsonl
+from millrace.sources.jsonl import in_written_order, number_lines, read_tolerant, split_lines, write_jsonl
 from millrace.sources.naming import latest_run
 from millrace.sources.tables import append_checked
 
@@ -37,6 +40,13 @@ def _resumed(spark, sf):
     )
 
 
+def _resumed_from_table(spark, sf):
+    """Pending requests against a bucketed table of finished keys."""
+    done = write_done(with_uid(finished_requests(spark, sf)), "uid", f"finished_{uuid.uuid4().hex}", 8)
+    rows = with_uid(requests(spark, sf)).select("doc_id", "uid")
+    return pending_against(rows, done, "uid", KeyFilter.of(done, "uid"))
+
+
 def _files(spark, sf):
     """One row per (language, source), as if each were a file."""
     path = F.concat("lang", F.lit("/"), "source").alias("path")
@@ -103,14 +113,14 @@ def _rejoined(spark, sf):
     chunks = in_written_order(_split(spark, sf), ["chunk_name", "ord"])
     write_jsonl(chunks.select("doc_id", "text", "chunk_name"), path, partition_by=["chunk_name"])
     rows = read_tolerant(spark, f"{path}/*/*.json", _ROW, places=True)
-    return ordinals.with_ordinal(unions.merge_chunks(rows), line_order())[0].select("doc_id", "text", "ord")
+    return number_lines(rows)[0].select("doc_id", "text", "ord")
 
 
 def _split_lines(spark, sf):
     """A JSON-lines table, split by the order of its lines."""
     path = new_stage_path(spark, "unsplit")
     write_jsonl(in_written_order(_docs(spark, sf).select("doc_id", "text"), ["doc_id"]), path)
-    rows = ordinals.split_rows(read_tolerant(spark, path, _ROW, places=True), line_order(), chunks=CHUNKS, stem="docs")
+    rows = split_lines(read_tolerant(spark, path, _ROW, places=True), chunks=CHUNKS, stem="docs")
     return rows.select("doc_id", "ord", F.col("chunk").cast("bigint").alias("chunk"), "chunk_name")
 
 
@@ -157,6 +167,7 @@ ENTRIES = {
         lambda spark, sf: pending_requests(requests(spark, sf), finished_requests(spark, sf)).select("doc_id", "uid"),
         f"SELECT doc_id, uid FROM {_PENDING_SQL}",
     ),
+    "jn2_bucketed": Entry(_resumed_from_table, f"SELECT doc_id, uid FROM {_PENDING_SQL}"),
     "jn3": Entry(
         lambda spark, sf: resume.new_rows(
             with_uid(finished_requests(spark, sf)).select("uid"),

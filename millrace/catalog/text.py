@@ -8,11 +8,13 @@ from millrace.catalog import Entry
 from millrace.catalog.inputs import REQUESTS_SQL, TOKENS_SQL, by_value, requests, table
 from millrace.functions import text as tx, think
 from millrace.functions.identity import stable_uid
-from millrace.functions.tokens import GATE_CHARS, PatternTokenizer, truncate_text
+from millrace.functions.tokens import GATE_CHARS, WORD_PATTERN, PatternTokenizer, RankTokenizer, truncate_text
 from millrace.sources.naming import run_path
 
 JUNK = ["%%%", "***", "###"]
 TOKEN_LIMIT = 1024
+#: A vocabulary that SQL can count with: each byte, and one pair.
+_PAIR_RANKS = {bytes([b]): b for b in range(256)} | {b"th": 256}
 
 
 def _docs(columns):
@@ -80,6 +82,11 @@ ENTRIES = {
         _docs(lambda: [PatternTokenizer().count("text").cast("bigint").alias("n_tokens")]),
         f"SELECT doc_id, len({TOKENS_SQL}) AS n_tokens FROM documents",
     ),
+    "st6_ranks": Entry(
+        _docs(lambda: [RankTokenizer(_PAIR_RANKS, WORD_PATTERN).count("text").cast("bigint").alias("n_tokens")]),
+        """SELECT doc_id, octet_length(encode(text)) - (length(text) - length(replace(text, 'th', ''))) // 2 AS n_tokens
+           FROM documents""",
+    ),
     "st7": Entry(
         lambda spark, sf: (lambda r: r.select("doc_id", stable_uid(r).alias("uid")))(requests(spark, sf)),
         f"SELECT doc_id, uid FROM {REQUESTS_SQL}",

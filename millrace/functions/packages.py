@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from millrace.functions.text import as_column, bind, cut_between, line_count, path_extension
 
 # The layout of package texts and of their file names.
+OPEN_TAG = r'<file path="[^"]+">'
 _PATHS = r'<file path="([^"]+)">'
 _ENTRIES = r'<file path="([^"]+)">([^<]*+(?:<(?!/file>)[^<]*+)*+)</file>'
 _NAME = r"^([^_]+)_([^_]+)_([a-f0-9]+)\.(xml|cxml)"

@@ -14,14 +14,16 @@ import traceback
 from collections import deque
 from collections.abc import Callable, Iterator
 from concurrent.futures import Future, ThreadPoolExecutor, wait
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from millrace.functions.replies import without_surrogates
+from millrace.operators.limits import Gate, share
 
 Transport = Callable[[list[dict[str, str]], dict[str, Any]], str]
 
@@ -45,9 +47,22 @@ def chat_parameters(config: dict[str, Any]) -> dict[str, Any]:
     return {k: v for k, v in config.items() if k in CHAT_PARAMETERS}
 
 
+#: ``error_kind`` of a row whose call had not begun when its task's time was up.
+LATER = "later"
+#: Replies handed on at once, at least, unless ``HAND_ON`` seconds have passed.
+SLICE, HAND_ON = 2048, 5.0
+
+
 @dataclass(frozen=True)
 class CallPolicy:
-    """Concurrency per task, retry waits and the deadline of one attempt (seconds; none by default)."""
+    """Concurrency per task, retry waits, the deadline of one attempt (seconds; none by default), and limits over all tasks.
+
+    ``total`` calls at most are open at once, and ``per_minute`` begin, in all tasks
+    together; ``tasks`` says how many tasks call (``for_tasks`` sets it). ``adaptive`` lowers
+    a task's concurrency when calls fail and raises it again. No call begins later than
+    ``budget`` seconds after its task's first; rows left over come back with
+    ``error_kind`` ``later``.
+    """
 
     concurrency: int = 20
     attempts: int = 3
@@ -56,22 +71,55 @@ class CallPolicy:
     wait_max: float = 60.0
     deadline: float | None = None
     chat: dict[str, Any] = field(default_factory=dict)
+    total: int | None = None
+    per_minute: float | None = None
+    tasks: int | None = None
+    adaptive: bool = False
+    budget: float | None = None
 
     def wait(self, attempt: int) -> float:
         return max(self.wait_min, min(self.wait_factor * 2 ** (attempt - 1), self.wait_max))
 
+    def for_tasks(self, tasks: int) -> CallPolicy:
+        """The policy of ``tasks`` calling tasks, or of fewer if the limit is smaller: each needs a permit."""
+        return replace(self, tasks=max(1, min(tasks, self.total or tasks)))
 
-def answer_within(transport: Transport, messages: list[dict[str, str]], chat: dict[str, Any], deadline: float | None) -> str:
-    """The transport's reply; a call that takes longer than ``deadline`` is left to itself and counts as failed."""
+    def gate(self, index: int) -> Gate:
+        """The gate of task ``index``."""
+        if (self.total or self.per_minute) and not self.tasks:
+            raise ValueError("a limit over all tasks needs the number of tasks")
+        most = self.concurrency if self.total is None else min(self.concurrency, int(share(self.total, self.tasks, index)))
+        pace = None if self.per_minute is None else share(self.per_minute, self.tasks, index, whole=False)
+        return Gate(most, pace, self.adaptive)
+
+
+def answer_within(
+    transport: Transport, messages: list[dict[str, str]], chat: dict[str, Any], deadline: float | None, gate: Gate | None = None
+) -> str:
+    """The transport's reply; a call that takes longer than ``deadline`` counts as failed.
+
+    Such a call can't be stopped, but it keeps its permit until it ends: stuck calls leave
+    fewer for others and never pile up.
+    """
+    gate = gate or Gate(1)
+    if not gate.enter(deadline):
+        raise TimeoutError(f"no call could begin within {deadline} s")
     if deadline is None:
-        return transport(messages, chat)
+        try:
+            return transport(messages, chat)
+        finally:
+            gate.leave()
     answer: Future = Future()
 
     def run() -> None:
         try:
-            answer.set_result(transport(messages, chat))
+            result = transport(messages, chat)
         except BaseException as raised:
+            gate.leave()
             answer.set_exception(raised)
+        else:
+            gate.leave()
+            answer.set_result(result)
 
     threading.Thread(target=run, daemon=True).start()
     if not wait([answer], timeout=deadline).done:
@@ -80,9 +128,10 @@ def answer_within(transport: Transport, messages: list[dict[str, str]], chat: di
 
 
 def call_with_retry(
-    transport: Transport, check: Callable[[str], str | None] | None, policy: CallPolicy, request: dict[str, Any]
+    transport: Transport, check: Callable[[str], str | None] | None, policy: CallPolicy, request: dict[str, Any], gate: Gate | None = None
 ) -> tuple:
     """One row's call; errors come back as data."""
+    gate = gate or policy.gate(0)
     messages, chat = request["messages"], policy.chat
     if "model" in request:
         chat = {**chat, "model": request["model"]}
@@ -91,10 +140,12 @@ def call_with_retry(
         if attempt > 1:
             time.sleep(policy.wait(attempt - 1))
         try:
-            reply = answer_within(transport, messages, chat, policy.deadline)
+            reply = answer_within(transport, messages, chat, policy.deadline, gate)
         except Exception as raised:
+            gate.report(False)
             kind, error, trace = "call", f"{type(raised).__name__}: {raised}", traceback.format_exc()
             continue
+        gate.report(True)
         reply = without_surrogates(reply)
         try:
             problem = check(reply) if check else None
@@ -112,38 +163,51 @@ def model_call(
     """A column function from messages (and a model name) to ``CALL_RESULT``.
 
     Calls are kept in flight across batch borders, so one slow reply does not
-    hold up a batch. Replies are handed on in slices of a few times
-    ``policy.concurrency``, however large Spark's batches are. Total in flight = running tasks x ``policy.concurrency``.
-    A null message array is passed over. The function is marked
-    non-deterministic: Spark then neither repeats nor moves it.
+    hold up a batch. Replies are handed on in slices, when there are enough or some
+    time has passed, however large Spark's batches are. Calls open at once are running tasks x
+    ``policy.concurrency``, or ``policy.total`` if that is less. A null message array is passed over. The
+    function is marked non-deterministic: Spark then neither repeats nor moves it.
     """
+    nothing = (None,) * len(CALL_RESULT)
+    too_late = (None, 0, LATER, "The task's time was up.", None, None)
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        waiting: deque[list[Future | None]] = deque()
-        in_flight, size = 0, 4 * policy.concurrency
-
-        def finish(futures: list[Future | None]) -> pd.DataFrame:
-            empty = (None,) * len(CALL_RESULT)
-            rows = [f.result() if f is not None else empty for f in futures]
-            table = pd.DataFrame(rows, columns=CALL_RESULT.names, dtype=object)
-            return table.astype({"attempts": "Int32"})
-
-        with ThreadPoolExecutor(max_workers=policy.concurrency) as pool:
+        gate = policy.gate(TaskContext.get().partitionId())
+        waiting: deque[Future | None] = deque()
+        ends = time.monotonic() + policy.budget if policy.budget is not None else None
+
+        def one(request: str) -> tuple:
+            if ends is not None and time.monotonic() >= ends:
+                return too_late
+            return call_with_retry(transport, check, policy, json.loads(request), gate)
+
+        def finish(count: int) -> pd.DataFrame:
+            futures = [waiting.popleft() for _ in range(count)]
+            rows = [f.result() if f is not None else nothing for f in futures]
+            return pd.DataFrame(rows, columns=CALL_RESULT.names, dtype=object).astype({"attempts": "Int32"})
+
+        def ready() -> int:
+            count = 0
+            for f in waiting:
+                if f is not None and not f.done():
+                    break
+                count += 1
+            return count
+
+        handed = time.monotonic()
+        with ThreadPoolExecutor(max_workers=gate.most) as pool:
             for batch in batches:
-                for start in range(0, len(batch), size):
-                    futures = []
-                    for request in batch.iloc[start : start + size]:
-                        if request is None:
-                            futures.append(None)
-                            continue
-                        futures.append(pool.submit(call_with_retry, transport, check, policy, json.loads(request)))
-                    waiting.append(futures)
-                    in_flight += len(futures)
-                    while len(waiting) > 1 and in_flight > 2 * policy.concurrency:
-                        in_flight -= len(waiting[0])
-                        yield finish(waiting.popleft())
+                for request in batch:
+                    waiting.append(None if request is None else pool.submit(one, request))
+                    # What is in flight and what waits for its turn stays bounded.
+                    if len(waiting) >= 2 * SLICE:
+                        yield finish(max(SLICE, ready()))
+                        handed = time.monotonic()
+                    elif time.monotonic() - handed > HAND_ON and (count := ready()):
+                        yield finish(count)
+                        handed = time.monotonic()
             while waiting:
-                yield finish(waiting.popleft())
+                yield finish(min(SLICE, len(waiting)))
 
     call = F.pandas_udf(run, CALL_RESULT).asNondeterministic()
 
@@ -155,6 +219,11 @@ def model_call(
     return column
 
 
+def calling_tasks(spark: SparkSession) -> int:
+    """How many tasks call unless a number is given."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def with_calls(
     df: DataFrame,
     messages: Column,
@@ -164,5 +233,8 @@ def with_calls(
     model: Column | None = None,
     result: str = "call",
 ) -> DataFrame:
-    """Add the call's result as a struct column. Stage the frame before branching."""
+    """Add the call's result as a struct column. Stage the frame before branching.
+
+    With limits over all tasks ``policy.tasks`` must be the frame's number of partitions or more.
+    """
     return df.withColumn(result, model_call(transport, policy, check)(messages, model))

@@ -36,14 +36,56 @@ def with_ordinal(
     placed = dealt.sortWithinPartitions(*keys).withColumn("_place", F.monotonically_increasing_id())
     staged = stage(placed, "ordinals")
     span = F.shiftright("_place", _PLACE_BITS)
-    counts = dict(staged.groupBy(span.cast("int").alias("r")).count().collect())
-    total, offsets = 0, []
-    for index in range(max(counts, default=0) + 1):
-        offsets.append(total)
-        total += counts.get(index, 0)
-    start = F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets]), (span + 1).cast("int"))
     inside = F.col("_place").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)) + 1
-    return staged.withColumn(name, start + inside).drop("_place"), total
+    spanned = staged.withColumns({"_span": span.cast("int"), name: inside})
+    starts, total = _starts(spanned.groupBy("_span").agg(F.count(F.lit(1)).alias("_n")))
+    return spanned.join(starts, "_span").withColumn(name, F.col(name) + F.col("_start")).drop("_span", "_start", "_place"), total
+
+
+def _starts(sums: DataFrame) -> tuple[DataFrame, int]:
+    """``_span`` and what the spans before it add up to (``_start``), from ``_span``, ``_n`` of each; and the sum of all.
+
+    There are as many spans as tasks that wrote them: the table is broadcast.
+    """
+    total, rows = 0, []
+    for r in sorted(sums.collect(), key=lambda r: r["_span"]):
+        rows.append((r["_span"], total))
+        total += r["_n"]
+    return F.broadcast(sums.sparkSession.createDataFrame(rows, "_span int, _start bigint")), total
+
+
+#: Blocks up to this number (some 100 bytes each) are broadcast to the rows that lie in them.
+BROADCAST_BLOCKS = 200_000
+
+
+def running_sums(df: DataFrame, order: list[Column | str], value: str, name: str) -> tuple[DataFrame, int]:
+    """Adds ``name``: the sum of ``value`` over the rows before, by ``order``, which must be total; also returns the whole sum.
+
+    A prefix scan in three steps: sums inside ranges of the order, one sum per range
+    through the driver, and both added up. No window holds more than one range.
+    """
+    keys = [F.col(c) if isinstance(c, str) else c for c in order]
+    staged = stage(df.repartitionByRange(*keys).withColumn("_span", F.spark_partition_id()), "sums")
+    before = Window.partitionBy("_span").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    starts, total = _starts(staged.groupBy("_span").agg(F.sum(value).alias("_n")))
+    summed = staged.withColumn(name, F.coalesce(F.sum(value).over(before), F.lit(0)))
+    return summed.join(starts, "_span").withColumn(name, F.col(name) + F.col("_start")).drop("_span", "_start"), total
+
+
+def number_in_blocks(df: DataFrame, block: list[str], order: list[Column | str], name: str = "ord") -> tuple[DataFrame, int]:
+    """Number rows 1, 2, ... that already stand in order inside their blocks; also returns how many there are.
+
+    ``block`` names a block, such as a part of a file that one task reads from its start to
+    its end; ``order`` puts blocks in order. No row moves: rows are written once with their
+    place, blocks are counted, and a prefix scan over these counts gives each block's start.
+    """
+    staged = stage(df.withColumn("_place", F.monotonically_increasing_id()), "places")
+    blocks = staged.groupBy(*block).agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    starts, total = running_sums(blocks, order, "_rows", "_before")
+    shifts = stage(starts.select(*block, (F.col("_before") - F.col("_first") + 1).alias("_shift")), "shifts")
+    if shifts.count() <= BROADCAST_BLOCKS:
+        shifts = F.broadcast(shifts)
+    return staged.join(shifts, block).withColumn(name, F.col("_place") + F.col("_shift")).drop("_place", "_shift"), total
 
 
 def split_rows(
@@ -59,7 +101,11 @@ def split_rows(
     """
     if chunks is None and rows_per_chunk is None:
         raise ValueError("give chunks or rows_per_chunk")
-    numbered, total = with_ordinal(df, order)
+    return in_chunks(*with_ordinal(df, order), chunks, rows_per_chunk, stem)
+
+
+def in_chunks(numbered: DataFrame, total: int, chunks: int | None, rows_per_chunk: int | None, stem: str) -> DataFrame:
+    """Rows numbered by ``ord`` with their ``chunk`` and ``chunk_name``."""
     size = math.ceil(total / chunks) if chunks is not None else rows_per_chunk
     chunk = F.expr(f"CAST((ord - 1) DIV {max(size, 1)} + 1 AS INT)")
     named = F.coalesce(chunk_name(stem, F.col("chunk")), F.lit(""))  # never null: a sorted write need not sort again

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from millrace.functions.chatml import final_messages, request_messages
 from millrace.functions.identity import with_uid
-from millrace.operators.calls import CallPolicy, Transport, with_calls
+from millrace.operators.calls import CallPolicy, Transport, calling_tasks, with_calls
 from millrace.operators.fanout import over_models
 from millrace.operators.ordinals import split_rows, spread
 from millrace.operators.reports import shard_summary
@@ -73,15 +73,19 @@ def generate(
     Columns added: ``response``, ``final_messages``, ``status``, the error
     columns, ``attempts``. Rows without a first message fail without a call.
     """
-    requests = pending_requests(df, done, dedupe, seed, tasks, model_column)
+    policy = policy.for_tasks(tasks or calling_tasks(df.sparkSession))
+    requests = pending_requests(df, done, dedupe, seed, policy.tasks, model_column)
+    return with_outcome(stage(called_requests(requests, transport, policy, mode, model_column), "responses", staged_at), mode)
+
+
+def called_requests(requests: DataFrame, transport: Transport, policy: CallPolicy, mode: str, model_column: str | None) -> DataFrame:
+    """The requests with their ``call``, to be staged before anything else."""
     if "messages" not in requests.columns:
         requests = requests.withColumn("messages", F.lit(None).cast("array<struct<role:string,content:string>>"))
     model = F.col(model_column) if model_column else None
     called = with_calls(requests, asked(mode), transport, policy, model=model)
     now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    called = called.withColumns({"task_index": F.monotonically_increasing_id(), "_called_at": now})
-    rows = stage(called, "responses", staged_at)
-    return with_outcome(rows, mode)
+    return called.withColumns({"task_index": F.monotonically_increasing_id(), "_called_at": now})
 
 
 def asked(mode: str) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from millrace.functions.identity import ensure_id
 from millrace.functions.replies import OutputContract, with_reply_columns
 from millrace.functions.templates import prompt_messages, render_prompt
-from millrace.operators.calls import CallPolicy, Transport, with_calls
+from millrace.operators.calls import CallPolicy, Transport, calling_tasks, with_calls
 from millrace.operators.ordinals import first_n_per_group, spread
 from millrace.operators.reports import file_summary
 from millrace.operators.resume import pending, resume_union
@@ -100,7 +100,8 @@ def score_rows(
         rows = pending(rows, done.filter(F.col("api_status") == "success"), "id")
     if debug_items:
         rows = first_n_per_group(rows, [file_column], ["id"], debug_items)
-    requests = request_rows(spread(rows, "id", tasks=tasks), task)
+    policy = policy.for_tasks(tasks or calling_tasks(df.sparkSession))
+    requests = request_rows(spread(rows, "id", tasks=policy.tasks), task)
     check = task.contract.check if validate and task.contract.require_json else None
     called = with_calls(requests, F.col("_messages"), transport, policy, check).drop("_messages")
     return with_outcome(stage(called, "scores", staged_at), task.contract)

@@ -3,31 +3,50 @@
 from __future__ import annotations
 
 import json
+import uuid
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from millrace.functions.text import strip
+from millrace.functions.text import as_column, strip
+from millrace.operators.ordinals import in_chunks, number_in_blocks
 
 #: Standard JSON only, except for NaN, which writers in the field do emit.
 _JSON_OPTIONS = {"allowSingleQuotes": "false", "mode": "FAILFAST"}
 
 
 @F.pandas_udf(T.BooleanType())
-def is_json_object(lines: pd.Series) -> pd.Series:
-    """True where the whole text is one JSON object."""
+def _not_an_object(lines: pd.Series) -> pd.Series:
+    """True where the whole text is no JSON object; a null says that this is settled already."""
 
     def check(line: str | None) -> bool:
         if line is None:
             return False
         try:
-            return isinstance(json.loads(line), dict)
+            return not isinstance(json.loads(line), dict)
         except (ValueError, RecursionError):
-            return False
+            return True
 
     return lines.map(check).astype(bool)
 
 
+def is_json_object(line: Column | str) -> Column:
+    """True where the whole text is one JSON object.
+
+    The JVM's parser lets pass single quotes, control characters and text after the object.
+    Lines with a character of the first two kinds go to Python. Any other is put into a list
+    before a text that no line can hold: that text is the list's second element only if the
+    line is one whole value. Lines that fail go to Python too, which also takes NaN; the
+    others are not sent. A null text is no object.
+    """
+    line = as_column(line)
+    end = uuid.uuid4().hex
+    second = F.get_json_object(F.concat(F.lit("["), line, F.lit(f',"{end}"]')), "$[1]")
+    plain = F.startswith(line, F.lit("{")) & ~F.rlike(line, F.lit(r"['\x00-\x1f]"))
+    sure = F.coalesce(plain & (second == end), F.lit(False))
+    return ~_not_an_object(F.when(~sure, line)) & line.isNotNull()
+
+
 def clean_utf8(text: Column) -> Column:
     """Bytes that are no UTF-8 are dropped."""
     dropped = F.replace(F.make_valid_utf8(text), F.lit("�"), F.lit(""))
@@ -61,6 +80,27 @@ def line_order(path: str = "file_path") -> list[Column]:
     return [F.regexp_replace(padded, r"0*(\d{12})(?!\d)", "$1"), F.col(path), *[F.col(c) for c in LINE_PLACE]]
 
 
+def block_order(path: str = "file_path") -> list[Column]:
+    """Sort keys for blocks of lines: as ``line_order``, without the place inside a block."""
+    return line_order(path)[:-1]
+
+
+def number_lines(lines: DataFrame, name: str = "ord") -> tuple[DataFrame, int]:
+    """Lines read with their places, numbered 1, 2, ... in ``line_order``; also returns how many there are.
+
+    Lines may have been filtered, not moved, since they were read.
+    """
+    numbered, total = number_in_blocks(lines, ["file_path", "file_block"], block_order(), name)
+    return numbered.drop(*LINE_PLACE), total
+
+
+def split_lines(lines: DataFrame, chunks: int | None = None, rows_per_chunk: int | None = None, stem: str = "part") -> DataFrame:
+    """Contiguous chunks of lines as their files hold them, as ``operators.ordinals.split_rows`` cuts rows; no line moves."""
+    if chunks is None and rows_per_chunk is None:
+        raise ValueError("give chunks or rows_per_chunk")
+    return in_chunks(*number_lines(lines), chunks, rows_per_chunk, stem)
+
+
 def read_strict(
     spark: SparkSession,
     path: str | list[str],

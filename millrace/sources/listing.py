@@ -5,12 +5,15 @@ from __future__ import annotations
 import re
 import warnings
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from millrace.functions.text import unix_newlines
 from millrace.operators.resume import pending
-from millrace.sources.jsonl import is_json_object, read_lines, read_strict, read_tolerant
+from millrace.session import new_stage_path, stage
+from millrace.sources.json_array import read_array_rows
+from millrace.sources.jsonl import LINE_PLACE, is_json_object, read_lines, read_strict, read_tolerant
 
 # File names of triplets and the layout of package folders.
 TRIPLET_GLOB = "pt_data_*.jsonl"
@@ -115,15 +118,17 @@ def read_triplets(spark: SparkSession, folder: str, schema: T.StructType) -> Dat
 def read_shards(spark: SparkSession, base: str, schema: T.StructType, pattern: str = "*/*split*/*.jsonl") -> DataFrame:
     """Result files of a multi-model run below ``<base>/<model>/``, tagged ``model`` and ``file_name``.
 
-    A file with a line that is not JSON is left out whole.
+    A file with a line that is not JSON is left out whole. Lines are read and parsed once:
+    each is written with its verdict, and the files of bad ones, which may be split over
+    tasks, are taken out of what was written.
     """
-    lines = read_lines(spark, f"{base}/{pattern}")
-    whole = pending(lines, lines.filter(~is_json_object("line")), "file_path")  # a large file may be split over tasks
     root = base.split(":", 1)[-1].rstrip("/") + "/"
     model = F.substring_index(F.substring_index("file_path", root, -1), "/", 1)
-    return whole.select(model.alias("model"), "file_name", F.from_json("line", schema).alias("_row")).select(
-        "model", "file_name", "_row.*"
-    )
+    parsed = F.from_json("line", schema, {"allowSingleQuotes": "false"})
+    lines = read_lines(spark, f"{base}/{pattern}")
+    judged = stage(lines.select(model.alias("model"), "file_name", "file_path", parsed.alias("_row"), is_json_object("line").alias("_good")), "shards")
+    whole = pending(judged, judged.filter(~F.col("_good")).select("file_path"), "file_path")
+    return whole.select("model", "file_name", "_row.*")
 
 
 def read_dataset(
@@ -190,10 +195,19 @@ def _split_names(spark: SparkSession, base: str, below: str = "") -> list[tuple[
     return sorted(found)
 
 
-def _is_one_json(spark: SparkSession, path: str) -> bool:
-    """Whether a JSON file is one value, such as a list of rows, and not a row a line."""
-    line = spark.read.text(path).where(F.trim("value") != "").select(is_json_object("value")).first()
-    return line is not None and not line[0]
+def whole_json_files(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Those of the JSON files that are one value, such as a list of rows, and not a row a line; one job for all.
+
+    The first line that isn't blank tells.
+    """
+    if not paths:
+        return []
+    lines = read_lines(spark, paths, places=True)
+    first = lines.groupBy("file_path").agg(F.min_by("line", F.struct(*LINE_PLACE)).alias("line"))
+    found = {unquote(r.file_path.split(":", 1)[-1].lstrip("/")) for r in first.where(~is_json_object("line")).select("file_path").collect()}
+    own = {p: p.split(":", 1)[-1].strip("/") for p in paths}
+    # A path may also be the folder of a table.
+    return [p for p in paths if own[p] in found or any(f.startswith(own[p] + "/") for f in found)]
 
 
 def dataset_splits(spark: SparkSession, folder: str, dataset: str, config: str | None) -> list[str]:
@@ -216,15 +230,17 @@ def _read_split(spark: SparkSession, bases: list[str], split: str, schema: T.Str
     """All files of exactly this split, Parquet, JSON lines and JSON together, from the first folder that has some."""
     reader = spark.read.schema(schema) if schema is not None else spark.read
     for base in bases:
-        parts = []
-        for extension in _EXTENSIONS:
-            paths = [f"{base}/{name}" for own, kind, name in _split_names(spark, base) if (own, kind) == (split, extension)]
-            whole = [p for p in paths if extension == "json" and _is_one_json(spark, p)]
-            if whole:
-                parts.append(reader.json(whole, multiLine=True))
-                paths = [p for p in paths if p not in whole]
-            if paths:
-                parts.append(reader.parquet(*paths) if extension == "parquet" else reader.json(paths))
+        names = [(kind, f"{base}/{name}") for own, kind, name in _split_names(spark, base) if own == split]
+        paths = {kind: [path for k, path in names if k == kind] for kind in _EXTENSIONS}
+        whole = whole_json_files(spark, paths["json"])
+        parts = [reader.parquet(*paths["parquet"])] if paths["parquet"] else []
+        if lines := [*paths["jsonl"], *(p for p in paths["json"] if p not in whole)]:
+            parts.append(reader.json(lines))
+        if whole:
+            # One row a line from here on: any reader of JSON lines takes it, with or without a schema.
+            rows = new_stage_path(spark, "json-lines")
+            read_array_rows(spark, whole).select("text").write.text(rows)
+            parts.append(reader.json(rows))
         if parts:
             return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     raise FileNotFoundError(f"no files for split {split!r} in {bases}")

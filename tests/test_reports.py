@@ -73,3 +73,23 @@ def test_duplicates_and_resume_counts(spark):
     counts = reports.resume_counts(rows, rows.filter("id = 'b'"), ["uid", "id"])
     assert counts.first().asDict() == {"n_rows": 5, "n_uid_made": 2, "n_remaining": 1, "n_skipped": 4}
     assert "Cartesian" not in executed_plan(counts) and "NestedLoop" not in executed_plan(counts)
+
+
+def test_nested_profile(spark):
+    from millrace.plans.reports import nested_profile
+
+    lines = [
+        '{"a": {"b": [1, 2.5, null, {"c": "x"}]}, "m": {"k1": 1, "k2": "t", "k3": {"z": 1}}}',
+        '{"a": "text", "m": {"k4": 1}, "few": {"x": true}}',
+        '{"a": {"b": []}, "m": {}}',
+        "broken",
+        "[1]",
+    ]
+    frame = spark.createDataFrame([("f", x) for x in lines] + [("g", '{"a": null}'), ("g", None)], "file_name string, line string").repartition(3)
+    found = {(r.file_name, r.path, r.type): r.n_values for r in nested_profile(frame, map_keys=3).collect()}
+    assert found == {
+        ("f", "a", "object"): 2, ("f", "a", "string"): 1, ("f", "a.b", "array"): 2, ("f", "a.b[]", "bigint"): 1, ("f", "a.b[]", "double"): 1,
+        ("f", "a.b[]", "null"): 1, ("f", "a.b[]", "object"): 1, ("f", "a.b[].c", "string"): 1, ("f", "m", "map"): 3, ("f", "m.*", "bigint"): 2,
+        ("f", "m.*", "string"): 1, ("f", "m.*", "object"): 1, ("f", "m.*.z", "bigint"): 1, ("f", "few", "object"): 1, ("f", "few.x", "boolean"): 1, ("g", "a", "null"): 1,
+    }
+    assert nested_profile(frame.limit(0)).collect() == []

@@ -3,7 +3,7 @@
 import os
 import re
 
-from conftest import column_values
+from conftest import SMALL, column_values
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -126,3 +126,22 @@ def test_reasoning_edges(spark):
 def test_newlines(spark):
     assert column_values(spark, ["a\r\nb\rc\n"], tx.unix_newlines) == ["a\nb\nc\n"]
     assert column_values(spark, ["", "\n", "a\nb"], lambda v: tx.average_line_length(F.col(v))) == [0.0, 0.5, 1.5]
+
+
+def test_rank_tokens_equal_the_library(spark):
+    """Counts and cuts of whole texts, of odd ones and of very long pieces."""
+    import public_tokenizers
+    import tiktoken
+
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    tokenizer = RankFileTokenizer(path, public_tokenizers.PATTERN)
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=tokenizer.ranks, special_tokens={})
+    texts = [r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("text").collect()]
+    texts += [None, "", " ", "a" * 3000, "ab" * 2000 + "é" * 500, "日本語 Zażółć\n\n\t x'll 12345 <|endoftext|>", "\x00\xa0　‍👩‍👩‍👧"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "i int, text string").repartition(3)
+    columns = [tokenizer.count("text").alias("n"), *(tokenizer.truncate("text", n).alias(f"t{n}") for n in (0, 1, 7, 500))]
+    for r in frame.select("i", *columns).collect():
+        ids = None if texts[r.i] is None else library.encode_ordinary(texts[r.i])
+        assert r.n == (None if ids is None else len(ids))
+        for n in (0, 1, 7, 500):
+            assert r[f"t{n}"] == (None if ids is None else library.decode(ids[:n])), (r.i, n)

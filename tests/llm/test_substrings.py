@@ -5,6 +5,7 @@ import re
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SMALL, executed_plan
 from odd_rows import DOCUMENTS, empty, odd  # noqa: F401
@@ -52,8 +53,8 @@ def test_equals_sql(spark):
     assert rows == sorted(wanted.fetchall()) and any(r[2] for r in rows)
 
 
-@pytest.mark.parametrize("block_bytes, bin_words", [(1, 50), (2000, 300), (1 << 20, 10_000)])
-def test_equals_brute_force(spark, block_bytes, bin_words):
+@pytest.mark.parametrize("block_bytes, bin_suffixes", [(1, 50), (2000, 300), (1 << 20, 10_000)])
+def test_equals_brute_force(spark, block_bytes, bin_suffixes):
     """Passages of few words shared in all ways, in blocks of one document up to all in one."""
     draw = random.Random(5)
     passages = [[draw.choice("abcde") * draw.randint(1, 2) for _ in range(draw.randint(3, 40))] for _ in range(12)]
@@ -66,14 +67,14 @@ def test_equals_brute_force(spark, block_bytes, bin_words):
         rows.append((draw.choice([n, n, n, n // 2, None]), " \n"[n % 2].join(words)))
     frame = spark.createDataFrame([(i, t, 1, 2) for i, t in rows], "doc_id long, text string, part int, removed int").repartition(5)
     for size in (1, 2, 7, 13):
-        found = substrings.remove_repeats(frame, size, block_bytes, bin_words)
+        found = substrings.remove_repeats(frame, size, block_bytes, 2 * bin_suffixes, bin_suffixes)
         assert rows_of(found) == brute(rows, size)
 
 
 def test_odd_rows(spark, odd):  # noqa: F811
     rows = [(r.doc_id, r.text) for r in odd.collect()]
     assert rows_of(substrings.remove_repeats(odd)) == brute(rows, 13)
-    assert rows_of(substrings.remove_repeats(odd, 2, 100, 1000)) == brute(rows, 2)
+    assert rows_of(substrings.remove_repeats(odd, 2, 100, 1000, 100)) == brute(rows, 2)
 
 
 def test_copies_and_white_space(spark):
@@ -90,9 +91,10 @@ def test_empty_table(spark, empty):  # noqa: F811
 def test_texts_stay_where_they_are(spark):
     """The blocks are joined to their bits without an exchange of their own."""
     documents = spark.read.parquet(f"{SMALL}/documents.parquet")
-    blocks = substrings._blocks(documents, 13, 1 << 16, "doc_id", "text")
+    blocks = substrings._blocks(documents, 1 << 16, "doc_id", "text")
     seen = spark.createDataFrame([(1, 1, 1, b"")], "part int, seq long, at int, bits binary")
-    plan = executed_plan(substrings._with_bits(blocks, seen, seen).select("texts", "bits0", "bits1"))
+    blocks = substrings._beside(substrings._beside(blocks, "copies", seen, "at"), "seen", seen, "bits")
+    plan = executed_plan(blocks.select("texts", "copies", "seen"))
     lines = plan.splitlines()
     scan = next(n for n, x in enumerate(lines) if "Bucketed: true" in x)
     # Branches of the plan are indented further than what they feed; the scan's own branch has no exchange.
@@ -114,15 +116,32 @@ def test_packing_round_trip():
 
 def test_frequent_prefixes_get_longer():
     """Groups of a frequent first word are told apart by what follows."""
-    words = ["the", "b", "c", "d", "e", "f", "g"]
     draw = random.Random(1)
-    import pyarrow as pa
-
-    texts = pa.array([" ".join("the" if i % 2 else draw.choice(words) for i in range(400))])
-    lengths = substrings._lengths(5)
-    counts = [np.bincount(substrings._slots(h), minlength=1 << substrings.SLOT_BITS) for h in substrings.Words(texts, 5).prefixes(lengths)]
-    layout = substrings.Layout(5, 30, 1, 64, np.stack(counts) <= 60)
-    windows = substrings.Windows(texts, layout)
-    leaves = substrings.Leaves(windows, np.array([1]), [np.packbits(np.ones(len(windows.short), bool)).tobytes()])
-    starting = {bin_ for bin_, part in leaves.by_bin() for s in leaves.start[part] if windows.words.words[int(s)].as_py() == "the"}
-    assert len(starting) > 3
+    texts = pa.array([" ".join("the" if i % 2 else draw.choice("bcdefg") for i in range(400))])
+    layout = substrings.Layout(5, 30, 1)
+    counts = substrings.Windows(texts, layout, []).prefix_counts().reshape(len(layout.lengths), -1)
+    starting = {}
+    for limit in (60, 1000):
+        dealt = substrings.Layout(5, 30, 1, 64, counts <= limit)
+        windows = substrings.Windows(texts, dealt, [])
+        leaves = substrings.Leaves(windows, np.array([1]), [np.packbits(np.ones(len(windows.short), bool)).tobytes()])
+        begin = windows.words.begin
+        starting[limit] = {at for at, part in leaves.by_bin() for s in leaves.start[part] if bytes(windows.words.data[begin[s] : begin[s] + 3]) == b"the"}
+    assert len(starting[60]) > 3 and len(starting[1000]) == 1
+
+
+def test_words_are_hashed_alike():
+    words = ["a", "ab", "b", "é", "x" * 64, "x" * 65, "x" * 66, "日本", "y" * 300]
+    one = substrings.Words(pa.array([" ".join(words), "", "  ", "\n".join(reversed(words))]))
+    hashes = one.hashes()
+    assert one.counts.tolist() == [len(words), 0, 0, len(words)] and (hashes[: len(words)] == hashes[len(words) :][::-1]).all()
+    assert len(set(hashes.tolist())) == len(words)
+    sliced = pa.array(["skipped words", "a ab", "ab", "x"]).slice(1, 2)
+    assert substrings.Words(sliced).hashes().tolist() == [hashes[0], hashes[1], hashes[1]]
+
+
+def test_subtrees():
+    suffixes = np.array([[1, 2, 3], [1, 2, 3], [1, 2, 4], [0, 9, 9], [1, 2, 3]], np.uint8)
+    trees = substrings.Subtrees(suffixes, np.array([7, 7, 7, 7, 8], np.uint64))
+    assert trees.order.tolist() == [3, 0, 1, 4, 2] and trees.shared.tolist() == [0, 0, 3, 2, 2]
+    assert trees.nodes(3).tolist() == [0, 1, 3, 4] and trees.nodes(2).tolist() == [0, 1]

@@ -21,7 +21,7 @@ _COUNTS_SQL = f"""(SELECT * EXCLUDE (exts), '{{' || array_to_string(list_transfo
         list_filter(exts, lambda x, i: list_position(exts, x) = i),
         lambda x: '"' || x || '": ' || len(list_filter(exts, lambda y: y = x))), ', ') || '}}' AS file_types
     FROM (SELECT *, {_EXTS_SQL} AS exts FROM {_FILES_SQL}))"""
-_NAME = r"'^([^_]+)_([^_]+)_([a-f0-9]+)\.(xml|cxml)'"
+_NAME = f"'{pk.NAME_PATTERN}'"
 _FLAGS_SQL = """list_bool_or(list_transform(paths, lambda p: contains(lower(p), 'readme'))) AS has_readme,
     list_bool_or(list_transform(paths, lambda p: contains(lower(p), 'license'))) AS has_license,
     list_contains(paths, '.gitignore') AS has_gitignore"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window, functions as F, types as T
 
 from millrace.catalog import Entry
-from millrace.catalog.inputs import REQUESTS_SQL, requests, table
+from millrace.catalog.inputs import requests, table
 from millrace.functions.packages import counts_json
 from millrace.operators.calls import CallPolicy
 from millrace.operators.unions import merge_shards
@@ -18,7 +18,9 @@ from millrace.sources.commits import CommitLog
 from millrace.sources.package_scan import read_entries, repository_columns
 from millrace.streaming import append_increments, read_increments, run_available
 
-_DOC = T.StructType.fromDDL("doc_id bigint, text string, lang string, source string, n_chars bigint")
+_DOC = T.StructType(
+    [T.StructField("doc_id", T.LongType()), *[T.StructField(c, T.StringType()) for c in ("text", "lang", "source")], T.StructField("n_chars", T.LongType())]
+)
 
 
 def _docs(spark, sf):
@@ -38,7 +40,8 @@ def _answer(messages, chat):
 
 def _committed(spark, sf):
     """Replies of a run that dies after its second commit and is started again."""
-    rows, root = requests(spark, sf), new_stage_path(spark, "committed")
+    rows = requests(spark, sf).withColumn("uid", F.concat(F.lit("row-"), "doc_id"))  # equal texts are rows of their own
+    root = new_stage_path(spark, "committed")
     policy = CallPolicy(attempts=1, wait_factor=0.0, wait_min=0.0, total=64, adaptive=False)
     flush = Flush(rows=max(1, rows.count() // 5))
     left = [2]
@@ -166,6 +169,28 @@ def _repositories(spark, sf):
     return found.select(language, "files_with_content", "total_lines", counts_json("file_types").alias("file_types"), "has_readme", "has_license", "has_gitignore")
 
 
+def _list_files(spark, sf):
+    """A dataset of two configs, each split one JSON list in a file; read by blocks of 64 KB."""
+    root = new_stage_path(spark, "lists")
+    docs = _docs(spark, sf).withColumn("config", F.when(F.col("lang").isin("de", "fr"), "one").otherwise("two"))
+    first = F.min("doc_id").over(Window.partitionBy("config")) == F.col("doc_id")
+    row = F.concat(F.when(first, F.lit("[")).otherwise(F.lit(", ")), F.to_json(F.struct("doc_id", "text", "lang")))
+    frame = docs.select("config").distinct().select("config", F.lit(None).cast("long").alias("doc_id"), F.lit("]").alias("value"))
+    lines = docs.select("config", "doc_id", row.alias("value")).unionByName(frame)
+    # One file for each config, below ``<config>/split=train.json``: the reader goes by the folder's name.
+    lines = lines.withColumn("split", F.regexp_replace("config", "^.*$", "train.json"))
+    dealt = lines.repartition("config").sortWithinPartitions("config", "split", F.asc_nulls_last("doc_id"))
+    dealt.select("value", "config", "split").write.partitionBy("config", "split").text(root)
+    schema = T.StructType([f for f in _DOC if f.name in ("doc_id", "text", "lang")])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        parts = [listing.read_dataset(spark, root, f"config={c}", None, "split=train", schema).withColumn("config", F.lit(c)) for c in ("one", "two")]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    return parts[0].unionByName(parts[1]).select("doc_id", "text", "lang", "config")
+
+
 def _nested(spark, sf):
     """Events as JSON lines: an object in an object, a list, a field of three types, and a map of users."""
     events = table(spark, sf, "events")
@@ -178,16 +203,16 @@ def _nested(spark, sf):
 
 _BODY_SQL = "replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10))"
 _ENTRIES_SQL = f"""(
-    SELECT lang, 0 AS at, 0 AS doc_id, 0 AS more, 'README.md' AS path, chr(10) || 'all' || chr(10) AS body FROM (SELECT DISTINCT lang FROM documents)
+    SELECT lang, 0 AS pos, 0 AS doc_id, 0 AS more, 'README.md' AS path, chr(10) || 'all' || chr(10) AS body FROM (SELECT DISTINCT lang FROM documents)
     UNION ALL SELECT lang, 1, doc_id, 0, source || '/' || doc_id || '.txt', chr(10) || {_BODY_SQL} || chr(10) FROM documents
     UNION ALL SELECT lang, 1, doc_id, 1, '.gitignore', '*.pyc' FROM documents WHERE lang = 'de')"""
 
 ENTRIES = {
     "io16_commits": Entry(
         _committed,
-        f"""SELECT doc_id, uid, CASE WHEN NOT starts_with(text, 'De') THEN length(text) || ' characters' END AS response,
-                   CASE WHEN starts_with(text, 'De') THEN 'error' ELSE 'success' END AS status FROM {REQUESTS_SQL}
-            WHERE text IS NOT NULL""",
+        """SELECT doc_id, 'row-' || doc_id AS uid,
+                  CASE WHEN NOT starts_with(text, 'De') THEN length(text) || ' characters' END AS response,
+                  CASE WHEN starts_with(text, 'De') THEN 'error' ELSE 'success' END AS status FROM documents""",
     ),
     "io16_batches": Entry(_several_batches, "SELECT doc_id, text FROM documents"),
     "io17_timed": Entry(
@@ -201,6 +226,10 @@ ENTRIES = {
         _shards,
         "SELECT doc_id, text, lang AS model, 'success' AS status FROM documents WHERE NOT (lang = 'de' AND doc_id % 3 = 1)",
     ),
+    "io11_lists": Entry(
+        _list_files,
+        "SELECT doc_id, text, lang, CASE WHEN lang IN ('de', 'fr') THEN 'one' ELSE 'two' END AS config FROM documents",
+    ),
     "jb13_nested": Entry(
         _nested,
         """WITH sized AS (SELECT event_type AS file_name, count(*) AS n FROM events GROUP BY event_type),
@@ -211,7 +240,7 @@ ENTRIES = {
     ),
     "io9_entries": Entry(
         _entries,
-        f"SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY at, doc_id, more) AS entry, path, body FROM {_ENTRIES_SQL}",
+        f"SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY pos, doc_id, more) AS entry, path, body FROM {_ENTRIES_SQL}",
     ),
     "jb4_repositories": Entry(
         _repositories,

@@ -10,7 +10,7 @@ from millrace.functions.text import as_column, bind, cut_between, line_count, pa
 OPEN_TAG = r'<file path="[^"]+">'
 _PATHS = r'<file path="([^"]+)">'
 _ENTRIES = r'<file path="([^"]+)">([^<]*+(?:<(?!/file>)[^<]*+)*+)</file>'
-_NAME = r"^([^_]+)_([^_]+)_([a-f0-9]+)\.(xml|cxml)"
+NAME_PATTERN = r"^([^_]+)_([^_]+)_([a-f0-9]+)\.(xml|cxml)"
 TOOLS = {"xml": "repomix", "cxml": "rendergit"}
 UNKNOWN_TOOL = "unknown"
 
@@ -98,7 +98,7 @@ def counts_json(counts: Column | str) -> Column:
 def package_identity(file_name: Column | str) -> dict[str, Column]:
     """User, repository, commit and tool read off a package's file name."""
     file_name = as_column(file_name)
-    user, repo, commit, kind = (F.regexp_extract(file_name, _NAME, i) for i in (1, 2, 3, 4))
+    user, repo, commit, kind = (F.regexp_extract(file_name, NAME_PATTERN, i) for i in (1, 2, 3, 4))
     tool = F.lit(UNKNOWN_TOOL)
     for extension, name in TOOLS.items():
         tool = F.when(kind == extension, F.lit(name)).otherwise(tool)

@@ -17,6 +17,11 @@ from millrace.operators.resume import pending, resume_union
 from millrace.session import stage
 
 
+# How a failed row's reason begins.
+CALL_FAILED = "API call failed after all retries: "
+FORMAT_FAILED = "JSON format validation failed after all retries: "
+
+
 @dataclass(frozen=True)
 class ScoringTask:
     """What to ask and what the answer must look like."""
@@ -64,8 +69,8 @@ def with_outcome(called: DataFrame, contract: OutputContract) -> DataFrame:
     kind = F.coalesce(F.col("call.error_kind"), bad_reply)
     reason = F.coalesce(F.col("call.error"), F.col("reply_error"), F.lit(""))
     labelled = (
-        F.when(kind == "call", F.concat(F.lit("API call failed after all retries: "), reason))
-        .when(kind == "format", F.concat(F.lit("JSON format validation failed after all retries: "), reason))
+        F.when(kind == "call", F.concat(F.lit(CALL_FAILED), reason))
+        .when(kind == "format", F.concat(F.lit(FORMAT_FAILED), reason))
         .otherwise(F.lit(""))
     )
     return (

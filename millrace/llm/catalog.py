@@ -86,12 +86,14 @@ def _centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def line_dedup_sql(source: str, sites: int = lines.SITES) -> str:
-    """What line dedup does to the table ``source``, with its columns and ``lines_removed``."""
+    """What line dedup does to the table ``source``, row by row, with its columns and ``lines_removed``."""
     return f"""
-        WITH split AS (
-            SELECT doc_id, source AS site, unnest(string_split(text, chr(10))) AS line,
+        WITH numbered AS MATERIALIZED (
+            SELECT *, row_number() OVER () AS __row FROM {source}
+        ), split AS (
+            SELECT __row, doc_id, source AS site, unnest(string_split(text, chr(10))) AS line,
                    generate_subscripts(string_split(text, chr(10)), 1) AS place
-            FROM {source}
+            FROM numbered
         ), trimmed AS (
             SELECT *, trim(line, ' ' || chr(9) || chr(13) || chr(11) || chr(12) || chr(160)) AS bare FROM split
         ), shared AS (
@@ -99,16 +101,16 @@ def line_dedup_sql(source: str, sites: int = lines.SITES) -> str:
             WHERE bare <> '' AND doc_id IS NOT NULL AND site IS NOT NULL
             GROUP BY bare HAVING count(DISTINCT site) > {sites}
         ), marked AS (
-            SELECT t.doc_id, t.line, t.place, s.bare IS NOT NULL AND t.doc_id > s.first_id AS gone
+            SELECT t.__row, t.line, t.place, s.bare IS NOT NULL AND t.doc_id > s.first_id AS gone
             FROM trimmed t LEFT JOIN shared s ON t.bare = s.bare
         ), cleaned AS (
-            SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '') AS text,
+            SELECT __row, coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '') AS text,
                    count(*) FILTER (WHERE gone) AS lines_removed
-            FROM marked GROUP BY doc_id
+            FROM marked GROUP BY __row
         )
-        SELECT d.* REPLACE (CASE WHEN c.lines_removed > 0 THEN c.text ELSE d.text END AS text),
+        SELECT d.* EXCLUDE (__row) REPLACE (CASE WHEN c.lines_removed > 0 THEN c.text ELSE d.text END AS text),
                coalesce(c.lines_removed, 0) AS lines_removed
-        FROM {source} d LEFT JOIN cleaned c ON d.doc_id = c.doc_id"""
+        FROM numbered d LEFT JOIN cleaned c USING (__row)"""
 
 
 _LINES_SQL = f"SELECT doc_id, text, lines_removed FROM ({line_dedup_sql('documents')})"

@@ -6,6 +6,7 @@ import duckdb
 import public_tokenizers
 import pytest
 from conftest import SMALL
+from odd_rows import empty, odd  # noqa: F401
 from pyspark.sql import functions as F
 from test_joins import brute_components
 from test_tokens import check_packing, ids_of
@@ -54,6 +55,7 @@ def test_line_dedup_equals_sql(spark):
 
 def test_line_dedup_of_unknown_sites_equals_sql(spark, tmp_path):
     rows = [(i, "shared", f"s{i}") for i in range(1, 7)] + [(7, "shared", None), (8, "own\nshared", None), (0, "shared", None), (None, "shared", None)]
+    rows += [(7, "own\nshared", "s1"), (7, "own\nshared", "s1"), (7, "other", "s2"), (9, None, "s1"), (10, "", "s1")]
     spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
     entry = ENTRIES["op2_line_dedup"]
     connection = duckdb.connect()
@@ -61,6 +63,7 @@ def test_line_dedup_of_unknown_sites_equals_sql(spark, tmp_path):
     order = lambda rows: sorted(map(tuple, rows), key=str)
     found = order(entry.run(spark, str(tmp_path)).collect())
     assert found == order(connection.execute(entry.sql).fetchall()) and {(7, "", 1), (8, "own", 1)} <= set(found)
+    assert found.count((7, "own", 1)) == 2 and found.count((7, "other", 0)) == 1
 
 
 def test_pipeline_stages(spark):
@@ -80,6 +83,19 @@ def test_pipeline_stages(spark):
     assert counts(corpus_pipeline.run(spark, SMALL)) == counts(packed)
 
 
+def test_stages_on_odd_and_empty_rows(spark, odd, empty):  # noqa: F811
+    """Null, empty, blank and repeated rows, rows without an id, and none at all: every stage gives its predecessor's columns."""
+    columns = ["doc_id", "text", "lang", "source", "n_chars"]
+    for docs in (odd.select(columns), empty.select(columns)):
+        for name, function in corpus_pipeline.STAGES[:-1]:
+            found = function(spark, docs, SMALL)
+            assert found.columns == columns, name
+            kept = found.collect()
+            assert len(kept) <= docs.count() and (name == "near_duplicates" or {tuple(r) for r in kept if r.text} <= {tuple(r) for r in docs.collect()}), name
+        packed = corpus_pipeline.pack(spark, docs, SMALL)
+        assert packed.agg(F.count_distinct("doc_id").alias("n")).first().n == len({r.doc_id for r in docs.collect()} - {None})
+
+
 def test_pipeline_equals_plain_python(spark):
     """Line dedup, near duplicates and packing, fed with what the two classifiers kept."""
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")

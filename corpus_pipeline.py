@@ -3,6 +3,12 @@
 Each stage takes (spark, documents, sf_dir) and works on all that its predecessor kept; ``run``
 writes a stage's result as Parquet in the shared folder and reads it back for the next one.
 All stages but the last return the columns of ``documents``.
+
+Odd rows, in every stage: a null text counts as empty and stays null; empty and blank
+texts get a score like any other, share no line and are nobody's near copy; repeated rows
+are judged alike, and of near or exact copies, repeated rows among them, one row stays; a
+row without a doc_id is scored and packed, is no first holder of a line and ranks last
+among copies; an empty table gives an empty one. Texts are read whole, however long.
 """
 
 from __future__ import annotations

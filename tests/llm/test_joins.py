@@ -154,6 +154,40 @@ def test_neighbours_of_clusters(spark, clusters, size):
     assert np.mean(recall) >= 0.97
 
 
+@pytest.mark.parametrize("clusters, size", [(60, 30), (60, 60), (15, 200)])
+def test_neighbours_in_dense_clusters(spark, clusters, size):
+    """Clusters of near copies, larger than a node's list: members differ by less than one part in a thousand."""
+    random_ = np.random.default_rng(size)
+    centres = random_.standard_normal((clusters, 32))
+    vectors = np.repeat(centres / np.linalg.norm(centres, axis=1)[:, None], size, axis=0) + random_.normal(0, 0.02, (clusters * size, 32))
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>").repartition(4)
+    found = {}
+    for r in neighbours.nearest(table, F.col("vec_id") % 20 == 0, 20).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    recall = []
+    for q in range(0, len(vectors), 20):
+        scores = vectors @ vectors[q]
+        scores[q] = -np.inf
+        recall.append(len(found[q].intersection(np.argsort(-scores)[:20].tolist())) / 20)
+    assert np.mean(recall) >= 0.95 and min(recall) >= 0.7
+
+
+def test_neighbours_of_several_lengths(spark):
+    """Shorter vectors count as filled up with zeros; none is lost."""
+    random_ = np.random.default_rng(4)
+    vectors = [random_.standard_normal(9 if i == 30 else 8).tolist() for i in range(61)]
+    table = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>").repartition(3)
+    found = {}
+    for r in neighbours.nearest(table, F.lit(True), 5).orderBy("rank").collect():
+        found.setdefault(r.query_id, []).append(r.vec_id)
+    filled = np.array([v + [0.0] * (9 - len(v)) for v in vectors])
+    for q in range(61):
+        scores = (filled * filled[q]).sum(1)
+        scores[q] = -np.inf
+        assert found[q] == np.argsort(-scores)[:5].tolist()
+
+
 def test_short_queries_are_compared_in_full(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "FULL_QUERIES", 7)
     monkeypatch.setattr(neighbours, "FULL_ROWS", 50)

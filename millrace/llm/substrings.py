@@ -295,6 +295,8 @@ def _copies(blocks: DataFrame) -> DataFrame:
     each = blocks.select("part", "seq", F.posexplode(F.arrays_zip("ids", "digests"))).select("part", "seq", F.col("pos").alias("at"), F.col("col.ids").alias("id"), F.col("col.digests").alias("digest"))
     each = each.where("id is not null")
     firsts = each.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("digest", "first")
+    # Written, so that both sides of the join are shuffles of its own: Spark can then split the rows of a frequent text.
+    firsts = stage(firsts, "substring-firsts")
     return each.join(firsts, "digest").where("id > first").select("part", "seq", "at")
 
 

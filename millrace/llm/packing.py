@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from millrace.llm.bpe import Encoder, with_encoder
+from millrace.llm.bpe import Encoder, release_memory, with_encoder
 
 #: Window lengths; each a power of two.
 TIERS = (512, 1024, 2048, 4096)
@@ -187,4 +187,5 @@ def pack(
 
     texts = documents.select(documents["doc_id"].cast("long"), documents["text"])
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, tier int, step_id long"
-    return with_encoder(texts, path, work, schema)
+    # In a pipeline, other stages have used the workers before; an encoder needs room.
+    return with_encoder(texts, path, work, schema, first=release_memory)

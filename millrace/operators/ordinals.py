@@ -76,15 +76,24 @@ def number_in_blocks(df: DataFrame, block: list[str], order: list[Column | str],
     """Number rows 1, 2, ... that already stand in order inside their blocks; also returns how many there are.
 
     ``block`` names a block, such as a part of a file that one task reads from its start to
-    its end; ``order`` puts blocks in order. No row moves: rows are written once with their
-    place, blocks are counted, and a prefix scan over these counts gives each block's start.
+    its end; ``order`` (columns, rising) puts blocks in order. No row moves: rows are written once
+    with their place, blocks are counted, and a prefix scan over these counts gives each block's
+    start: on the driver for up to ``BROADCAST_BLOCKS`` blocks, by ``running_sums`` and a join beyond.
     """
     staged = stage(df.withColumn("_place", F.monotonically_increasing_id()), "places")
     blocks = staged.groupBy(*block).agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_rows"))
-    starts, total = running_sums(blocks, order, "_rows", "_before")
-    shifts = stage(starts.select(*block, (F.col("_before") - F.col("_first") + 1).alias("_shift")), "shifts")
-    if shifts.count() <= BROADCAST_BLOCKS:
-        shifts = F.broadcast(shifts)
+    keys = [(F.col(c) if isinstance(c, str) else c).alias(f"_key{i}") for i, c in enumerate(order)]
+    few = blocks.select(*block, "_first", "_rows", *keys).limit(BROADCAST_BLOCKS + 1).collect()
+    if len(few) <= BROADCAST_BLOCKS:
+        total, rows = 0, []
+        for r in sorted(few, key=lambda r: [r[f"_key{i}"] for i in range(len(order))]):
+            rows.append((*(r[b] for b in block), total - r["_first"] + 1))
+            total += r["_rows"]
+        schema = T.StructType([*blocks.select(*block).schema, T.StructField("_shift", T.LongType())])
+        shifts = F.broadcast(df.sparkSession.createDataFrame(rows, schema))
+    else:
+        starts, total = running_sums(blocks, order, "_rows", "_before")
+        shifts = stage(starts.select(*block, (F.col("_before") - F.col("_first") + 1).alias("_shift")), "shifts")
     return staged.join(shifts, block).withColumn(name, F.col("_place") + F.col("_shift")).drop("_place", "_shift"), total
 
 

@@ -7,16 +7,39 @@ derivation in SQL.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.functions.chatml import message
 from millrace.functions.tokens import WORD_PATTERN
+from millrace.sources.tables import bytes_below
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def pieces(spark: SparkSession, sf_dir: str, name: str, mb: int) -> int:
+    """How many pieces of at most so many MB a table's files make."""
+    return 1 + bytes_below(spark, f"{sf_dir}/{name}.parquet") // (mb << 20)
+
+
+@contextmanager
+def read_by_blocks(spark: SparkSession, folder: str, size: str, task_mb: int = 16):
+    """Splits the files below a folder in blocks of ``size``; one task reads several, up to ``task_mb``."""
+    tasks = max(spark.sparkContext.defaultParallelism, bytes_below(spark, folder) // (task_mb << 20))
+    names = {"spark.sql.files.maxPartitionBytes": size, "spark.sql.files.maxPartitionNum": str(tasks)}
+    before = {name: spark.conf.get(name, None) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def by_value(column: str, cases: dict[str, Column], otherwise: Column) -> Column:
     out = otherwise
     for value, result in cases.items():

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window, functions as F, types as T
 
 from millrace.catalog import Entry
-from millrace.catalog.inputs import requests, table
+from millrace.catalog.inputs import pieces, read_by_blocks, requests, table
 from millrace.functions.packages import counts_json
 from millrace.operators.calls import CallPolicy
 from millrace.operators.unions import merge_shards
@@ -138,7 +138,7 @@ def _shards(spark, sf):
 
 
 def _large_packages(spark, sf):
-    """A package for each language, with all its documents as files; read by blocks of 64 KB."""
+    """A package for each language, with all its documents as files, written in parts of some 32 MB; read by blocks of 64 KB."""
     root = new_stage_path(spark, "large")
     docs = _docs(spark, sf)
     entry = F.concat(F.lit('<file path="'), "source", F.lit("/"), "doc_id", F.lit('.txt">\n'), "text", F.lit("\n</file>"))
@@ -147,14 +147,12 @@ def _large_packages(spark, sf):
     frame = docs.select("lang").distinct()
     head = frame.select("lang", F.lit(0).alias("at"), F.lit(0).cast("long").alias("doc_id"), F.lit("All documents\n<files>\n<file path=\"README.md\">\nall\n</file>").alias("value"))
     tail = frame.select("lang", F.lit(2).alias("at"), F.lit(0).cast("long").alias("doc_id"), F.lit("</files>\n<file path=\"late.txt\">out</file>").alias("value"))
-    rows = bodies.unionByName(head).unionByName(tail).repartition("lang").sortWithinPartitions("lang", "at", "doc_id")
-    rows.select("value", "lang").write.partitionBy("lang").text(root)
-    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
-    try:
-        return read_entries(spark, root, pattern="*.txt")
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    n = max(8, pieces(spark, sf, "documents", 32))  # a small package has several parts too
+    rows = bodies.unionByName(head).unionByName(tail).repartitionByRange(n, "lang", "at", "doc_id").sortWithinPartitions("lang", "at", "doc_id")
+    # A task's number is its part's, so that parts stand in the order of the ranges.
+    rows.select("value", "lang").write.option("maxRecordsPerFile", 0).partitionBy("lang").text(root)
+    with read_by_blocks(spark, root, "64k"):
+        return read_entries(spark, root, pattern="*.txt", in_parts=True)
 
 
 def _entries(spark, sf):

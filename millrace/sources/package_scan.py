@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -24,11 +25,13 @@ from millrace.functions.packages import OPEN_TAG, extension_counts, has_path, me
 from millrace.functions.text import line_count
 from millrace.operators.ordinals import BROADCAST_BLOCKS
 from millrace.session import stage
-from millrace.sources.listing import PACKAGE_GLOB, package_language
+from millrace.sources.listing import PACKAGE_GLOB, list_files, package_language
 
 #: Before the files section, in it, in a file's body, behind the section.
 BEFORE, SECTION, BODY, BEHIND = range(4)
 _TAG = re.compile(rf"<files>|</files>|</file>|{OPEN_TAG}")
+#: In packages of several files a block's number is its part's number, then its place in the part.
+_PART_BITS = 42
 _MAY_HOLD_TAG = "<files>|</files>|</file>|<file path="
 
 
@@ -43,14 +46,34 @@ def next_state(state: int, tag: str) -> int:
     return BODY if state == SECTION else state
 
 
-def package_lines(spark: SparkSession, root: str, languages: list[str] | None = None, pattern: str = PACKAGE_GLOB) -> DataFrame:
+def package_lines(
+    spark: SparkSession, root: str, languages: list[str] | None = None, pattern: str = PACKAGE_GLOB, in_parts: bool = False
+) -> DataFrame:
     """Lines of the packages below ``<root>/<language>/`` with the block they were read in: ``file``, ``block``, ``line``.
 
-    One task reads a block from its start to its end.
+    One task reads a block from its start to its end. ``in_parts``: a language's folder is one
+    package, its files are the parts in the order of the first number in their names (as in Spark's
+    ``part-00012-...``), each cut behind a line. ``file`` is then the folder's path up to its last slash.
     """
     folders = [f"{root}/{name}" for name in languages] if languages else [f"{root}/*"]
     texts = spark.read.option("pathGlobFilter", pattern).text(folders)
-    return texts.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.col("value").alias("line"))
+    file, block = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
+    if in_parts:
+        name = F.col("_metadata.file_name")
+        block = F.shiftleft(F.regexp_extract(name, r"\d+", 0).cast("long"), _PART_BITS) + block
+        file = F.substring(file, F.lit(1), F.length(file) - F.length(F.element_at(F.split(file, "/"), -1)))
+    return texts.select(file.alias("file"), block.alias("block"), F.col("value").alias("line"))
+
+
+def _check_parts(spark: SparkSession, root: str, languages: list[str] | None, pattern: str) -> None:
+    """Parts whose names give no number, or the same, have no order: an error."""
+    listed = [list_files(spark, folder, pattern) for folder in ([f"{root}/{name}" for name in languages] if languages else [f"{root}/*"])]
+    files = reduce(lambda a, b: a.unionByName(b), listed)
+    number = F.regexp_extract("file_name", r"\d+", 0).try_cast("long")
+    folder = F.regexp_replace("path", "/[^/]*$", "")
+    wrong = files.groupBy(folder.alias("folder"), number.alias("number")).agg(F.count(F.lit(1)).alias("n"), F.min("path").alias("path"))
+    if found := wrong.where("number is null or n > 1").select("path").head():
+        raise ValueError(f"no part number of its own: {found.path}")
 
 
 def _per_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, Iterator[str]]]:
@@ -96,21 +119,21 @@ def block_starts(lines: DataFrame) -> DataFrame:
     """
     tagged = lines.where(F.regexp_like("line", F.lit(_MAY_HOLD_TAG)))
     changes = tagged.mapInArrow(_summaries, "file string, block long, ends array<int>, opened array<long>")
-    # A file's blocks: as many as its size takes.
-    own = F.array_sort(F.collect_list(F.struct("block", "ends", "opened")))
-    start = F.array(F.struct(F.lit(-1).cast("long").alias("block"), F.lit(BEFORE).alias("state"), F.lit(0).cast("long").alias("entry")))
-
-    def follow(done, change):
-        last = F.element_at(done, -1)
-        at = last["state"] + 1
-        after = F.struct(
-            change["block"].alias("block"), F.element_at(change["ends"], at).alias("state"), (last["entry"] + F.element_at(change["opened"], at)).alias("entry")
-        )
-        return F.concat(done, F.array(after))
-
-    scanned = changes.groupBy("file").agg(own.alias("changes")).select("file", F.explode(F.aggregate("changes", start, follow)).alias("_at"))
+    # The section begins in the first block that leaves ``BEFORE``. From there on a block ends in the same state whether a
+    # file is open at its begin or not, or, without a tag that opens or closes, as it began; the section's end is final.
+    until = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, 0)
+    above = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    end = [F.get("ends", F.lit(state)) for state in range(4)]
+    begun = F.coalesce(F.max(end[BEFORE] != BEFORE).over(above), F.lit(False))
+    fixed = F.when(~F.col("_begun"), end[BEFORE]).when(end[SECTION] == end[BODY], end[SECTION])
+    followed = changes.withColumn("_begun", begun).withColumn("_fixed", fixed)
+    closed = F.max(F.col("_fixed") == BEHIND).over(until)
+    followed = followed.withColumn("state", F.when(closed, F.lit(BEHIND)).otherwise(F.last("_fixed", ignorenulls=True).over(until)))
+    at = F.coalesce(F.lag("state").over(Window.partitionBy("file").orderBy("block")), F.lit(BEFORE))
+    followed = followed.withColumn("_opened", F.get("opened", at))
+    scanned = followed.withColumn("entry", F.sum("_opened").over(until))
     # Behind each block that has tags; a block begins as the last such block before it ends.
-    ends = scanned.select("file", F.col("_at.block").alias("block"), F.col("_at.state").alias("state"), F.col("_at.entry").alias("entry"))
+    ends = scanned.select("file", "block", "state", "entry")
     blocks = lines.select("file", "block").groupBy("file", "block").agg(F.count(F.lit(1)).alias("_n")).select("file", "block", F.lit(None).cast("int").alias("state"), F.lit(None).cast("long").alias("entry"))
     both = blocks.withColumn("_own", F.lit(1)).unionByName(ends.withColumn("_own", F.lit(0)))
     before = Window.partitionBy("file").orderBy("block", F.desc("_own")).rowsBetween(Window.unboundedPreceding, -1)
@@ -181,15 +204,20 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
-def read_entries(spark: SparkSession, root: str, languages: list[str] | None = None, pattern: str = PACKAGE_GLOB) -> tuple[DataFrame, DataFrame]:
+def read_entries(
+    spark: SparkSession, root: str, languages: list[str] | None = None, pattern: str = PACKAGE_GLOB, in_parts: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """Entries of all packages, and every path that a package's section names.
 
     Entries: ``file``, ``language``, ``entry`` (from 1 in each file), ``path``, ``body``, for
     files that are closed before the first section ends; a package without a whole section has none. Names: ``file``, ``paths`` as
     ``functions.packages.file_paths`` finds them, part by part, those in bodies too.
-    The pieces are written once; only those of entries that cross a block move.
+    The pieces are written once; only those of entries that cross a block move. ``in_parts`` is as
+    for ``package_lines``: an entry may begin in one part and end in a later one.
     """
-    lines = package_lines(spark, root, languages, pattern)
+    if in_parts:
+        _check_parts(spark, root, languages, pattern)
+    lines = package_lines(spark, root, languages, pattern, in_parts)
     starts = stage(block_starts(lines), "package-blocks")
     if starts.count() <= BROADCAST_BLOCKS:
         begun = lines.join(F.broadcast(starts), ["file", "block"])

@@ -47,6 +47,12 @@ def file_system(spark: SparkSession, path: str):
     return hadoop, hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def bytes_below(spark: SparkSession, path: str) -> int:
+    """Bytes of a file, or of all files below a folder."""
+    target, fs = file_system(spark, path)
+    return fs.getContentSummary(target).getLength()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     target, fs = file_system(spark, path)
     return fs.exists(target)

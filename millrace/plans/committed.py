@@ -23,8 +23,11 @@ from millrace.operators.resume import Key, key_columns, pending
 from millrace.plans.generation import called_requests, request_key, with_outcome
 from millrace.functions.identity import with_uid
 from millrace.sources.commits import CommitLog, read_parts
+from millrace.sources.tables import bytes_below
 
 ENTRY = "path string, run int, slice int, part int, n_rows long, n_later long"
+#: One task deals about so many bytes of a slice, as written.
+DEALT_BYTES = 32 << 20
 #: Stands for a row's place in its run while its slice is called.
 _PLACE = "_place"
 
@@ -100,14 +103,18 @@ def run_committed(
 
 
 def _dealt(rows: DataFrame, key: str, path: str, size: int, seed: int) -> DataFrame:
-    """The rows in random order, written once: a file for each slice of about ``size`` rows, so that a slice reads its own only."""
+    """The rows in random order, written once: files for each slice of about ``size`` rows, so that a slice reads its own only.
+
+    A slice of many bytes is dealt to several tasks, so that none holds a whole slice.
+    """
     counted = Observation()
     spark = rows.sparkSession
     whole = f"{path}/whole"
     rows.observe(counted, F.count(F.lit(1)).alias("n")).write.parquet(whole)
     n = max(1, math.ceil(counted.get.get("n", 0) / size))
-    dealt = spread(spark.read.schema(rows.schema).parquet(whole), key, seed, n)
-    dealt = dealt.withColumns({"slice": F.spark_partition_id(), _PLACE: F.monotonically_increasing_id()})
+    tasks = max(1, math.ceil(bytes_below(spark, whole) / n / DEALT_BYTES))  # for one slice
+    dealt = spread(spark.read.schema(rows.schema).parquet(whole), key, seed, n * tasks)
+    dealt = dealt.withColumns({"slice": F.floor(F.spark_partition_id() / tasks).cast("int"), _PLACE: F.monotonically_increasing_id()})
     dealt.write.partitionBy("slice").parquet(f"{path}/slices")
     return spark.read.schema(dealt.schema).parquet(f"{path}/slices")
 

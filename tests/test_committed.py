@@ -1,5 +1,6 @@
 """Runs that commit as they go: kills, reruns, flushes by size and time, limits over all tasks."""
 
+import glob
 import os
 import threading
 import time
@@ -175,3 +176,13 @@ def test_an_entry_counts_once(spark, tmp_path):
     with pytest.raises(FileExistsError):
         log.enter("one", {"a": 2, "s": "x"})
     assert [tuple(r) for r in log.entries().collect()] == [(1, "ü\n")] and log.names() == ["one"]
+
+
+def test_a_large_slice_is_dealt_to_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("millrace.plans.committed.DEALT_BYTES", 300)
+    root, log = str(tmp_path / "run"), str(tmp_path / "calls")
+    found = generate_committed(asked(spark, 200), logged(log), root, FAST, Flush(rows=50))
+    assert calls(log) == list(range(200)) and found.count() == 200
+    (slices,) = glob.glob(f"{root}/_requests/*/slices")
+    sizes = [(len(glob.glob(f"{s}/*.parquet")), spark.read.parquet(s).count()) for s in glob.glob(f"{slices}/slice=*")]
+    assert len(sizes) == 4 and all(files > 1 and 40 <= n <= 60 for files, n in sizes)

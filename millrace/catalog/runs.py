@@ -59,10 +59,16 @@ def _committed(spark, sf):
     return replies.select("doc_id", "uid", "response", "status")
 
 
+def _by_language(spark, sf):
+    """The documents in ranges of their language, as the files of a folder for each language: some 128 MB of the table a file."""
+    n = pieces(spark, sf, "documents", 128)
+    return _docs(spark, sf).repartitionByRange(n, "lang", "doc_id").write.partitionBy("lang")
+
+
 def _batched(spark, sf, **options):
-    """The documents as a folder of a file for each language, streamed a file at a time."""
+    """The documents as folders of files for each language, streamed a file at a time."""
     folder, out = new_stage_path(spark, "incoming"), new_stage_path(spark, "batches")
-    _docs(spark, sf).repartition("lang").write.partitionBy("lang").parquet(folder)
+    _by_language(spark, sf).parquet(folder)
     schema = T.StructType([f for f in _DOC if f.name != "lang"])
     stream = read_increments(spark, f"{folder}/*", schema, "parquet", files_per_batch=1)
     return stream, out, new_stage_path(spark, "progress")

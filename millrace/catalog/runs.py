@@ -129,17 +129,23 @@ def _replayed(spark, sf):
     return rows.select("doc_id", "n", language.alias("lang"), replayed.alias("replayed"))
 
 
+def _share(spark, sf):
+    """Deals documents to shares of some 128 MB of the table, by their ids."""
+    return F.pmod(F.xxhash64("doc_id"), F.lit(pieces(spark, sf, "documents", 128)))
+
+
 def _shards(spark, sf):
-    """Result files of several models, one of them broken in its last line."""
+    """Result files of several models, those of one model and split broken in a last line."""
     base = new_stage_path(spark, "shards")
     split = F.concat(F.lit("docs_split_000"), F.col("doc_id") % 3)
-    last = F.max("doc_id").over(Window.partitionBy("lang", F.col("doc_id") % 3)) == F.col("doc_id")
+    dealt = _docs(spark, sf).withColumn("share", _share(spark, sf))
+    last = F.max("doc_id").over(Window.partitionBy("lang", F.col("doc_id") % 3, "share")) == F.col("doc_id")
     row = F.to_json(F.struct("doc_id", "text"))
     broken = (F.col("lang") == "de") & (F.col("doc_id") % 3 == 1) & last
     line = F.when(broken, F.substring(row, F.lit(1), F.length(row) - 1)).otherwise(row)
-    lines = _docs(spark, sf).select("doc_id", line.alias("value"), F.col("lang").alias("model"), split.alias("split"))
-    dealt = lines.repartition("model", "split").sortWithinPartitions("model", "split", "doc_id")
-    dealt.select("value", "model", "split").write.partitionBy("model", "split").text(base)
+    lines = dealt.select("doc_id", line.alias("value"), F.col("lang").alias("model"), split.alias("split"), "share")
+    lines = lines.repartition("model", "split", "share").sortWithinPartitions("model", "split", "share", "doc_id")
+    lines.select("value", "model", "split").write.partitionBy("model", "split").text(base)
     rows = listing.read_shards(spark, base, T.StructType(_DOC.fields[:2]), "*/*split*/*.txt")
     return merge_shards(rows).select("doc_id", "text", F.replace("model", F.lit("model="), F.lit("")).alias("model"), "status")
 
@@ -175,24 +181,22 @@ def _repositories(spark, sf):
 
 
 def _list_files(spark, sf):
-    """A dataset of two configs, each split one JSON list in a file; read by blocks of 64 KB."""
+    """A dataset of two configs, the files of each split one JSON list each; read by blocks of 64 KB."""
     root = new_stage_path(spark, "lists")
     docs = _docs(spark, sf).withColumn("config", F.when(F.col("lang").isin("de", "fr"), "one").otherwise("two"))
-    first = F.min("doc_id").over(Window.partitionBy("config")) == F.col("doc_id")
+    # One file for each config and share, below ``<config>/split=train-<share>.json``: the reader goes by the folder's name.
+    docs = docs.withColumn("split", F.concat(F.lit("train-"), _share(spark, sf), F.lit(".json")))
+    first = F.min("doc_id").over(Window.partitionBy("config", "split")) == F.col("doc_id")
     row = F.concat(F.when(first, F.lit("[")).otherwise(F.lit(", ")), F.to_json(F.struct("doc_id", "text", "lang")))
-    frame = docs.select("config").distinct().select("config", F.lit(None).cast("long").alias("doc_id"), F.lit("]").alias("value"))
-    lines = docs.select("config", "doc_id", row.alias("value")).unionByName(frame)
-    # One file for each config, below ``<config>/split=train.json``: the reader goes by the folder's name.
-    lines = lines.withColumn("split", F.regexp_replace("config", "^.*$", "train.json"))
-    dealt = lines.repartition("config").sortWithinPartitions("config", "split", F.asc_nulls_last("doc_id"))
+    frame = docs.select("config", "split").distinct().select("config", "split", F.lit(None).cast("long").alias("doc_id"), F.lit("]").alias("value"))
+    lines = docs.select("config", "split", "doc_id", row.alias("value")).unionByName(frame)
+    # By one text: by the two columns, as the parts of the union already lie, Spark leaves the exchange out and merges each part's tasks on its own.
+    dealt = lines.repartition(F.concat("config", F.lit("/"), "split"))
+    dealt = dealt.sortWithinPartitions("config", "split", F.col("value") == "]", F.asc_nulls_last("doc_id"))
     dealt.select("value", "config", "split").write.partitionBy("config", "split").text(root)
     schema = T.StructType([f for f in _DOC if f.name in ("doc_id", "text", "lang")])
-    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
-    try:
+    with read_by_blocks(spark, root, "64k"):
         parts = [listing.read_dataset(spark, root, f"config={c}", None, "split=train", schema).withColumn("config", F.lit(c)) for c in ("one", "two")]
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     return parts[0].unionByName(parts[1]).select("doc_id", "text", "lang", "config")
 
 

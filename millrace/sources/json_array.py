@@ -68,19 +68,15 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _starts(pieces: DataFrame) -> DataFrame:
     """``file``, ``block``, ``depth``, ``inside``, ``place``, ``base``: how each block begins, its place among its file's blocks, and the depth of the file's rows."""
     ends = pieces.mapInArrow(_summaries, "file string, block long, deeper array<long>, inside array<boolean>, opener string")
-    # A file's blocks: as many as its size takes.
-    own = F.array_sort(F.collect_list(F.struct("block", "deeper", "inside", "opener")))
-    begin = F.struct(F.lit(0).cast("long").alias("depth"), F.lit(False).alias("inside"))
-
-    def follow(done, block):
-        last = F.element_at(done, -1)
-        at = F.when(last["inside"], 2).otherwise(1)
-        return F.concat(done, F.array(F.struct((last["depth"] + F.element_at(block["deeper"], at)).alias("depth"), F.element_at(block["inside"], at).alias("inside"))))
-
-    scanned = ends.groupBy("file").agg(own.alias("blocks")).withColumn("begun", F.aggregate("blocks", F.array(begin), follow))
-    each = scanned.select("file", "blocks", F.posexplode(F.arrays_zip(F.col("blocks.block").alias("block"), F.slice("begun", F.lit(1), F.size("blocks")).alias("begun"))).alias("place", "at"))
-    base = F.when(F.element_at("blocks", 1)["opener"] == "[", 1).otherwise(0)
-    return each.select("file", F.col("at.block").alias("block"), F.col("at.begun.depth").alias("depth"), F.col("at.begun.inside").alias("inside"), "place", base.alias("base"))
+    own = Window.partitionBy("file").orderBy("block")
+    above = own.rowsBetween(Window.unboundedPreceding, -1)
+    # A quote changes sides whichever side it is on: a block begins inside a text if the blocks before changed sides an odd number of times.
+    changes = F.coalesce(F.sum(F.get("inside", F.lit(0)).cast("int")).over(above), F.lit(0))
+    begun = ends.withColumn("_inside", changes % 2 == 1).withColumn("_deeper", F.get("deeper", F.col("_inside").cast("int")))
+    depth = F.coalesce(F.sum("_deeper").over(above), F.lit(0).cast("long"))
+    place, opener = F.row_number().over(own) - 1, F.first("opener").over(own)
+    base = F.when(opener == "[", 1).otherwise(0)
+    return begun.select("file", "block", depth.alias("depth"), F.col("_inside").alias("inside"), place.alias("place"), base.alias("base"))
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

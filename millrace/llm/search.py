@@ -1,12 +1,20 @@
 """Exact top-k BM25 search with an inverted index and block-max pruning.
 
-Documents are indexed in shards of a few thousand. A shard's posting lists are cut
-where a list crosses a block of 64 documents, and each cut knows the largest term
-weight in it. For a query, the sum of these maxima over its terms bounds what any
-document of a block can score: blocks are taken from the highest bound down and
-only while the bound reaches the query's k-th best score so far, as WAND does with
-its pivot. Term weights use the document frequencies and the mean length of the
-whole corpus, so the scores of all shards compare and their results merge exactly.
+Documents are indexed in shards of a few thousand, ordered by their most frequent
+word, so that blocks are alike. A shard's posting lists are cut where a list crosses
+a block of 64 documents, and each cut knows the largest term weight in it. For a
+query, the sum of these maxima over its terms bounds what any document of a block
+can score: the blocks of highest bound come first, the others only if their bound
+reaches the query's k-th best score so far, as WAND does with its pivot. Term weights
+use the document frequencies and the mean length of the whole corpus, so the scores
+of all shards compare and their results merge exactly.
+
+Queries are compared with a shard some hundred at a time. The lists of terms that
+many of them ask for and many documents hold are rows of a matrix, whose products
+with the queries' factors give their share of bounds and scores; other lists are
+added up posting by posting. These sums are in single precision, with a margin that
+covers its error; documents that pass are scored again in double precision, term by
+term in one order.
 
 Queries go in blocks of bounded size to the groups of shards; a task streams the
 shards of its group and keeps the k best of each query, so what it emits grows with
@@ -31,6 +39,12 @@ from millrace.session import stage
 SHARD, BLOCK = 4096, 64
 #: Groups of shards that are searched side by side, and queries that one task holds.
 GROUPS, QUERIES = 16, 8192
+#: Queries that are compared at once, and lists of a shard that are rows of a matrix, at most.
+TOGETHER, ROWS = 128, 1024
+#: Matrix elements that cost as much as one posting of a list.
+ELEMENTS = 1000
+#: Relative error of sums of at most ROWS single-precision products of positive numbers, with room.
+SLACK = 2e-4
 #: Saturation and length normalisation of BM25.
 K1, B = 1.2, 0.75
 #: Terms whose numbers a task remembers.
@@ -58,6 +72,9 @@ def index_shards(documents: DataFrame) -> DataFrame:
     """One row per shard: document ids and lengths, terms, where their lists begin, and (document, count) postings."""
 
     def shard(ids: list[int], counts: list[Counter]) -> pa.RecordBatch:
+        often = [max(c, key=c.get) if c else 0 for c in counts]
+        order = sorted(range(len(ids)), key=often.__getitem__)
+        ids, counts = [ids[i] for i in order], [counts[i] for i in order]
         sizes = np.array([len(c) for c in counts], np.int64)
         term = np.fromiter((t for c in counts for t in c), np.int64, sizes.sum())
         count = np.fromiter((n for c in counts for n in c.values()), np.uint32, sizes.sum())
@@ -124,10 +141,11 @@ class Shard:
         self.ids = np.frombuffer(row["ids"], np.int64)
         lengths = np.frombuffer(row["lengths"], np.int64)
         self.terms = np.frombuffer(row["terms"], np.int64)
-        self.docs = np.frombuffer(row["docs"], np.uint16).astype(np.int64)
+        self.docs = np.frombuffer(row["docs"], np.uint16).astype(np.int32)
         count = np.frombuffer(row["counts"], np.uint32).astype(np.float64)
         self.weights = count * (K1 + 1) / (count + K1 * (1 - B + B * lengths / max(mean_length, 1e-9))[self.docs])
         starts = np.frombuffer(row["starts"], np.uint32).astype(np.int64)
+        self.bounds = np.append(starts, len(self.docs))
         # A cut begins where the term or the block changes.
         block = self.docs // BLOCK
         new = np.zeros(len(self.docs), bool)
@@ -140,34 +158,99 @@ class Shard:
         self.first_cut = np.append(np.searchsorted(self.cuts, starts), len(self.cuts))
         self.blocks = -(-len(self.ids) // BLOCK)
 
-    def search(self, terms: np.ndarray, factors: np.ndarray, k: int, least: float) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, scores) of the documents that may be among the k best, given the k-th best score so far."""
-        none = np.zeros(0, np.int64), np.zeros(0)
+        # The same postings by document, each document's in the order of terms.
+        order = np.argsort(self.docs, kind="stable")
+        self.term_of = np.repeat(np.arange(len(starts), dtype=np.int32), np.diff(self.bounds))[order]
+        self.weight_of = self.weights[order]
+        self.documents = np.searchsorted(self.docs[order], np.arange(len(self.ids) + 1))
+        self.factor = np.zeros(len(starts))
+
+    def _rows(self, asked: np.ndarray, queries: int) -> None:
+        """Make rows of a matrix of the lists for which that costs less; ``asked``: by how many queries each is."""
+        width = self.blocks * BLOCK
+        postings = asked * np.diff(self.bounds)
+        chosen = np.flatnonzero(postings * ELEMENTS >= max(queries, 1) * width)
+        chosen = chosen[np.argsort(-postings[chosen], kind="stable")[:ROWS]]
+        self.row_of = np.full(len(self.terms), -1)
+        self.row_of[chosen] = np.arange(len(chosen))
+        places, row = _ranges(self.bounds[chosen], self.bounds[chosen + 1], np.arange(len(chosen)))
+        matrix = np.zeros((len(chosen), width), np.float32)
+        matrix[row, self.docs[places]] = self.weights[places]
+        self.matrix = matrix.reshape(len(chosen), self.blocks, BLOCK)
+        self.most = self.matrix.max(2)
+
+    def search(self, queries: dict[int, tuple[np.ndarray, np.ndarray]], best: dict[int, tuple[np.ndarray, np.ndarray]], k: int) -> list[int]:
+        """Enter the shard's documents that are among each query's ``k`` best so far; the queries, those with like blocks together."""
+        names = list(queries)
         if not len(self.terms):
-            return none
-        at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
-        here = self.terms[at] == terms
-        at, factors = at[here], factors[here]
-        cuts, factor = _ranges(self.first_cut[at], self.first_cut[at + 1], factors)
-        if not len(cuts):
-            return none
-        bound = np.bincount(self.cut_block[cuts], self.cut_most[cuts] * factor, self.blocks)
-        order = np.argsort(-bound, kind="stable")
-        ids, scores, taken = [none[0]], [none[1]], 0
-        while taken < len(order) and bound[order[taken]] >= least * (1 - 1e-12) and bound[order[taken]] > 0:
-            turn = order[taken : taken + max(2, taken)]
-            turn = turn[bound[turn] >= least * (1 - 1e-12)]
-            taken += len(turn)
-            wanted = np.zeros(self.blocks, bool)
-            wanted[turn] = True
-            chosen = wanted[self.cut_block[cuts]]
-            places, weight = _ranges(self.cuts[cuts[chosen]], self.cut_ends[cuts[chosen]], factor[chosen])
-            total = np.bincount(self.docs[places], self.weights[places] * weight, len(self.ids))
-            hit = np.flatnonzero((total > 0) & (total >= least))
-            ids.append(self.ids[hit])
-            scores.append(total[hit])
-            least = max(least, _kth(np.concatenate(scores), k))
-        return np.concatenate(ids), np.concatenate(scores)
+            return names
+        parts, asked = [], np.zeros(len(self.terms), np.int64)
+        for x in range(0, len(names), TOGETHER):
+            own = [queries[q] for q in names[x : x + TOGETHER]]
+            number = np.repeat(np.arange(len(own)), [len(t) for t, _ in own])
+            terms, factors = np.concatenate([t for t, _ in own]), np.concatenate([f for _, f in own])
+            at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1).astype(np.int32)
+            here = self.terms[at] == terms
+            parts.append((names[x : x + TOGETHER], number[here].astype(np.int32), at[here], factors[here]))
+            asked += np.bincount(at[here], minlength=len(asked))
+        self._rows(asked, len(names))
+        first = [self._search_together(*part, best, k) for part in parts]
+        return [names[i] for i in np.argsort(np.concatenate(first), kind="stable")] if first else names
+
+    def _search_together(self, names: list[int], number: np.ndarray, at: np.ndarray, factors: np.ndarray, best: dict, k: int) -> np.ndarray:
+        """Search for some queries, whose words are lists ``at`` with ``factors``; the block of highest bound of each."""
+        n, row = len(names), self.row_of[at]
+        wide = row >= 0
+        asked = np.zeros((n, len(self.matrix)), np.float32)
+        asked[number[wide], row[wide]] = factors[wide]
+        cuts, entry = _ranges(self.first_cut[at[~wide]], self.first_cut[at[~wide] + 1], np.flatnonzero(~wide))
+        owner, factor, block = number[entry].astype(np.int64), factors[entry], self.cut_block[cuts]
+        bound = np.bincount(owner * self.blocks + block, self.cut_most[cuts] * factor, n * self.blocks).reshape(n, -1)
+        bound = (bound + asked @ self.most) * (1 + SLACK)
+        least = np.array([_kth(best[q][1], k) if q in best else 0.0 for q in names])
+        words = np.searchsorted(number, np.arange(n + 1))
+        highest = np.zeros(bound.shape, bool)
+        np.put_along_axis(highest, np.argsort(-bound, 1)[:, :2], True, 1)
+        for turn in (highest, ~highest):
+            taken = turn & (bound > 0) & (bound >= least[:, None])
+            blocks = np.flatnonzero(taken.any(0))
+            if not len(blocks):
+                continue
+            chosen = np.flatnonzero(taken[owner, block])
+            places, entry = _ranges(self.cuts[cuts[chosen]], self.cut_ends[cuts[chosen]], chosen)
+            first = np.zeros(self.blocks, np.int64)
+            first[blocks] = np.arange(len(blocks)) * BLOCK
+            width = len(blocks) * BLOCK
+            column = owner[entry] * width + first[block[entry]] + self.docs[places] % BLOCK
+            total = np.bincount(column, self.weights[places] * factor[entry], n * width).reshape(n, width)
+            total = total + asked @ self.matrix[:, blocks].reshape(len(self.matrix), width)
+            total.reshape(n, len(blocks), BLOCK)[~taken[:, blocks]] = 0
+            hit = (total > 0) & (total >= (least * (1 - SLACK))[:, None])
+            for i in np.flatnonzero(hit.any(1)).tolist():
+                query, own = names[i], slice(words[i], words[i + 1])
+                found = np.flatnonzero(hit[i])
+                wanted = k + int((self.ids == query).sum())
+                if len(found) > wanted:
+                    found = found[total[i, found] >= _kth(total[i, found], wanted) * (1 - 2 * SLACK)]
+                found = blocks[found // BLOCK] * BLOCK + found % BLOCK
+                scores = self._scores(at[own], factors[own], found)
+                ids = self.ids[found]
+                new = (ids != query) & (scores >= least[i])
+                if new.any():
+                    had = best.get(query, (ids[:0], scores[:0]))
+                    ids, scores = np.concatenate([had[0], ids[new]]), np.concatenate([had[1], scores[new]])
+                    keep = np.lexsort((ids, -scores))[:k]
+                    best[query] = ids[keep], scores[keep]
+                    least[i] = _kth(best[query][1], k)
+        return bound.argmax(1)
+
+    def _scores(self, at: np.ndarray, factors: np.ndarray, found: np.ndarray) -> np.ndarray:
+        """The scores of some documents, summed in the order of terms."""
+        self.factor[at] = factors
+        places, document = _ranges(self.documents[found], self.documents[found + 1], np.arange(len(found)))
+        scores = np.bincount(document, self.weight_of[places] * self.factor[self.term_of[places]], len(found))
+        self.factor[at] = 0
+        return scores
 
 
 def _ranges(begins: np.ndarray, ends: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -225,14 +308,8 @@ def search(documents: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
                     queries[row["query_id"].as_py()] = (row["term"].values.to_numpy(), row["factor"].values.to_numpy())
                     continue
                 shard = Shard({n: row[n].as_py() for n in names}, mean_length)
-                for query, (terms, factors) in queries.items():
-                    had = best.get(query, (np.zeros(0, np.int64), np.zeros(0)))
-                    own = int((shard.ids == query).sum())
-                    ids, scores = shard.search(terms, factors, k + own, _kth(had[1], k))
-                    if len(ids):
-                        ids, scores = np.concatenate([had[0], ids[ids != query]]), np.concatenate([had[1], scores[ids != query]])
-                        keep = np.lexsort((ids, -scores))[:k]
-                        best[query] = ids[keep], scores[keep]
+                queries = {q: queries[q] for q in shard.search(queries, best, k)}
+                del shard, row  # before the next one is unpacked
         yield results()
 
     dealt = rows.repartition("group", "block").sortWithinPartitions("group", "block", "side")

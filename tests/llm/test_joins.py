@@ -238,6 +238,24 @@ def test_search_equals_brute_force(spark, monkeypatch):
         assert [r.doc_id for r in best] == [i for i, _ in wanted[q]] or len({s for _, s in wanted[q]}) < len(best)
 
 
+def test_shards_order_documents_by_their_most_frequent_word(spark):
+    texts = [(i, ("der stein der fluss" if i % 2 else "the stone the river") + f" n{i}") for i in range(40)]
+    (row,) = search.index_shards(spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)).collect()
+    odd = (np.frombuffer(row["ids"], np.int64) % 2).tolist()
+    assert sorted(odd) in (odd, odd[::-1])
+
+
+@pytest.mark.parametrize(("elements", "together"), [(0, 256), (1, 3), (10**9, 7)])
+def test_matrix_and_lists_give_the_same_scores(spark, monkeypatch, elements, together):
+    documents = spark.read.parquet(f"{SMALL}/documents.parquet").where("doc_id < 400").select("doc_id", F.substring("text", 1, 400).alias("text"))
+    documents = documents.unionByName(documents.where("doc_id < 30").withColumn("doc_id", F.col("doc_id") + 5000)).coalesce(1)
+    monkeypatch.setattr(search, "SHARD", 100)
+    wanted = sorted(map(tuple, search.search(documents, F.col("doc_id") % 7 == 0, 5).collect()))
+    for name, value in {"ELEMENTS": elements, "TOGETHER": together, "BLOCK": 8}.items():
+        monkeypatch.setattr(search, name, value)
+    assert sorted(map(tuple, search.search(documents, F.col("doc_id") % 7 == 0, 5).collect())) == wanted
+
+
 def test_search_of_long_texts(spark):
     """Counts beyond 2,048 and 65,504, in whole texts."""
     draw = random.Random(8)

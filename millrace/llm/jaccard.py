@@ -13,7 +13,7 @@
    largest possible overlap reaches what a link needs and its sets aren't connected
    yet. Pairs of sets that remain are compared gram by gram.
 5. Leaves of a large family are first compared with themselves and their neighbours;
-   a second pass compares the pairs of leaves that are not all connected by then.
+   a second pass compares the other pairs of leaves that are not all connected by then.
 
 Every step is exact: frequency only sets the order of grams, never what counts.
 Hashes have 64 bits, of which grams that aren't frequent keep 48 and their bucket's number; set digests have 64.
@@ -40,8 +40,8 @@ CHUNK_CHARS, HASHED_CHARS = 4_000_000, 500_000
 FREQUENT_FROM, LOCAL, FREQUENT = 64, 4, 200_000
 #: Documents whose grams fill one bucket, on average.
 BUCKET_DOCUMENTS = 4096
-#: Sets in a leaf, children of a tree node.
-LEAF, FAN_OUT = 192, 8
+#: Sets in a leaf, children of a tree node. A large family's sets are sent once for each pair of leaves, so leaves are as large as a task holds with ease.
+LEAF, FAN_OUT = 1024, 8
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -483,7 +483,8 @@ def component_links(sets: DataFrame, percent: int) -> DataFrame:
     families = connected_components(grams.join(meeting, "gram").select(F.col("root").alias("a"), F.col("digest").alias("b")))
     leaves = stage(_leaves(sets, families, percent), "jaccard-leaves")
     plain = leaves.withColumn("label", F.col("digest"))
-    own = plain.where("slots = 1 and members > 1").withColumn("side", F.lit(0)).withColumn("unit", _unit("family", "band", "slot"))
+    # A band in one leaf that has such a neighbour is compared with itself where it is compared with that.
+    own = plain.where("slots = 1 and members > 1 and not up").withColumn("side", F.lit(0)).withColumn("unit", _unit("family", "band", "slot"))
     # A large band's leaves are compared with themselves and the next leaf, so that a family of near copies is connected early.
     many = plain.where("slots > 1")
     following = many.withColumn("side", F.lit(0)).withColumn("first", F.col("slot")).unionByName(
@@ -494,25 +495,26 @@ def component_links(sets: DataFrame, percent: int) -> DataFrame:
     # Bands with a neighbour, both in one leaf.
     beside = plain.where("up").withColumn("side", F.lit(0)).withColumn("low", F.col("band"))
     beside = beside.unionByName(plain.where("down").withColumn("side", F.lit(1)).withColumn("low", F.col("band") - 1))
-    beside = beside.withColumn("unit", F.concat(F.lit("band:"), _unit("family", "low")))
+    beside = beside.withColumn("unit", F.concat(F.lit("next:"), _unit("family", "low")))
     first = stage(_links(own.select(columns).unionByName(following.select(columns)).unionByName(beside.select(columns)), percent), "jaccard-links")
-    # Second pass: pairs of leaves of large families that are not all connected.
+    # Second pass: pairs of leaves of large families that have not met and are not all connected.
     large = leaves.groupBy("family", "band").agg(F.max("slots").alias("slots")).groupBy("family").agg(F.max("slots").alias("most")).where("most > 1").select("family")
-    rest = leaves.select("digest", "family", "band", "slot").join(large, "family")
+    rest = leaves.select("digest", "family", "band", "slot", "slots").join(large, "family")
     if rest.isEmpty():
         return first
     known = connected_components(first).select(F.col("node").alias("digest"), "label")
     rest = stage(rest.join(known, "digest", "left").withColumn("label", F.coalesce("label", "digest")), "jaccard-rest")
-    summary = rest.groupBy("family", "band", "slot").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    other = summary.select("family", F.col("band").alias("band2"), F.col("slot").alias("slot2"), F.col("low").alias("low2"), F.col("high").alias("high2"))
-    near = (F.col("band2") == F.col("band")) & (F.col("slot2") > F.col("slot")) | (F.col("band2") == F.col("band") + 1)
+    summary = rest.groupBy("family", "band", "slot", "slots").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    other = summary.select("family", F.col("band").alias("band2"), F.col("slot").alias("slot2"), F.col("slots").alias("slots2"), F.col("low").alias("low2"), F.col("high").alias("high2"))
+    far = (F.col("slot2") > F.col("slot") + 1) & ((F.col("slot") > 0) | (F.col("slot2") < F.col("slots") - 1))
+    near = (F.col("band2") == F.col("band")) & far | (F.col("band2") == F.col("band") + 1) & ((F.col("slots") > 1) | (F.col("slots2") > 1))
     settled = (F.col("low") == F.col("high")) & (F.col("low2") == F.col("high2")) & (F.col("low") == F.col("low2"))
     pairs = summary.join(other, "family").where(near & ~settled)
     pairs = pairs.withColumn("unit", _unit("family", "band", "slot", "band2", "slot2"))
     one = pairs.select("unit", "family", "band", "slot", F.lit(0).alias("side"))
     two = pairs.select("unit", "family", F.col("band2").alias("band"), F.col("slot2").alias("slot"), F.lit(1).alias("side"))
     units = one.unionByName(two).join(rest, ["family", "band", "slot"]).select("unit", "side", "digest", "label")
-    units = units.join(leaves.select("digest", "n", "grams"), "digest").select(columns)
+    units = units.join(leaves.join(large, "family").select("digest", "n", "grams"), "digest").select(columns)
     return first.unionByName(_links(units, percent))
 
 

@@ -65,6 +65,25 @@ def test_components_equal_brute_force(spark, monkeypatch, leaf, frequent_from, c
     assert found == brute_components(rows, 85, 4)
 
 
+def test_leaves_meet_once(spark, monkeypatch):
+    """The second pass sends no pair of leaves that the first has compared."""
+    monkeypatch.setattr(jaccard, "LEAF", 6)
+    met, links = [], jaccard._links
+
+    def noted(units, percent):
+        sides = {}
+        for r in units.select("unit", "side", "digest").collect():
+            sides.setdefault(r.unit, (set(), set()))[r.side].add(bytes(r.digest))
+        met.append({frozenset((a, b)) for one, two in sides.values() for a in one for b in two})
+        return links(units, percent)
+
+    monkeypatch.setattr(jaccard, "_links", noted)
+    rows = copies()
+    found = {r.doc_id: r.component_id for r in jaccard.components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {i: top for i, (_, top) in brute_components(rows, 85, 4).items()}
+    assert len(met) == 2 and met[1] and not met[0] & met[1]
+
+
 def test_components_of_odd_rows(odd, empty):
     found = jaccard.components(odd).collect()
     rows = {(r.doc_id, r.n_shingles, r.component_id) for r in found}

@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-#: Pieces that a task remembers; the memory is emptied when it is full.
+#: Pieces that a task remembers; a full memory keeps only those that the texts at hand have met again.
 PIECES = 400_000
 #: Fragments up to this many bytes are merged in columns, longer ones one by one.
 SHORT = 24
@@ -41,7 +41,11 @@ _SPACES = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f
 _SEPARATORS = "\x1c\x1d\x1e\x1f"
 # Beyond Latin letters and general punctuation.
 _LATER = re.compile("[^\x00-\u024f\u2010-\u2027\u2030-\u205e\u20a0-\u20bf]")
+# A stop between a letter or digit and white space or the end.
+_STOPS = [(re.compile(rf"\{stop}(?<=[a-z0-9\u00df-\u00f6\u00f8-\u00ff].)(?![^ \n])"), f" {stop}") for stop in ".,"]
 _NO_MERGE = np.iinfo(np.int32).max
+# Ends a piece among ids: no id has four bytes of 255, nor has a row of them, as ids stay below 2**24.
+_END = b"\xff" * 4
 
 
 def byte_characters() -> list[str]:
@@ -81,7 +85,11 @@ class Encoder:
         order = np.argsort(keys, kind="stable")
         self.keys, self.key_rank = keys[order], order.astype(np.int32)
         self.joined = self._joined_pairs(vocab, chars)
+        # Ranks of two bytes inside a word, and of two at its end.
+        self.byte_rank, self.end_rank = (self._ranks(self.inner[:, None], right[None]) for right in (self.inner, self.last))
         self.pieces: dict[str, bytes] = {"": b""}
+        # A pattern that parts letters and digits from a stop behind them lets texts be cut there.
+        self.parts_stops = all(self.words_and_ends.findall(c + stop) == [c, stop] for c in "a0\u00df\u00ff" for stop in ".,")
 
     def _joined_pairs(self, vocab: Iterable[str], chars: list[str]) -> np.ndarray:
         """joined[a, b]: some vocabulary token holds byte a followed by byte b."""
@@ -92,52 +100,71 @@ class Encoder:
             joined[codes[:-1], codes[1:]] = True
         return joined
 
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of each pair's merge; pairs that don't merge have the largest number."""
+        key = left * self.size + right
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.key_rank[at], _NO_MERGE)
+
     # Encoding
 
     def split(self, text: str) -> list[str]:
+        """The text's pieces between white space, normalised and without stops at their ends where that is safe: fewer differ then."""
+        if self.parts_stops and "<|" not in text and (text.isascii() or not _LATER.search(text)):
+            text = self._normalised(text)
+            for stop, apart in _STOPS:
+                text = stop.sub(apart, text)
         if any(c in text for c in _SEPARATORS):
             return _SPACES.split(text)
         return text.split()
 
+    def _normalised(self, text: str) -> str:
+        if not text.isascii():
+            # One character at a time: the capital sigma has no final form here.
+            text = unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3")
+        return text.lower()
+
     def _words(self, pieces: list[str]) -> list[str]:
         """The words of all pieces, normalised; a line feed, which no piece holds, follows each piece."""
-        joined = "\n".join([*pieces, ""])
-        if not joined.isascii():
-            # One character at a time: the capital sigma has no final form here.
-            joined = unicodedata.normalize("NFC", joined).replace("\u03a3", "\u03c3")
-        return self.words_and_ends.findall(joined.lower())
+        return self.words_and_ends.findall(self._normalised("\n".join([*pieces, ""])))
 
     def _fragments(self, words: list[str]) -> tuple[list[bytes], list[int]]:
         """All independent fragments and where each word's own begin; a last byte 255, which is in no UTF-8 text, ends a word."""
-        encoded = [w.encode() + b"\xff" for w in words]
-        data = b"".join(encoded)
+        data = "\n".join([*words, ""]).encode().replace(b"\n", b"\xff")
         codes = np.frombuffer(data, np.uint8)
-        cuts = np.flatnonzero(~self.joined[codes[:-1], codes[1:]] & (codes[:-1] != 255) & (codes[1:] != 255)) + 1
-        ends = np.flatnonzero(codes == 255) + 1
-        bounds = np.union1d(cuts, ends)
-        firsts = np.concatenate([[0], np.searchsorted(bounds, ends) + 1]).tolist()
+        ends_word = codes == 255
+        ends = ends_word.copy()
+        ends[:-1] |= ~(self.joined[codes[:-1], codes[1:]] | ends_word[1:])
+        bounds = np.flatnonzero(ends) + 1
+        firsts = [0, *(np.flatnonzero(ends_word[bounds - 1]) + 1).tolist()]
         bounds = [0, *bounds.tolist()]
         return [data[x:y] for x, y in zip(bounds, bounds[1:], strict=False)], firsts
 
-    def _merge_columns(self, rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(indexes, ids) of rows of one length as they come to an end; each turn merges one pair in each open row."""
+    def _merge_columns(self, rows: np.ndarray, rank: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(indexes, ids) of rows of one length as they come to an end; each turn merges one pair in each open row.
+
+        ``rank`` has the ranks of each row's pairs; a merge changes those on its two sides only.
+        """
         open_rows = np.arange(len(rows))
         while rows.shape[1] > 1 and len(rows):
-            key = rows[:, :-1] * self.size + rows[:, 1:]
-            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            rank = np.where(self.keys[at] == key, self.key_rank[at], _NO_MERGE)
             where = rank.argmin(1)
             best = rank[np.arange(len(rows)), where]
             done = best == _NO_MERGE
             if done.any():
                 yield open_rows[done], rows[done]
                 keep = ~done
-                rows, open_rows, where, best = rows[keep], open_rows[keep], where[keep], best[keep]
+                rows, rank, open_rows, where, best = rows[keep], rank[keep], open_rows[keep], where[keep], best[keep]
             if not len(rows):
                 return
             rows[np.arange(len(rows)), where] = self.merged[best]
             column = np.arange(rows.shape[1] - 1)
             rows = np.take_along_axis(rows, column + (column > where[:, None]), 1)
+            column = column[:-1]
+            rank = np.take_along_axis(rank, column + (column >= where[:, None]), 1)
+            for at in (where - 1, where):
+                inside = np.flatnonzero((at >= 0) & (at < rank.shape[1]))
+                first = at[inside]
+                rank[inside, first] = self._ranks(rows[inside, first], rows[inside, first + 1])
         if len(rows):
             yield open_rows, rows
 
@@ -169,24 +196,39 @@ class Encoder:
         return [i for i in ids if i >= 0]
 
     def _encode_fragments(self, fragments: Iterable[bytes]) -> dict[bytes, bytes]:
-        found: dict[bytes, bytes] = {}
-        groups: dict[tuple[int, bool], list[bytes]] = {}
-        for fragment in fragments:
-            groups.setdefault((len(fragment), fragment[-1] == 255), []).append(fragment)
-        for (length, ends_word), group in groups.items():
-            codes = np.frombuffer(b"".join(group), np.uint8).reshape(-1, length)
-            rows = self.inner[codes[:, : length - ends_word]]
-            if ends_word:
-                rows[:, -1] = self.last[codes[:, -2]]
+        fragments = list(fragments)
+        if not fragments:
+            return {}
+        codes = np.frombuffer(b"".join(fragments), np.uint8)
+        lengths = np.fromiter(map(len, fragments), np.int64, len(fragments))
+        starts = np.cumsum(lengths) - lengths
+        ends_word = codes[starts + lengths - 1] == 255
+        # A fragment has at most as many ids as bytes: they are put where its bytes begin.
+        ids, filled = np.zeros(len(codes), "<u4"), np.zeros(len(codes), bool)
+        kind = 2 * lengths + ends_word
+        order = np.argsort(kind, kind="stable")
+        for group in np.split(order, np.flatnonzero(np.diff(kind[order])) + 1):
+            first, length, ends = starts[group], int(lengths[group[0]]), bool(ends_word[group[0]])
+            own = codes[first[:, None] + np.arange(length - ends)]
+            rows = self.inner[own]
+            if ends:
+                rows[:, -1] = self.last[own[:, -1]]
             if length > SHORT:
-                for fragment, ids in zip(group, rows.tolist(), strict=True):
-                    found[fragment] = np.array(self._merge_long(ids), "<u4").tobytes()
+                for at, row in zip(first.tolist(), rows.tolist(), strict=True):
+                    merged = self._merge_long(row)
+                    ids[at : at + len(merged)] = merged
+                    filled[at : at + len(merged)] = True
                 continue
-            for index, ids in self._merge_columns(rows):
-                width, flat = 4 * ids.shape[1], ids.astype("<u4").tobytes()
-                for k, i in enumerate(index.tolist()):
-                    found[group[i]] = flat[k * width : (k + 1) * width]
-        return found
+            rank = self.byte_rank[own[:, :-1], own[:, 1:]]
+            if ends and rank.shape[1]:
+                rank[:, -1] = self.end_rank[own[:, -2], own[:, -1]]
+            for index, merged in self._merge_columns(rows, rank):
+                places = first[index][:, None] + np.arange(merged.shape[1])
+                ids[places] = merged
+                filled[places] = True
+        flat = ids[filled].tobytes()
+        bounds = [0, *(4 * np.cumsum(np.add.reduceat(filled, starts, dtype=np.int64))).tolist()]
+        return {f: flat[x:y] for f, x, y in zip(fragments, bounds, bounds[1:], strict=False)}
 
     def _encode_words(self, words: Iterable[str]) -> dict[str, bytes]:
         words = list(words)
@@ -197,25 +239,25 @@ class Encoder:
 
     def learn(self, pieces: Iterable[str]) -> None:
         """Encode pieces without white space that are not known yet."""
-        plain, mixed, other = [], {}, []
-        for piece in pieces:
-            if piece.isascii() or not _LATER.search(piece):
-                if self.cut_special and "<|" in piece:
-                    mixed[piece] = self.cut_special.split(piece)
+        plain, mixed, other = list(pieces), {}, []
+        joined = "\n".join(plain)
+        if "<|" in joined or not joined.isascii() and _LATER.search(joined):
+            pieces, plain = plain, []
+            for piece in pieces:
+                if piece.isascii() or not _LATER.search(piece):
+                    if self.cut_special and "<|" in piece:
+                        mixed[piece] = self.cut_special.split(piece)
+                    else:
+                        plain.append(piece)
                 else:
-                    plain.append(piece)
-            else:
-                other.append(piece)
-        plain += {s for parts in mixed.values() for s in parts[::2]} - set(plain)
-        words = self._words(plain)
-        ids = self._encode_words({*words} - {"\n"})
-        left, own = iter(plain), []
-        for word in words:
-            if word != "\n":
-                own.append(ids[word])
-                continue
-            self.pieces[next(left)] = own[0] if len(own) == 1 else b"".join(own)
-            own = []
+                    other.append(piece)
+            plain += {s for parts in mixed.values() for s in parts[::2]} - set(plain)
+        if plain:
+            words = self._words(plain)
+            ids = self._encode_words({*words} - {"\n"})
+            ids["\n"] = _END
+            found = b"".join(map(ids.__getitem__, words)).split(_END)
+            self.pieces.update(zip(plain, found[:-1], strict=True))
         for piece, parts in mixed.items():
             self.pieces[piece] = b"".join([self.special[s] if k % 2 else self.pieces[s] for k, s in enumerate(parts)])
         for piece in other:
@@ -246,10 +288,10 @@ class Encoder:
         size = 0
 
         def flush() -> list[bytes]:
-            new = set().union(*gathered)
+            here = set().union(*gathered)
+            new = here - self.pieces.keys()
             if len(self.pieces) + len(new) > PIECES:
-                self.pieces.clear()
-            new -= self.pieces.keys()
+                self.pieces = {p: self.pieces[p] for p in here - new}
             self.learn(new)
             known = self.pieces.__getitem__
             return [b"".join(map(known, words)) for words in gathered]

@@ -52,6 +52,29 @@ def test_full_memory_of_pieces(monkeypatch, library):
     assert [np.frombuffer(x, "<u4").tolist() for x in bpe.Encoder(bpe.read_spec(PATH)).encode(texts)] == [ids_of(library, t) for t in texts]
 
 
+def test_stops_and_cases_share_pieces(library):
+    draw = random.Random(3)
+    texts = ["Stone. stone, STONE stone.\nStone,", "x!. y.. 3.5. ß. é, Ñ.\n'S. don't, ...", ". , .a ,b", "<|endoftext|>. A. <|"]
+    texts += ["".join(draw.choice("aEß9ñÑ.,!' \n\t\x1c日İ") for _ in range(30)) for _ in range(500)]
+    encoder = bpe.Encoder(bpe.read_spec(PATH))
+    next(encoder.encode(texts[:1]))
+    assert set(encoder.pieces) == {"", "stone", ".", ","}
+    for text, data in zip(texts, encoder.encode(texts), strict=True):
+        assert np.frombuffer(data, "<u4").tolist() == ids_of(library, text), text
+
+
+def test_full_memory_keeps_pieces_met_again(monkeypatch, library):
+    monkeypatch.setattr(bpe, "PIECES", 4)
+    monkeypatch.setattr(bpe, "GATHER", 10)
+    texts = ["one two three", "four one five", "one six"]
+    encoder = bpe.Encoder(bpe.read_spec(PATH))
+    learned = []
+    learn = encoder.learn
+    monkeypatch.setattr(encoder, "learn", lambda pieces: (learned.extend(pieces), learn(pieces)))
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == [ids_of(library, t) for t in texts]
+    assert sorted(learned) == ["five", "four", "one", "six", "three", "two"]
+
+
 def test_digests(odd, empty, library):
     rows = bpe.encode_and_decode(odd, PATH).collect()
     assert len(rows) == odd.count() and bpe.encode_and_decode(empty, PATH).count() == 0

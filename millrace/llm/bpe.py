@@ -30,11 +30,11 @@ from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
 #: Pieces that a task remembers; a full memory keeps only those that the texts at hand have met again.
-PIECES = 400_000
+PIECES = 250_000
 #: Fragments up to this many bytes are merged in columns, longer ones one by one.
 SHORT = 24
 #: Characters whose pieces are gathered before the unknown ones are encoded.
-GATHER = 4_000_000
+GATHER = 2_500_000
 
 # Unicode White_Space; str.split() also splits at U+001C to U+001F.
 _SPACES = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")

@@ -14,8 +14,6 @@ same file with ``add_special_tokens=False``.
 
 from __future__ import annotations
 
-import ctypes
-import gc
 import hashlib
 import heapq
 import json
@@ -316,15 +314,6 @@ def read_spec(path: str) -> str:
         return file.read()
 
 
-def release_memory() -> None:
-    """Give back what earlier tasks of a reused worker process left behind: objects, Arrow's pool, the allocator's free pages."""
-    gc.collect()
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
-    if trim:
-        trim(0)
-
-
 def with_encoder(df: DataFrame, path: str, work: Callable[[Encoder, Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str, plain: tuple[int, ...] = (), first: Callable[[], None] | None = None) -> DataFrame:
     """``work(encoder, batches)`` in each task, after ``first``. The broadcast is the vocabulary, whose size is fixed; ``plain`` is the encoder's."""
     spec = df.sparkSession.sparkContext.broadcast(read_spec(path))

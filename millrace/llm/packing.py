@@ -24,7 +24,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from millrace.llm.bpe import Encoder, release_memory, with_encoder
+from millrace.llm.bpe import Encoder, with_encoder
+from millrace.llm.memory import release_memory
 
 #: Window lengths; each a power of two.
 TIERS = (512, 1024, 2048, 4096)

@@ -119,21 +119,25 @@ class Words:
         self.counts = np.bincount(self.holder, minlength=len(texts))
 
     def hashes(self) -> np.ndarray:
-        """64 bits of each word: FNV-1a byte by byte over all words at once, longest first."""
-        lengths = self.end - self.begin
-        order = np.argsort(-np.minimum(lengths, SHORT_WORD + 1), kind="stable")
-        begin, found = self.begin[order], np.full(len(order), BASIS)
-        longer = len(order) - np.searchsorted(np.sort(lengths), np.arange(SHORT_WORD + 1), side="right")
-        for place, count in enumerate(longer[:-1].tolist()):
-            if not count:
-                break
-            found[:count] = (found[:count] ^ self.data[begin[:count] + place]) * FNV
-        for n in range(int(longer[-1])):
-            at = order[n]
-            found[n] = xxhash.xxh3_64_intdigest(self.data[self.begin[at] : self.end[at]].tobytes())
-        hashes = np.empty(len(order), np.uint64)
-        hashes[order] = _mixed(found)
-        return hashes
+        return word_hashes(self.data, self.begin, self.end)
+
+
+def word_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64 bits of each word: FNV-1a symbol by symbol over all words at once, longest first."""
+    lengths = end - begin
+    order = np.argsort(-np.minimum(lengths, SHORT_WORD + 1), kind="stable")
+    first, found = begin[order], np.full(len(order), BASIS)
+    longer = len(order) - np.searchsorted(np.sort(lengths), np.arange(SHORT_WORD + 1), side="right")
+    for place, count in enumerate(longer[:-1].tolist()):
+        if not count:
+            break
+        found[:count] = (found[:count] ^ data[first[:count] + place]) * FNV
+    for n in range(int(longer[-1])):
+        at = order[n]
+        found[n] = xxhash.xxh3_64_intdigest(data[begin[at] : end[at]].tobytes())
+    hashes = np.empty(len(order), np.uint64)
+    hashes[order] = _mixed(found)
+    return hashes
 
 
 class Windows:

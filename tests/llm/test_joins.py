@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm import jaccard, neighbours, search
 from millrace.llm.components import connected_components
+from millrace.session import stage as search_stage
 
 
 def brute_components(rows, percent, size):
@@ -296,3 +297,82 @@ def test_search_of_odd_rows(odd, empty):
     assert {(r.query_id, r.doc_id) for r in found} >= {(1, 5), (6, 7), (7, 6)}
     assert not {r.query_id for r in found} & {2, 3, 4, None} and all(r.query_id != r.doc_id for r in found)
     assert search.search(empty, F.lit(True), 3).count() == 0
+
+
+def test_words_are_runs_of_letters_and_digits():
+    texts = ["Ab a_b ÄÖ-x2 ½ ǅ ΑΣ ΑΣ. İi", None, "", "日本 語\x1c٣٤ e\u0301 \U0001d54f \u2028z", "x" * 64 + " " + "x" * 65 + " " + "y" * 300, "a ab\nÄÖ X2"]
+    hashes, holder = search._words(texts)
+    words = [(i, w) for i, t in enumerate(texts) for w in re.findall(r"[^\W_]+", (t or "").lower())]
+    assert holder.tolist() == [i for i, _ in words]
+    number = dict(zip([w for _, w in words], hashes.tolist(), strict=True))
+    assert [number[w] for _, w in words] == hashes.tolist() and len(set(hashes.tolist())) == len(number)
+
+
+def mixed_texts(n):
+    """Texts of 1 to 200 words of two vocabularies with few words in common, frequent and rare ones."""
+    draw = random.Random(4)
+    texts = []
+    for i in range(n):
+        own = [f"{'ab'[i % 2]}{int(draw.paretovariate(0.6)) % 3000}" for _ in range(draw.choice([1, 8, 40, 200]))]
+        texts.append((draw.choice([i, i, i, i // 2]), " ".join([*own, "both", "both" if i % 3 else "other"])))
+    return texts
+
+
+def test_clusters_are_of_like_words_and_begin_with_the_longest(spark):
+    texts = mixed_texts(400)
+    (row,) = search.index_shards(spark.createDataFrame([(i, t) for i, (_, t) in enumerate(texts)], "doc_id long, text string").coalesce(1)).collect()
+    ids, lengths = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["lengths"], np.int64)
+    assert sorted(ids.tolist()) == list(range(400)) and [len(texts[i][1].split()) for i in ids] == lengths.tolist()
+    begin, mixed = 0, 0
+    for width in np.frombuffer(row["clusters"], np.int64).tolist():
+        own = slice(begin, begin + width)
+        assert (np.diff(lengths[own]) <= 0).all()
+        long = ids[own][lengths[own] > 20] % 2
+        mixed += min((long == 0).sum(), (long == 1).sum())
+        begin += width
+    assert begin == 400 and mixed <= 8
+
+
+def test_full_shards_end_early(spark, monkeypatch):
+    monkeypatch.setattr(search, "SHARD_WORDS", 1000)
+    rows = search.index_shards(spark.createDataFrame([(i, "one two three " * 100) for i in range(20)], "doc_id long, text string").coalesce(1)).collect()
+    assert sorted(i for r in rows for i in np.frombuffer(r["ids"], np.int64).tolist()) == list(range(20))
+
+
+@pytest.mark.parametrize(("elements", "together", "postings", "again"), [(0, 7, 10, 3), (300, 64, 1000, 16), (10**9, 1000, 10**6, 1)])
+def test_shards_in_turn_equal_brute_force(spark, monkeypatch, elements, together, postings, again):
+    for name, value in {"ELEMENTS": elements, "TOGETHER": together, "POSTINGS": postings, "AGAIN": again}.items():
+        monkeypatch.setattr(search, name, value)
+    texts = mixed_texts(300)
+    counts = [(i, Counter(search._words([t])[0].tolist())) for i, t in texts]
+    df = Counter(w for _, c in counts for w in c)
+    mean = sum(sum(c.values()) for _, c in counts) / len(counts)
+    asked = {}
+    for n, (i, c) in enumerate(counts):
+        if n % 3 == 0 and i not in asked:
+            terms = np.array(sorted(c), np.int64)
+            asked[i] = terms, np.array([c[t] * np.log(1 + (len(counts) - df[t] + 0.5) / (df[t] + 0.5)) for t in terms.tolist()])
+    queries = search.Queries(list(asked), [t for t, _ in asked.values()], [f for _, f in asked.values()], 7)
+    shards = search.index_shards(spark.createDataFrame(texts, "doc_id long, text string").repartition(3)).collect()
+    for row in shards:
+        search.Shard(row.asDict(), mean, queries).search(queries)
+    found = {}
+    for q, d, score in zip(*(c.to_pylist() for c in queries.results().columns), strict=True):
+        found.setdefault(q, []).append((-score, d))
+    for q, (terms, factors) in asked.items():
+        scored = []
+        for i, c in counts:
+            length = search.K1 * (1 - search.B + search.B * sum(c.values()) / mean)
+            score = sum(f * c[t] * (search.K1 + 1) / (c[t] + length) for t, f in zip(terms.tolist(), factors.tolist(), strict=True) if t in c)
+            if i != q and score > 0:
+                scored.append((-round(score, 9), i))
+        assert [(round(s, 9), d) for s, d in found.get(q, [])] == sorted(scored)[:7]
+
+
+def test_terms_of_one_document_are_not_asked_for(spark, monkeypatch):
+    """They find nothing but the query itself, and are most of a large corpus's terms."""
+    staged = {}
+    monkeypatch.setattr(search, "stage", lambda df, label: staged.setdefault(label, search_stage(df, label)))
+    texts = [(i, f"common word{i % 4} own{i}") for i in range(40)]
+    found = search.search(spark.createDataFrame(texts, "doc_id long, text string"), F.col("doc_id") < 8, 3).collect()
+    assert len(found) == 24 and {len(r.term) for r in staged["search-queries"].collect()} == {2}

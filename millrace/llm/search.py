@@ -32,18 +32,20 @@ from pyspark.sql import functions as F
 
 from millrace.llm.memory import release_memory
 from millrace.llm.substrings import pack, unpack, word_hashes
-from millrace.session import stage
+from millrace.session import settings, stage
 
 #: Documents in a shard, words in a shard that is full before, and characters whose words are found at once.
-SHARD, SHARD_WORDS, CHARACTERS = 8192, 5_000_000, 1_000_000
+SHARD, SHARD_WORDS, CHARACTERS = 4096, 4_000_000, 1_000_000
 #: Clusters of a shard at most, the frequent terms that tell them apart, and rounds that move their centers.
 CLUSTERS, FEATURES, ROUNDS = 6, 256, 3
 #: Longest documents of a cluster, as shares of it, that have matrices of their own; not for clusters of fewer than BLOCK.
 SHARES, BLOCK = (1 / 12, 1 / 3), 64
 #: Groups of shards that are searched side by side, and queries that one task holds.
 GROUPS, QUERIES = 16, 16384
-#: Queries that are compared at once, and lists of a cluster that are rows of a matrix, at most.
-TOGETHER, ROWS = 512, 1024
+#: Queries that are compared at once and their terms, and lists of a cluster that are rows of a matrix, at most.
+TOGETHER, TERMS, ROWS = 512, 400_000, 1024
+#: Bytes of queries and shards that a worker is sent at once.
+BATCH_BYTES = 8 << 20
 #: Matrix elements that cost as much as one posting of a list, and postings that are added up at once.
 ELEMENTS, POSTINGS = 300, 250_000
 #: Documents that are scored again at once.
@@ -334,13 +336,16 @@ class Shard:
         self.place = np.full(len(queries.terms), self.terms, np.int32)
         self.place[at[wanted]] = np.arange(self.terms)
         keep = np.repeat(wanted, sizes)
-        docs, weights = unpack(row["docs"])[keep].astype(np.int32), unpack(row["counts"])[keep].astype(np.float64)
+        docs, weights = unpack(row["docs"], "<u2")[keep], unpack(row["counts"], "<u4")[keep].astype(np.float64)
         del keep
-        weights *= (K1 + 1) / (weights + (K1 * (1 - B + B * lengths / max(mean_length, 1e-9)))[docs])
+        saturation = K1 * (1 - B + B * lengths / max(mean_length, 1e-9))
+        for x in range(0, len(docs), POSTINGS):
+            some = weights[x : x + POSTINGS]
+            some *= (K1 + 1) / (some + saturation[docs[x : x + POSTINGS]])
         term = np.repeat(np.arange(self.terms, dtype=np.int32), sizes[wanted])
         asked = np.bincount(self.place[queries.number], minlength=self.terms + 1)[: self.terms]
         # The same postings by document, each document's in the order of terms.
-        order = np.argsort(docs.astype(np.uint16), kind="stable")
+        order = np.argsort(docs, kind="stable").astype(np.int32)
         self.term_of, self.weight_of = term[order], weights[order]
         self.documents = np.searchsorted(docs[order], np.arange(len(self.ids) + 1))
         self.scored = np.zeros((AGAIN, self.terms))
@@ -348,7 +353,7 @@ class Shard:
         for width in np.frombuffer(row["clusters"], np.int64).tolist():
             own = np.sort(order[self.documents[first] : self.documents[first + width]])
             copies = int(np.unique(self.ids[first : first + width], return_counts=True)[1].max())
-            self.clusters.append(Cluster(first, width, term[own], docs[own] - first, weights[own], asked, copies))
+            self.clusters.append(Cluster(first, width, term[own], docs[own].astype(np.int32) - first, weights[own], asked, copies))
             first += width
         #: Bits of the clusters that hold a term.
         self.holders = sum(((c.most > 0).astype(np.int32) << i for i, c in enumerate(self.clusters)), np.zeros(self.terms, np.int32))
@@ -356,20 +361,22 @@ class Shard:
 
     def search(self, queries: Queries) -> None:
         """Enter the shard's documents that are among each query's best so far."""
-        for x in range(0, len(queries.ids) if self.terms else 0, TOGETHER):
-            y = min(x + TOGETHER, len(queries.ids))
+        x = 0
+        while x < len(queries.ids) and self.terms:
+            y = min(x + TOGETHER, max(x + 1, int(np.searchsorted(queries.bounds, queries.bounds[x] + TERMS, side="right")) - 1), len(queries.ids))
             own = slice(queries.bounds[x], queries.bounds[y])
             at = self.place[queries.number[own]]
             here = at < self.terms
             if here.any():
                 number = np.repeat(np.arange(y - x), np.diff(queries.bounds[x : y + 1]))[here]
                 self._search_together(queries, x, y - x, number, at[here], queries.factors[own][here])
+            x = y
 
     def _search_together(self, queries: Queries, first: int, n: int, number: np.ndarray, at: np.ndarray, factors: np.ndarray) -> None:
         """Search for ``n`` queries from ``first``, whose words are lists ``at`` with ``factors``."""
-        begins, words = _changes(number), np.searchsorted(number, np.arange(n + 1))
+        begins, words, single = _changes(number), np.searchsorted(number, np.arange(n + 1)), factors.astype(np.float32)
         bound = np.zeros((n, len(self.clusters)))
-        bound[number[begins]] = np.add.reduceat(self.most[at] * factors[:, None], begins) * (1 + SLACK)
+        bound[number[begins]] = np.add.reduceat(self.most[at] * single[:, None], begins) * (1 + SLACK)
         holders = self.holders[at]
         for c in np.argsort(-bound.sum(0), kind="stable").tolist():
             cluster, least = self.clusters[c], queries.scores[first : first + n, -1]
@@ -380,7 +387,7 @@ class Shard:
             entry = np.flatnonzero(holders & (1 << c))
             if len(some) < n:
                 entry = entry[taken[number[entry]]]
-            total = cluster.sums(len(some), (taken.cumsum() - 1)[number[entry]], at[entry], factors[entry])
+            total = cluster.sums(len(some), (taken.cumsum() - 1)[number[entry]], at[entry], single[entry])
             ids = self.ids[cluster.first : cluster.first + cluster.width]
             enough = np.maximum(least[some] * (1 - SLACK), TINY).astype(np.float32)
             hit = total >= enough[:, None]
@@ -482,13 +489,17 @@ def search(documents: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
                     continue
                 if queries is None:
                     queries, read = Queries(*read, k), ([], [], [])
+                    release_memory()
                 shard = Shard({n: row[n].as_py() for n in PARTS}, mean_length, queries)
+                release_memory()
                 shard.search(queries)
                 del shard, row  # before the next one is unpacked
+                release_memory()
         if queries:
             yield queries.results()
 
     dealt = rows.repartition("group", "block").sortWithinPartitions("group", "block", "side")
-    found = dealt.mapInArrow(run, "query_id long, doc_id long, score double")
+    with settings(documents.sparkSession, **{"spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES)}):
+        found = stage(dealt.mapInArrow(run, "query_id long, doc_id long, score double"), "search-found")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id"))
     return found.withColumn("rank", rank.cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")

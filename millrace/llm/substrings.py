@@ -84,11 +84,11 @@ def pack(numbers: np.ndarray) -> bytes:
     return bytes([planes]) + zstandard.ZstdCompressor(1).compress(table.T.tobytes())
 
 
-def unpack(data: bytes) -> np.ndarray:
+def unpack(data: bytes, kind: str = "<u8") -> np.ndarray:
     planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[1:]), np.uint8).reshape(data[0], -1)
-    table = np.zeros((planes.shape[1], 8), np.uint8)
+    table = np.zeros((planes.shape[1], np.dtype(kind).itemsize), np.uint8)
     table[:, : data[0]] = planes.T
-    return table.view("<u8").ravel()
+    return table.view(kind).ravel()
 
 
 def _mixed(values: np.ndarray) -> np.ndarray:

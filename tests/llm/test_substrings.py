@@ -12,6 +12,7 @@ from odd_rows import DOCUMENTS, empty, odd  # noqa: F401
 
 from millrace.llm import substrings
 from millrace.llm.catalog import ENTRIES
+from millrace.session import stage as write
 
 
 def brute(rows, size):
@@ -145,3 +146,20 @@ def test_subtrees():
     trees = substrings.Subtrees(suffixes, np.array([7, 7, 7, 7, 8], np.uint64))
     assert trees.order.tolist() == [3, 0, 1, 4, 2] and trees.shared.tolist() == [0, 0, 3, 2, 2]
     assert trees.nodes(3).tolist() == [0, 1, 3, 4] and trees.nodes(2).tolist() == [0, 1]
+
+
+def test_windows_take_few_bytes():
+    """What a worker holds of a block, besides its text: 84 bytes for a window of 13 words."""
+    n = 20_000
+    windows = substrings.Windows(pa.array([" ".join(f"w{i}" for i in range(n))]), substrings.Layout(13, 42, 4), [])
+    held = [x for part in (windows, windows.words) for name, x in vars(part).items() if isinstance(x, np.ndarray) and name != "data"]
+    assert sum(x.nbytes for x in [*held, *windows.shorter]) < 90 * n
+
+
+def test_workers_get_few_blocks_at_once(spark, monkeypatch):
+    """Also in sessions that set no limit; the session's own setting is back in the end."""
+    name, seen = "spark.sql.execution.arrow.maxBytesPerBatch", []
+    monkeypatch.setattr(substrings, "stage", lambda df, label: (seen.append((label, spark.conf.get(name, None))), write(df, label))[1])
+    before = spark.conf.get(name, None)
+    substrings.remove_repeats(spark.createDataFrame([(1, "a b c d"), (2, "b c d e")], "doc_id long, text string"), 3)
+    assert {("substring-seen", str(8 << 20)), ("substring-earlier", str(8 << 20))} <= set(seen) and spark.conf.get(name, None) == before
